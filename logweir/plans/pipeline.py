@@ -1,0 +1,120 @@
+"""The whole job: clean once, answer the queries, record the run."""
+
+from __future__ import annotations
+
+import time
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from logweir.operators.cleaning import parse_access_log, select_batch, tag_batch
+from logweir.operators.errors import hourly_errors
+from logweir.operators.quality import record_counts, stats_row
+from logweir.operators.traffic import daily_traffic, top_resources
+from logweir.schemas import QUERY_NAMES, QUERY_SCHEMAS, QUERY_TABLES, VALID_LOGS
+from logweir.sinks.runs import (
+    Run,
+    append_results,
+    append_run_rows,
+    check_new,
+    create_store,
+    next_run_id,
+)
+from logweir.sinks.tables import write_table
+from logweir.sources.raw import read_raw_logs
+from logweir.sources.tables import read_store, read_table
+
+
+@dataclass(frozen=True)
+class RunOutput:
+    """What ``run`` leaves: all read back from storage, nothing recomputed."""
+
+    run: Run
+    valid_logs: DataFrame
+    results: dict[str, DataFrame]
+    stats: DataFrame
+
+
+def _chosen(query: str) -> tuple[str, ...]:
+    if query == "All":
+        return QUERY_NAMES
+    if query not in QUERY_NAMES:
+        raise ValueError(f"query must be 'All' or one of {QUERY_NAMES}, not {query!r}")
+    return (query,)
+
+
+def query_results(
+    valid: DataFrame, query: str = "All", ordered: bool = True, tie: str = "path"
+) -> dict[str, DataFrame]:
+    """The chosen query, or all three, over one frame of valid logs."""
+    plans = {
+        "Query1": lambda: daily_traffic(valid, ordered),
+        "Query2": lambda: top_resources(valid, tie=tie),
+        "Query3": lambda: hourly_errors(valid, ordered),
+    }
+    return {name: plans[name]() for name in _chosen(query)}
+
+
+def clean_to_table(
+    tagged: DataFrame, path: str, match: str = "full", batch: int = 0, fmt: str = "parquet"
+) -> DataFrame:
+    """Write the valid logs of tagged lines and return the run statistics.
+
+    Lines and valid lines are counted while they are written, so the raw files
+    are read once. The write has no shuffle, and Spark adds up a task's counts
+    only when its partition first completes: retried and speculative tasks are
+    not counted twice.
+    """
+    spark = tagged.sparkSession
+    counted = Observation()
+    parsed = parse_access_log(select_batch(tagged, batch), match).observe(
+        counted, *record_counts(F.col("is_valid"))
+    )
+    valid = parsed.where("is_valid").select(*VALID_LOGS.fieldNames())
+    write_table(valid, path, fmt)
+    counts = counted.get
+    return stats_row(spark, counts["total_records"], counts["valid_records"], batch)
+
+
+def run(
+    spark: SparkSession,
+    input_path: str,
+    output: str,
+    query: str = "All",
+    batch: int = 0,
+    match: str = "full",
+    batch_rule: str | int = "file_name",
+    tie: str = "path",
+    run_id: int | None = None,
+    pipeline_name: str = "Spark",
+    partitions: int | None = None,
+) -> RunOutput:
+    """Run the job on the files under ``input_path`` and add it to the store.
+
+    ``output/valid_logs`` is replaced and ``output/store`` is added to; both
+    must be on storage that every executor sees.
+    """
+    _chosen(query)
+    store, table = f"{output}/store", f"{output}/valid_logs"
+    create_store(spark, store)
+    if run_id is None:
+        run_id = next_run_id(spark, store)
+    check_new(spark, store, run_id)
+    this = Run(run_id, query, batch, pipeline_name, input_path)
+
+    started = time.monotonic()
+    tagged = tag_batch(read_raw_logs(spark, input_path, partitions), batch_rule)
+    stats = clean_to_table(tagged, table, match, batch)
+    valid = read_table(spark, table)
+    append_results(store, this, query_results(valid, query, ordered=False, tie=tie))
+    runtime_ms = round((time.monotonic() - started) * 1000)
+    append_run_rows(store, this, stats, runtime_ms)
+
+    results = {
+        name: read_store(spark, store, QUERY_TABLES[name], run_id).select(
+            *QUERY_SCHEMAS[name].fieldNames()
+        )
+        for name in _chosen(query)
+    }
+    return RunOutput(this, valid, results, stats)
