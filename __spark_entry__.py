@@ -277,7 +277,7 @@ def queries() -> dict[str, Query]:
         "resource_traffic": _over_valid(op.resource_traffic),
         "distinct_hosts_collect_set": _over_valid(op.distinct_hosts),
         "q2_top_resources": _over_valid(op.top_resources),
-        "q2_top_resources_one_scan": _over_valid(lambda v: op.top_resources(v, rescan=False)),
+        "q2_top_resources_rescan": _over_valid(lambda v: op.top_resources(v, rescan=True)),
         "q2_top_resources_batch_tie": _over_valid(lambda v: op.top_resources(v, tie="batch")),
         "q3_hourly_errors": _over_valid(op.hourly_errors),
         "q3_hourly_errors_join": _over_valid(op.hourly_errors_by_join),
@@ -386,7 +386,7 @@ def oracle_sql() -> dict[str, str]:
         "distinct_hosts_collect_set": """SELECT batch_id, resource_path,
  count(DISTINCT host) AS distinct_host_count FROM v GROUP BY batch_id, resource_path""",
         "q2_top_resources": _TOP,
-        "q2_top_resources_one_scan": _TOP,
+        "q2_top_resources_rescan": _TOP,
         "q2_top_resources_batch_tie": _TOP_BATCH_TIE,
         "q3_hourly_errors": _q3(),
         "q3_hourly_errors_join": _q3(),

@@ -72,16 +72,17 @@ def _ranking(tie: str) -> list:
 
 
 def top_resources(
-    valid: DataFrame, k: int = TOP_RESOURCES, tie: str = "path", rescan: bool = True
+    valid: DataFrame, k: int = TOP_RESOURCES, tie: str = "path", rescan: bool = False
 ) -> DataFrame:
     """The ``k`` most requested resources over all batches together.
 
     ``tie`` decides between equal counts: by path, then batch, or the reverse.
 
-    With ``rescan`` the ranking is made from counts alone and hosts are then
-    counted for the ``k`` winners only, in a second scan with the winners
-    broadcast. Without it one scan shuffles the (batch, path, host) rows of
-    every resource, nearly all of which the limit then drops. Results are equal.
+    By default one scan makes the complete ``resource_traffic`` and cuts it,
+    which suits logs that are parsed on the fly. ``rescan`` suits a stored
+    table: the ranking is made from counts alone, then the winners are broadcast
+    to a second scan that counts hosts for them only. That keeps the (batch,
+    path, host) rows of all other resources out of the shuffle. Results are equal.
     """
     order = _ranking(tie)
     if not rescan:

@@ -45,12 +45,19 @@ def _chosen(query: str) -> tuple[str, ...]:
 
 
 def query_results(
-    valid: DataFrame, query: str = "All", ordered: bool = True, tie: str = "path"
+    valid: DataFrame,
+    query: str = "All",
+    ordered: bool = True,
+    tie: str = "path",
+    rescan: bool = False,
 ) -> dict[str, DataFrame]:
-    """The chosen query, or all three, over one frame of valid logs."""
+    """The chosen query, or all three, over one frame of valid logs.
+
+    ``rescan`` is for a stored table (see ``top_resources``).
+    """
     plans = {
         "Query1": lambda: daily_traffic(valid, ordered),
-        "Query2": lambda: top_resources(valid, tie=tie),
+        "Query2": lambda: top_resources(valid, tie=tie, rescan=rescan),
         "Query3": lambda: hourly_errors(valid, ordered),
     }
     return {name: plans[name]() for name in _chosen(query)}
@@ -107,14 +114,15 @@ def run(
     tagged = tag_batch(read_raw_logs(spark, input_path, partitions), batch_rule)
     stats = clean_to_table(tagged, table, match, batch)
     valid = read_table(spark, table)
-    append_results(store, this, query_results(valid, query, ordered=False, tie=tie))
+    results = query_results(valid, query, ordered=False, tie=tie, rescan=True)
+    append_results(store, this, results)
     runtime_ms = round((time.monotonic() - started) * 1000)
     append_run_rows(store, this, stats, runtime_ms)
 
-    results = {
+    stored = {
         name: read_store(spark, store, QUERY_TABLES[name], run_id).select(
             *QUERY_SCHEMAS[name].fieldNames()
         )
         for name in _chosen(query)
     }
-    return RunOutput(this, valid, results, stats)
+    return RunOutput(this, valid, stored, stats)

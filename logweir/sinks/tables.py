@@ -13,10 +13,12 @@ def write_table(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: Sequence[str] = ("batch_id",),
+    compression: str = "zstd",
 ) -> None:
     """Write a Parquet or ORC table, partitioned for batch selection.
 
     Nothing is shuffled first: under the file rules a task's input belongs to
     one batch, so it writes one file.
     """
-    frame.write.mode(mode).format(fmt).partitionBy(*partition_by).save(path)
+    writer = frame.write.mode(mode).format(fmt).option("compression", compression)
+    writer.partitionBy(*partition_by).save(path)
