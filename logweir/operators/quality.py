@@ -39,7 +39,10 @@ def run_stats(tagged: DataFrame, match: str = "full", batch: int = 0) -> DataFra
 
 def stats_row(spark: SparkSession, total: int, valid: int, batch: int = 0) -> DataFrame:
     """The row of ``run_stats`` from counts that are already known."""
-    counts = spark.createDataFrame([(total, valid)], "total_records bigint, valid_records bigint")
+    counts = spark.sql(
+        "SELECT CAST(:total AS BIGINT) AS total_records, CAST(:valid AS BIGINT) AS valid_records",
+        args={"total": total, "valid": valid},
+    )
     return _stats(counts, batch)
 
 

@@ -18,7 +18,6 @@ from logweir.sinks.runs import (
     append_results,
     append_run_rows,
     check_new,
-    create_store,
     next_run_id,
 )
 from logweir.sinks.tables import write_table
@@ -104,10 +103,10 @@ def run(
     """
     _chosen(query)
     store, table = f"{output}/store", f"{output}/valid_logs"
-    create_store(spark, store)
     if run_id is None:
         run_id = next_run_id(spark, store)
-    check_new(spark, store, run_id)
+    else:
+        check_new(spark, store, run_id)
     this = Run(run_id, query, batch, pipeline_name, input_path)
 
     started = time.monotonic()

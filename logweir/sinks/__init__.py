@@ -1,5 +1,5 @@
 from logweir.sinks.jdbc import append_jdbc
-from logweir.sinks.runs import Run, append_run, create_store, next_run_id, stamp
+from logweir.sinks.runs import Run, append_run, next_run_id, stamp
 from logweir.sinks.tables import write_table
 from logweir.sinks.tsv import write_tsv
 
@@ -7,7 +7,6 @@ __all__ = [
     "Run",
     "append_jdbc",
     "append_run",
-    "create_store",
     "next_run_id",
     "stamp",
     "write_table",

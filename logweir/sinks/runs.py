@@ -54,13 +54,6 @@ def _write(rows: DataFrame, store: str, table: str) -> None:
     )
 
 
-def create_store(spark: SparkSession, store: str) -> None:
-    """Create the tables that are not there yet."""
-    for table, schema in STORE_TABLES.items():
-        empty = spark.createDataFrame([], schema)
-        empty.write.mode("ignore").partitionBy("run_id").parquet(f"{store}/{table}")
-
-
 def next_run_id(spark: SparkSession, store: str) -> int:
     """One more than the highest finished run. Not safe for concurrent writers."""
     highest = read_store(spark, store, "runs").agg(F.max("run_id")).first()[0]
@@ -100,7 +93,6 @@ def append_run(
 ) -> None:
     """Add a run to the store. A finished run of the same id is an error; what
     an unfinished one left behind is replaced."""
-    create_store(spark, store)
     check_new(spark, store, run.run_id)
     append_results(store, run, results)
     append_run_rows(store, run, stats, runtime_ms)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,16 @@ def read_table(
 def read_store(
     spark: SparkSession, store: str, table: str, run_id: int | None = None
 ) -> DataFrame:
-    """One table of the run store; a ``run_id`` reads that run's partition only."""
-    rows = read_table(spark, f"{store}/{table}", schema=STORE_TABLES[table])
+    """One table of the run store; a ``run_id`` reads that run's partition only.
+
+    A table that no run has written yet is empty.
+    """
+    schema = STORE_TABLES[table]
+    try:
+        rows = read_table(spark, f"{store}/{table}", schema=schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        rows = spark.range(0).select(*nothing)
     return rows if run_id is None else rows.where(F.col("run_id") == run_id)

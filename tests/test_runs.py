@@ -7,7 +7,8 @@ from logweir import fixtures
 from logweir.operators import clean_logs, run_stats, stats_row, tag_batch
 from logweir.plans import clean_to_table, preview, query_results, report, run
 from logweir.schemas import QUERY_TABLES, STORE_TABLES, VALID_LOGS
-from logweir.sinks import Run, append_run, create_store, next_run_id
+from logweir.sinks import Run, append_run, next_run_id
+from logweir.sinks.runs import append_results
 from logweir.sources import read_store, read_table
 
 SF = "/root/testdata/sf0.001"
@@ -101,9 +102,6 @@ def test_unfinished_run_is_replaced(spark, tmp_path):
     store = str(tmp_path / "store")
     valid = clean_logs(tag_batch(lines_frame(spark, [PLAIN])))
     results, this = query_results(valid), Run(4, executed_at=WHEN)
-    create_store(spark, store)
-    from logweir.sinks.runs import append_results
-
     append_results(store, this, results)  # and then the driver is lost
     assert next_run_id(spark, store) == 1
     append_run(spark, store, this, results, stats_row(spark, 1, 1), runtime_ms=5)
