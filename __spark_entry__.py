@@ -18,6 +18,7 @@ from logweir import operators as op
 from logweir.functions import coerce_long, normalize_bytes, shorten_path
 from logweir.plans import query_results, report, run
 from logweir.plans.pipeline import clean_to_table
+from logweir.plans.report import malformed_line
 from logweir.schemas import (
     DAILY_TRAFFIC,
     HOURLY_ERRORS,
@@ -204,9 +205,10 @@ def results_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run 2's header beside its malformed line, from a store of two runs."""
-    frames = report(spark, _two_runs(spark, sf_dir), 2)
-    return frames["run"].drop("executed_at", "runtime_ms").crossJoin(frames["malformed"])
+    """Run 2's header with its malformed line, from a store of two runs."""
+    store = _two_runs(spark, sf_dir)
+    header = report(spark, store, 2)["run"].drop("executed_at", "runtime_ms")
+    return header.join(malformed_line(spark, store, 2), "run_id")
 
 
 def _preview(name: str) -> Query:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweir.schemas import DAILY_TRAFFIC, TOP_RESOURCE, TOP_RESOURCES
@@ -14,6 +14,12 @@ _RESOURCE = ["batch_id", "resource_path"]
 BROADCAST_ROWS = 10_000
 
 
+def _volume() -> list[Column]:
+    # Two lines that claim 2**63 - 1 bytes must not fail the whole job, as a
+    # plain sum would in ANSI mode: a total beyond a long is NULL.
+    return [F.count(F.lit(1)).alias("request_count"), F.try_sum("bytes").alias("total_bytes")]
+
+
 def daily_traffic(valid: DataFrame, ordered: bool = True) -> DataFrame:
     """Requests and bytes per batch, date and status.
 
@@ -21,16 +27,14 @@ def daily_traffic(valid: DataFrame, ordered: bool = True) -> DataFrame:
     """
     result = (
         valid.groupBy("batch_id", "log_date", "status_code")
-        .agg(F.count(F.lit(1)).alias("request_count"), F.sum("bytes").alias("total_bytes"))
+        .agg(*_volume())
         .select(*DAILY_TRAFFIC.fieldNames())
     )
     return result.orderBy("log_date", "status_code", "batch_id") if ordered else result
 
 
 def _requests(valid: DataFrame) -> DataFrame:
-    return valid.groupBy(*_RESOURCE).agg(
-        F.count(F.lit(1)).alias("request_count"), F.sum("bytes").alias("total_bytes")
-    )
+    return valid.groupBy(*_RESOURCE).agg(*_volume())
 
 
 def resource_traffic(valid: DataFrame) -> DataFrame:
@@ -41,11 +45,7 @@ def resource_traffic(valid: DataFrame) -> DataFrame:
     """
     return (
         valid.groupBy(*_RESOURCE)
-        .agg(
-            F.count(F.lit(1)).alias("request_count"),
-            F.sum("bytes").alias("total_bytes"),
-            F.count_distinct("host").alias("distinct_host_count"),
-        )
+        .agg(*_volume(), F.count_distinct("host").alias("distinct_host_count"))
         .select(*TOP_RESOURCE.fieldNames())
     )
 

@@ -16,7 +16,7 @@ def run_header(spark: SparkSession, store: str, run_id: int) -> DataFrame:
 
 def malformed_line(spark: SparkSession, store: str, run_id: int) -> DataFrame:
     return read_store(spark, store, "malformed_records_summary", run_id).select(
-        "malformed_count", "total_count", "malformed_pct"
+        "run_id", "malformed_count", "total_count", "malformed_pct"
     )
 
 

@@ -80,6 +80,16 @@ def test_boundary_tie_picks_by_rule(spark):
         op.top_resources(valid, tie="host")
 
 
+def test_total_beyond_a_long_does_not_fail_the_job(spark):
+    rows = [(1, "h", "d", 0, "GET", "/big", "H", 200, 2**63 - 1)] * 2
+    rows += [(1, "h", "d", 0, "GET", "/a", "H", 404, 5)]
+    valid = spark.createDataFrame(rows, VALID_LOGS).repartition(3)
+    daily = [(1, "d", 200, 2, None), (1, "d", 404, 1, 5)]
+    assert _rows(op.daily_traffic(valid)) == daily
+    assert _rows(op.top_resources(valid))[0] == (1, "/big", 2, None, 1)
+    assert op.top_resources(valid, rescan=True).collect() == op.top_resources(valid).collect()
+
+
 def test_row_order(valid, skewed):
     daily = sorted(helpers.daily(skewed), key=lambda r: (r[1], r[2], r[0]))
     assert _rows(op.daily_traffic(valid)) == daily
