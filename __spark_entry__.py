@@ -28,7 +28,7 @@ from logweir.schemas import (
 )
 from logweir.scratch import scratch_dir
 from logweir.sinks import Run, append_run, write_table, write_tsv
-from logweir.sources import read_raw_logs, read_store, read_table, read_tsv
+from logweir.sources import coerce_numbers, read_raw_logs, read_store, read_table, read_tsv
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 _WHEN = datetime(2024, 9, 1, 12, 0, 0, tzinfo=timezone.utc)
@@ -150,6 +150,15 @@ def _result_roundtrip(name: str, schema) -> Query:
     return query
 
 
+def documents_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily traffic as documents whose counts come back as doubles."""
+    path = f"{scratch_dir(spark)}/query1"
+    op.daily_traffic(_valid(spark, sf_dir), ordered=False).write.json(path)
+    loose = "batch_id int, log_date string, status_code int, request_count double"
+    documents = spark.read.schema(f"{loose}, total_bytes double").json(path)
+    return coerce_numbers(documents, DAILY_TRAFFIC)
+
+
 def results_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written over the result of one batch, the result of both is what is left."""
     path = f"{scratch_dir(spark)}/query1"
@@ -255,6 +264,12 @@ def run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+def run_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job for one query of one batch."""
+    files = _log_files(spark, sf_dir)
+    return run(spark, files, scratch_dir(spark), query="Query3", batch=2).results["Query3"]
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: hourly errors from raw lines."""
     return op.hourly_errors(_valid(spark, FLAGSHIP_DIR))
@@ -299,6 +314,7 @@ def queries() -> dict[str, Query]:
         "results_tsv_load": _result_roundtrip("Query1", DAILY_TRAFFIC),
         "results_tsv_load_resources": _result_roundtrip("Query2", TOP_RESOURCE),
         "results_tsv_load_errors": _result_roundtrip("Query3", HOURLY_ERRORS),
+        "documents_load": documents_load,
         "results_overwrite": results_overwrite,
         "results_append": results_append,
         "report_run": report_run,
@@ -307,6 +323,7 @@ def queries() -> dict[str, Query]:
         "report_q3": _preview("Query3"),
         "path_truncate": path_truncate,
         "run_all": run_all,
+        "run_one": run_one,
     }
 
 
@@ -417,6 +434,7 @@ def oracle_sql() -> dict[str, str]:
         "results_tsv_load": _q1(),
         "results_tsv_load_resources": _TOP,
         "results_tsv_load_errors": _q3(),
+        "documents_load": _q1(),
         "results_overwrite": _q1(),
         "results_append": f"""SELECT CAST(1 AS BIGINT) AS run_id, 'Spark' AS pipeline_name, *
  FROM ({_q1()}) UNION ALL
@@ -436,6 +454,7 @@ def oracle_sql() -> dict[str, str]:
         "path_truncate": """SELECT event_id, CASE WHEN length('/' || host || resource_path) > 39
  THEN substr('/' || host || resource_path, 1, 36) || '...'
  ELSE '/' || host || resource_path END AS path FROM v""",
+        "run_one": _q3("(SELECT * FROM v WHERE batch_id = 2)"),
         "run_all": f"""SELECT 'Query1' AS result, batch_id, log_date AS item,
  status_code AS detail, request_count AS requests, total_bytes AS bytes,
  CAST(0 AS BIGINT) AS errors, CAST(0 AS BIGINT) AS hosts FROM ({_q1()})

@@ -18,7 +18,8 @@ def write_table(
     """Write a Parquet or ORC table, partitioned for batch selection.
 
     Nothing is shuffled first: under the file rules a task's input belongs to
-    one batch, so it writes one file.
+    one batch, so it writes one file. Spark sorts each task's rows by batch
+    unless ``spark.sql.maxConcurrentOutputFileWriters`` is set.
     """
     writer = frame.write.mode(mode).format(fmt).option("compression", compression)
     writer.partitionBy(*partition_by).save(path)

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 
-SCALES = ["sf0.001", "sf0.01"] if os.environ.get("LOGWEIR_ALL_SCALES") else ["sf0.01"]
+SCALES = os.environ.get("LOGWEIR_SCALES", "sf0.01").split(",")
 DATA = "/root/testdata"
 TYPES = {
     "BIGINT": "bigint",

@@ -7,7 +7,7 @@ from logweir import fixtures
 from logweir.operators import clean_logs, run_stats, stats_row, tag_batch
 from logweir.plans import clean_to_table, preview, query_results, report, run
 from logweir.schemas import QUERY_TABLES, STORE_TABLES, VALID_LOGS
-from logweir.sinks import Run, append_run, next_run_id
+from logweir.sinks import Run, append_jdbc, append_run, next_run_id
 from logweir.sinks.runs import append_results
 from logweir.sources import read_store, read_table
 
@@ -109,7 +109,7 @@ def test_unfinished_run_is_replaced(spark, tmp_path):
     assert set(_counts(spark, store, 4).values()) == {1}
     assert set(_counts(spark, store).values()) == {2}
     row = read_store(spark, store, "query2_results", 4).first()
-    assert (row.pipeline_name, row.executed_at.year) == ("Spark", 2024)
+    assert (row.pipeline_name, row.executed_at.timestamp()) == ("Spark", WHEN.timestamp())
 
 
 def test_stats_while_writing_equal_the_query(spark, tmp_path):
@@ -176,6 +176,23 @@ def test_preview_shortens_paths(spark):
         preview(valid, "Query4")
 
 
+def test_jdbc_gets_the_rows_of_a_run(spark, runs, monkeypatch):
+    """Without a database: what is handed to Spark's own writer."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    calls = []
+    monkeypatch.setattr(
+        DataFrameWriter,
+        "jdbc",
+        lambda self, url, table, mode, properties: calls.append(
+            (self._df.count(), self._df.rdd.getNumPartitions(), url, table, mode, properties)
+        ),
+    )
+    rows = read_store(spark, f"{runs[0]}/store", "query2_results", 1)
+    append_jdbc(rows, "jdbc:x", "query2_results", {"user": "u"}, connections=1)
+    assert calls == [(20, 1, "jdbc:x", "query2_results", "append", {"user": "u"})]
+
+
 def test_bad_query_is_refused_before_any_work(spark, tmp_path):
     with pytest.raises(ValueError):
         run(spark, "/nowhere", str(tmp_path / "out"), query="Query9")
