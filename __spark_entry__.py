@@ -17,7 +17,7 @@ from logweir import fixtures
 from logweir import operators as op
 from logweir.functions import coerce_long, normalize_bytes, shorten_path
 from logweir.plans import query_results, report, run
-from logweir.plans.pipeline import clean_to_table
+from logweir.plans.job import clean_to_table
 from logweir.plans.report import malformed_line
 from logweir.schemas import (
     DAILY_TRAFFIC,
@@ -250,11 +250,11 @@ def run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     day, resource, hour = (done.results[q] for q in ("Query1", "Query2", "Query3"))
     requests, size, batch = c("request_count"), c("total_bytes"), c("batch_id")
-    resource_hosts, error_hosts = c("distinct_host_count"), c("distinct_error_hosts")
+    path_hosts, error_hosts = c("distinct_host_count"), c("distinct_error_hosts")
     errors, total = c("error_request_count"), c("total_request_count")
     parts = [
         rows(day, "Query1", batch, c("log_date"), c("status_code"), requests, size, no, no),
-        rows(resource, "Query2", batch, c("resource_path"), zero, requests, size, no, resource_hosts),
+        rows(resource, "Query2", batch, c("resource_path"), zero, requests, size, no, path_hosts),
         rows(hour, "Query3", batch, c("log_date"), c("log_hour"), total, no, errors, error_hosts),
         rows(
             done.stats, "stats", zero, F.lit("lines"), zero, c("total_records"), no,

@@ -11,7 +11,7 @@ _RESOURCE = ["batch_id", "resource_path"]
 
 # A lookup of at most this many rows is broadcast; a larger one is left to the
 # optimizer, which then joins by shuffling.
-BROADCAST_ROWS = 10_000
+BROADCAST_ROWS = 1_000
 
 
 def _volume() -> list[Column]:

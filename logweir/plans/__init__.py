@@ -1,4 +1,4 @@
-from logweir.plans.pipeline import RunOutput, clean_to_table, query_results, run
+from logweir.plans.job import RunOutput, clean_to_table, query_results, run
 from logweir.plans.report import preview, report, run_header
 
 __all__ = [

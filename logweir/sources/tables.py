@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,12 +23,15 @@ def read_store(
 
     A table that no run has written yet is empty.
     """
-    schema = STORE_TABLES[table]
-    try:
-        rows = read_table(spark, f"{store}/{table}", schema=schema)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-        rows = spark.range(0).select(*nothing)
+    schema, path = STORE_TABLES[table], f"{store}/{table}"
+    if _exists(spark, path):
+        rows = read_table(spark, path, schema=schema)
+    else:
+        rows = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
     return rows if run_id is None else rows.where(F.col("run_id") == run_id)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    settings = spark._jsparkSession.sessionState().newHadoopConf()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(settings).exists(folder)

@@ -103,7 +103,8 @@ def test_tsv_writes_null_as_empty(spark, tmp_path):
 
 
 def test_tsv_arity_blank_lines_and_numbers(spark, tmp_path):
-    rows = ["1\td\t200\t5\t7", "1\td\t200\t5", "1\td\t200\t5\t7\t9", "", "   ", "\t\t\t\t", "1\td\t\t\t"]
+    good, blank = "1\td\t200\t5\t7", ["", "   ", "\t\t\t\t"]
+    rows = [good, "1\td\t200\t5", good + "\t9", *blank, "1\td\t\t\t"]
     path = _files(tmp_path / "rows", part="\n".join(rows[:-1]))
     exact = [tuple(r) for r in read_tsv(spark, path, DAILY_TRAFFIC).collect()]
     assert exact == [(1, "d", 200, 5, 7)]
@@ -136,5 +137,16 @@ def test_empty_directory(spark, tmp_path):
     assert daily_traffic(clean_logs(tagged)).isEmpty()
 
 
-def test_scratch_dir_is_new_each_time(spark):
-    assert scratch_dir(spark) != scratch_dir(spark)
+class _Session:
+    def __init__(self, **settings):
+        self.conf = {key.replace("_", "."): value for key, value in settings.items()}
+
+
+def test_scratch_dir():
+    shared = _Session(spark_master="yarn", spark_checkpoint_dir="hdfs:///shared/")
+    assert scratch_dir(shared).startswith("hdfs:///shared/logweir-")
+    assert scratch_dir(shared) != scratch_dir(shared)
+    local = _Session(spark_master="local[2]")
+    assert scratch_dir(local) != scratch_dir(local)
+    with pytest.raises(RuntimeError):
+        scratch_dir(_Session(spark_master="yarn"))

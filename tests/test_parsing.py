@@ -81,7 +81,8 @@ def test_known_edges():
 
 def test_null_and_multi_line_strings_are_malformed(spark):
     eight = "\n".join("abcdefgh")
-    tagged = tag_batch(lines_frame(spark, [None, eight, PLAIN + "\n", PLAIN.replace("-0400", "\n")]))
+    lines = [None, eight, PLAIN + "\n", PLAIN.replace("-0400", "\n")]
+    tagged = tag_batch(lines_frame(spark, lines))
     assert clean_logs(tagged).isEmpty()
     assert malformed_lines(tagged).count() == 4
     parsed = parse_access_log(tagged).collect()

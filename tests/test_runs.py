@@ -125,11 +125,11 @@ def test_stats_while_writing_equal_the_query(spark, tmp_path):
 
 def test_counting_pass_parses_once(spark, tmp_path, monkeypatch):
     """The counted and the written rows come from one evaluation of the regex."""
-    import logweir.plans.pipeline as pipeline
+    import logweir.plans.job as job
 
     plans = []
     monkeypatch.setattr(
-        pipeline,
+        job,
         "write_table",
         lambda frame, path, fmt: plans.append(frame) or frame.write.parquet(path),
     )
@@ -193,6 +193,16 @@ def test_jdbc_gets_the_rows_of_a_run(spark, runs, monkeypatch):
     assert calls == [(20, 1, "jdbc:x", "query2_results", "append", {"user": "u"})]
 
 
+def test_command_line(spark, logs, tmp_path, monkeypatch, capsys):
+    from logweir.__main__ import main
+
+    given = ["--input", logs, "--output", str(tmp_path), "--query", "Query1", "--batch", "1"]
+    monkeypatch.setattr("sys.argv", ["logweir", *given])
+    main()
+    printed = capsys.readouterr().out
+    assert "|Query1" in printed and "01/Jul/2024" in printed
+
+
 def test_bad_query_is_refused_before_any_work(spark, tmp_path):
     with pytest.raises(ValueError):
         run(spark, "/nowhere", str(tmp_path / "out"), query="Query9")
