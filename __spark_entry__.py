@@ -7,6 +7,9 @@ this package's code.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
+import os
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -275,7 +278,58 @@ def entry(spark: SparkSession) -> DataFrame:
     return op.hourly_errors(_valid(spark, FLAGSHIP_DIR))
 
 
+# Text preparation ---------------------------------------------------------
+
+
+def _on_workers(query: Query) -> Query:
+    """Lets Python workers import from this folder, wherever the driver was started."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        here = os.path.dirname(os.path.abspath(__file__))
+        spark.sparkContext.environment.setdefault("PYTHONPATH", here)
+        return query(spark, sf_dir)
+
+    return run
+
+
+def _text_module(name: str):
+    """A module that may have been left out of this installation."""
+    try:
+        return importlib.import_module(name) if importlib.util.find_spec(name) else None
+    except ModuleNotFoundError as error:
+        if error.name and error.name.startswith("logweir.llm"):
+            return None
+        raise
+
+
+def text_queries() -> dict[str, Query]:
+    """Queries of the text operators and their pipeline, where those are installed."""
+    found: dict[str, Query] = {}
+    if operators := _text_module("logweir.llm.queries"):
+        found |= operators.queries()
+    if pipeline := _text_module("corpus_pipeline"):
+        found["pipeline"] = pipeline.run
+    return {name: _on_workers(query) for name, query in found.items()}
+
+
+def text_oracle_sql() -> dict[str, str]:
+    found: dict[str, str] = {}
+    if operators := _text_module("logweir.llm.queries"):
+        found |= operators.oracle_sql()
+    if (pipeline := _text_module("corpus_pipeline")) and pipeline.ORACLE_SQL:
+        found["pipeline"] = pipeline.ORACLE_SQL
+    return found
+
+
 def queries() -> dict[str, Query]:
+    return log_queries() | text_queries()
+
+
+def oracle_sql() -> dict[str, str]:
+    return log_oracle_sql() | text_oracle_sql()
+
+
+def log_queries() -> dict[str, Query]:
     return {
         "scan_tagged_lines": scan_tagged_lines,
         "batch_tag_file": batch_tag_file,
@@ -374,7 +428,7 @@ def _stats(counts: str, batches: int) -> str:
 _PCT = "CAST(100 AS DOUBLE) * (t - ok) / t"
 
 
-def oracle_sql() -> dict[str, str]:
+def log_oracle_sql() -> dict[str, str]:
     bodies = {
         "scan_tagged_lines": "SELECT file_name, line FROM raw",
         "batch_tag_file": f"SELECT event_id, {_FILE_BATCH} AS batch_id FROM raw",

@@ -26,14 +26,14 @@ def _duck(scale):
 
 
 def test_every_query_has_an_oracle():
-    assert entry_module.queries().keys() == entry_module.oracle_sql().keys()
+    assert entry_module.log_queries().keys() == entry_module.log_oracle_sql().keys()
 
 
 @pytest.mark.parametrize("scale", SCALES)
-@pytest.mark.parametrize("key", sorted(entry_module.queries()))
+@pytest.mark.parametrize("key", sorted(entry_module.log_queries()))
 def test_query_equals_sql(spark, key, scale):
-    wanted = _duck(scale).sql(entry_module.oracle_sql()[key])
-    got = entry_module.queries()[key](spark, f"{DATA}/{scale}")
+    wanted = _duck(scale).sql(entry_module.log_oracle_sql()[key])
+    got = entry_module.log_queries()[key](spark, f"{DATA}/{scale}")
 
     wanted_types = {n: TYPES[str(t)] for n, t in zip(wanted.columns, wanted.types)}
     assert dict(got.dtypes) == wanted_types
