@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import decontaminate, mixing, sharding
+from logweir.llm import decontaminate, mixing, quality_rules, sharding, url_rules
 from logweir.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: Target weights of sources; all others have weight 1.
 WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 0.5}
 
+# The rules (host, path, verdict) that pages are judged by.
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
@@ -34,6 +42,11 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.select("row.doc_id", "row.source", "copy", "copies")
 
 
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
+    return url_rules.url_verdicts(read(spark, sf_dir, "pages"), rules).drop("url")
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_by_size(docs, 24).select(
@@ -47,11 +60,20 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    rows = quality_rules.judged(docs, keep=["doc_id"])
+    return rows.select("row.doc_id", *quality_rules.COUNTS, "base_failed", "kept",
+                       "class_distance", "word_distance")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_decontaminate": op2_decontaminate,
         "op3_mix_sources": op3_mix_sources,
+        "op6_url_rules": op6_url_rules,
         "op8_shard": op8_shard,
+        "op10_quality_rules": op10_quality_rules,
     }
 
 
@@ -83,5 +105,25 @@ SELECT doc_id, source, unnest(range(0, copies))::INT AS copy, copies FROM counts
 """
 
 
+_URL_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+URL_SQL = f"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {_URL_VALUES}),
+tails AS (
+ SELECT page_id, row_number() OVER () AS nth, CASE WHEN contains(url, '://')
+  THEN regexp_extract(substr(url, instr(url, '://') + 3), '^[^?#]*') ELSE '' END AS tail FROM pages),
+parts AS (
+ SELECT page_id, nth, translate(split_part(tail, '/', 1), '{_UPPER}', '{_UPPER.lower()}') AS host,
+  substr(tail, length(split_part(tail, '/', 1)) + 1) AS path FROM tails),
+fits AS (
+ SELECT p.nth, r.rule_host || r.rule_path AS rule, r.rule_verdict,
+  row_number() OVER (PARTITION BY p.nth ORDER BY length(r.rule_host || r.rule_path) DESC) AS n
+ FROM parts p JOIN rules r ON (p.host = r.rule_host OR p.host LIKE '%.' || r.rule_host)
+  AND starts_with(p.path, r.rule_path))
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.rule_verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN fits f ON p.nth = f.nth AND f.n = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": MIX_SQL}
+    return {"op3_mix_sources": MIX_SQL, "op6_url_rules": URL_SQL}
