@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import decontaminate, mixing, quality_rules, sharding, url_rules
+from logweir.llm import decontaminate, mixing, ngram_join, quality_rules, sharding, url_rules
 from logweir.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ URL_RULES = (
 )
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    joined = ngram_join.jaccard_components(docs, n=3, percent=90, keep=["doc_id"])
+    return joined.select("row.doc_id", "n_shingles", "component_id")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     found = decontaminate.contamination(docs, benchmark, keep=["doc_id"])
@@ -69,6 +75,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op2_decontaminate": op2_decontaminate,
         "op3_mix_sources": op3_mix_sources,
         "op6_url_rules": op6_url_rules,
