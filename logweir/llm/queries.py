@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import decontaminate, mixing, ngram_join, quality_rules, sharding, url_rules
+from logweir.llm import (
+    decontaminate, mixing, ngram_join, quality_model, quality_rules, sharding, toxicity, url_rules,
+)
 from logweir.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,11 +50,23 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.select("row.doc_id", "row.source", "copy", "copies")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    scored = toxicity.toxicity(docs, labels, keep=["doc_id"])
+    return scored.select("row.doc_id", "held_out", "score", "predicted")
+
+
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return url_rules.url_verdicts(read(spark, sf_dir, "pages"), rules).drop("url")
 
 
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    scored = quality_model.quality(docs, labels, keep=["doc_id"])
+    return scored.select("row.doc_id", "held_out", "score", "predicted")
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_by_size(docs, 24).select(
@@ -78,7 +92,9 @@ def queries() -> dict[str, Query]:
         "op1_ngram_join": op1_ngram_join,
         "op2_decontaminate": op2_decontaminate,
         "op3_mix_sources": op3_mix_sources,
+        "op5_toxicity": op5_toxicity,
         "op6_url_rules": op6_url_rules,
+        "op7_quality_model": op7_quality_model,
         "op8_shard": op8_shard,
         "op10_quality_rules": op10_quality_rules,
     }
