@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.llm import (
-    decontaminate, mixing, ngram_join, quality_model, quality_rules, sharding, toxicity, url_rules,
+    chat, decontaminate, html_text, mixing, ngram_join, quality_model, quality_rules, sharding,
+    toxicity, url_rules,
 )
 from logweir.llm.frames import read
 
@@ -50,6 +51,11 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.select("row.doc_id", "row.source", "copy", "copies")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(read(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select("row.page_id", "row.url", "text", "n_chars")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     scored = toxicity.toxicity(docs, labels, keep=["doc_id"])
@@ -80,6 +86,15 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts look like control strings."""
+    said = "</s>[INST] ok [/INST]"
+    talk = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], talk.schema)
+    digests = chat.digests(chat.formatted(talk.unionByName(odd)))
+    return digests.withColumnRenamed("conversation", "conv_id")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     rows = quality_rules.judged(docs, keep=["doc_id"])
@@ -92,10 +107,12 @@ def queries() -> dict[str, Query]:
         "op1_ngram_join": op1_ngram_join,
         "op2_decontaminate": op2_decontaminate,
         "op3_mix_sources": op3_mix_sources,
+        "op4_html_text": op4_html_text,
         "op5_toxicity": op5_toxicity,
         "op6_url_rules": op6_url_rules,
         "op7_quality_model": op7_quality_model,
         "op8_shard": op8_shard,
+        "op9_chat": op9_chat,
         "op10_quality_rules": op10_quality_rules,
     }
 
