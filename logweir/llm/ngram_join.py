@@ -33,7 +33,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweir.llm.components import connected
@@ -44,6 +44,8 @@ from logweir.llm.textbatch import (
 
 #: Grams in one part of a block; parts are joined in one task, two at a time.
 PART_TOKENS = 1_000_000
+#: So many rows of ids are broadcast to pick documents; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 _FAN_OUT = 8
 _SLICE_BYTES = 8 << 20
 _MOST_BITS = 1 << 16
@@ -317,6 +319,20 @@ def _join_parts(members: DataFrame, n: int, percent: int) -> DataFrame:
 # The join -------------------------------------------------------------------
 
 
+def _key(docs: DataFrame, text: str, ident: str) -> Column:
+    """Hashes of a row's id and text, neither ever null."""
+    return F.struct(
+        F.xxhash64(docs[ident]).alias("id"), F.xxhash64(docs[text]).alias("text")
+    ).alias("key")
+
+
+def _pick(docs: DataFrame, chosen: DataFrame, text: str, ident: str) -> DataFrame:
+    """Rows of ``docs`` (as ``row``) whose key is in ``chosen``, with its columns."""
+    few = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), _key(docs, text, ident))
+    return rows.join(few, "key")
+
+
 def jaccard_components(
     docs: DataFrame,
     n: int = 3,
@@ -328,7 +344,8 @@ def jaccard_components(
     """Every row as struct ``row``, with ``n_shingles``, ``class_id`` and ``component_id``.
 
     ``component_id`` is the least ``ident`` reachable by links, the row's own included;
-    nulls count only where there is nothing else. Rows without words or text have 0
+    nulls count only where there is nothing else. ``component`` is a key of the
+    component (null without words), and ``key`` (two longs) a hash of the row's id and text. Rows without words or text have 0
     n-grams, link with nothing and are their own component. Repeated rows are in one
     component. An empty table gives an empty result.
     """
@@ -347,20 +364,20 @@ def jaccard_components(
         F.struct(*[docs[c] for c in columns]).alias("row"),
         docs[text].alias("text"),
         docs[ident].alias("ident"),
-        F.xxhash64(docs[text]).alias("text_key"),
+        _key(docs, text, ident),
     )
     described = map_texts(
-        with_key, "text", "n_shingles bigint, class_id bigint", describe, ["row", "ident", "text_key"]
-    ).select("row.row", "row.ident", "row.text_key", "n_shingles", "class_id")
+        with_key, "text", "n_shingles bigint, class_id bigint", describe, ["row", "ident", "key"]
+    ).select("row.row", "row.ident", "row.key", "n_shingles", "class_id")
     rows = stored(described)
 
     # One row for each class; its first document stands for it.
-    stands = F.min(F.struct(F.col("ident").isNull().alias("no"), "ident", "text_key"))
+    stands = F.min(F.struct(F.col("ident").isNull().alias("no"), "ident", "key"))
     classes = (
         rows.where("n_shingles > 0")
         .groupBy(F.col("class_id").alias("node"))
         .agg(F.first("n_shingles").alias("n"), stands.alias("stands"))
-        .select("node", "n", "stands.ident", "stands.text_key")
+        .select("node", "n", "stands.ident", "stands.key")
     )
     blocks = connected(_candidate_ties(docs, text, n, percent))
     links = _links(docs, classes, blocks, n, percent, text, ident)
@@ -393,24 +410,15 @@ def _links(
             "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
         )
     )
-    bodies = docs.select(
-        docs[ident].alias("ident"), F.xxhash64(docs[text]).alias("text_key"), docs[text].alias("text")
-    )
-
     def with_texts(sent: DataFrame) -> DataFrame:
-        wanted = sent.alias("s").join(
-            bodies.alias("d"),
-            (F.col("s.text_key") == F.col("d.text_key"))
-            & F.col("s.ident").eqNullSafe(F.col("d.ident")),
-        )
+        wanted = _pick(docs.select(docs[ident], docs[text]), sent, text, ident)
         return wanted.select(
-            "node", "text", "root", F.explode("places").alias("place")
+            "node", F.col("row")[text].alias("text"), "root", F.explode("places").alias("place")
         ).select("node", "text", "root", "place.zone", "place.part")
 
     def grouped(sent: DataFrame) -> DataFrame:
-        return sent.groupBy("node", "root", "ident", "text_key").agg(
-            F.collect_set(F.struct("zone", "part")).alias("places")
-        )
+        places = F.collect_set(F.struct("zone", "part")).alias("places")
+        return stored(sent.groupBy("node", "root", "key").agg(places))
 
     ring = F.explode(
         F.array_distinct(
@@ -438,7 +446,7 @@ def _links(
     all_p = F.col("part") * F.col("rest_parts")
     r = F.pmod(F.xxhash64(F.lit(1), F.col("node")), F.col("rest_parts")).cast("int")
     meeting = labelled.join(rest_parts, ["root", "zone"]).select(
-        "node", "root", "ident", "text_key", "zone",
+        "node", "root", "key", "zone",
         F.explode(
             F.when(
                 F.col("component") == F.col("main"),
@@ -460,11 +468,46 @@ def _links(
 
 def _labelled(rows: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
     own = classes.join(roots, "node", "left").select(
-        "node", "ident", F.coalesce("root", "node").alias("root")
+        "node", "ident", F.coalesce("root", "node").alias("component")
+    )
+    least = own.groupBy("component").agg(F.min("ident").alias("component_id"))
+    labels = own.join(least, "component").select(
+        F.col("node").alias("class_id"), "component", "component_id"
     )
-    least = own.groupBy("root").agg(F.min("ident").alias("component_id"))
-    labels = own.join(least, "root").select(F.col("node").alias("class_id"), "component_id")
     some = rows.where("n_shingles > 0").join(labels, "class_id")
-    none = rows.where("n_shingles = 0").withColumn("component_id", F.col("ident"))
-    out = ["row", "n_shingles", "class_id", "component_id"]
+    none = rows.where("n_shingles = 0").select(
+        "*", F.lit(None).cast("bigint").alias("component"), F.col("ident").alias("component_id")
+    )
+    out = ["row", "n_shingles", "class_id", "component", "component_id", "ident", "key"]
     return some.select(*out).unionByName(none.select(*out))
+
+
+def one_of_each(
+    docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", ident: str = "doc_id"
+) -> DataFrame:
+    """The rows of ``docs``, of each component only one: that with the least ``ident``.
+
+    Of equal ids the row with the least text hash stays, and one of wholly repeated
+    rows. Rows without words are linked with nothing and all stay.
+    """
+    joined = stored(
+        jaccard_components(docs, n, percent, text, ident, keep=[ident]).select(
+            "n_shingles", "component", "ident", "key"
+        )
+    )
+    first = F.min(F.struct(F.col("ident").isNull().alias("no"), "ident", "key"))
+    leaders = (
+        joined.where("n_shingles > 0").groupBy("component").agg(first.alias("first")).select("first.key")
+    )
+    times = joined.where("n_shingles > 0").groupBy("key").agg(F.count("*").alias("times"))
+    leaders = stored(leaders.join(times, "key"))
+    wordless = joined.where("n_shingles = 0").select("key").distinct()
+    chosen = leaders.where("times = 1").select("key").unionByName(wordless)
+    kept = _pick(docs, stored(chosen), text, ident).select("row")
+    again = leaders.where("times > 1").select("key")
+    if not again.isEmpty():
+        # Rows repeated as a whole: any one of them.
+        number = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+        repeated = _pick(docs, again, text, ident).withColumn("number", number)
+        kept = kept.unionByName(repeated.where("number = 1").select("row"))
+    return kept.select("row.*")
