@@ -46,6 +46,7 @@ from logweir.llm.textbatch import (
 PART_TOKENS = 1_000_000
 #: So many rows of ids are broadcast to pick documents; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+SALTS = 16
 _FAN_OUT = 8
 _SLICE_BYTES = 8 << 20
 _MOST_BITS = 1 << 16
@@ -405,10 +406,14 @@ def _links(
         .where("sets > 1 AND own = 1")
         .select("root", "zone", F.ceil(F.col("tokens") / PART_TOKENS).cast("int").alias("parts"))
     )
+    # The sets of a large block are joined with its row in SALTS tasks, not in one.
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int").alias("salt")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     placed = stored(
-        zoned.join(zones, ["root", "zone"]).withColumn(
-            "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-        )
+        zoned.select("*", salt)
+        .join(zones.select("*", salts), ["root", "zone", "salt"])
+        .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        .drop("salt")
     )
     def with_texts(sent: DataFrame) -> DataFrame:
         wanted = _pick(docs.select(docs[ident], docs[text]), sent, text, ident)

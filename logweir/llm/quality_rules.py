@@ -1,10 +1,10 @@
 """Quality rules: counts of a text, and its distance from its language.
 
 Each document gets counts (words, symbols, repeated lines and word windows) and two
-histograms, of character classes and of common words. The histograms of all documents
-of a language, added up, are its reference; it is made twice, the second time without
-the documents that the first rejects, so that junk does not bend it. A document is kept
-if it passes the base rules and is near its reference: the Jensen-Shannon distance (base 2, 0 to 1) of each
+histograms, of character classes and of common words. The mean of those of a language's
+documents is its reference. It is made twice, the second time from the half that is
+nearer to the first, so that junk does not bend it. A document is kept if it passes the
+base rules and is near its reference: the Jensen-Shannon distance (base 2, 0 to 1) of each
 histogram is at most a limit. A histogram with too few entries says nothing and is not
 judged: that is the minimum-length guard.
 
@@ -35,8 +35,10 @@ COMMON_WORDS = (
 )
 
 #: Greatest Jensen-Shannon distances of documents that are kept. Words drawn from the
-#: reference itself are off by about 1 / sqrt(words), so that much more is allowed.
+#: reference itself are off by about 1 / sqrt(words), so that much more is allowed, and
+#: characters, which come in words, by somewhat less.
 CLASS_LIMIT = 0.18
+CLASS_NOISE = 0.7
 WORD_LIMIT = 0.2
 WORD_NOISE = 1.0
 #: Entries that a histogram needs to be judged.
@@ -184,46 +186,63 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(total, F.lit(0.0)))
 
 
+def _few(table: DataFrame) -> DataFrame:
+    """A table by language: broadcast if its rows are few."""
+    rows = table.limit(BROADCAST_LANGUAGES + 1).collect()
+    if len(rows) > BROADCAST_LANGUAGES:
+        return table
+    return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))
+
+
 def references(counts: DataFrame) -> DataFrame:
-    """``of_lang`` and the shares ``class_ref`` and ``word_ref`` of all its documents.
+    """``of_lang`` and the mean shares ``class_ref`` and ``word_ref`` of its documents.
 
-    Where the documents that ``trusted`` marks have entries, those alone count.
+    Each document with words weighs the same, so that no long one decides. Those count
+    that ``trusted`` marks, or all where it marks none. Shares are added up as whole
+    millionths, so the sums do not depend on their order.
     """
-    n = len(COMMON_WORDS) + 1
 
     def sums(name: str, size: int, only: Column) -> Column:
+        share = _shares(F.col(name))
+        whole = F.transform(share, lambda x: F.round(x * 1_000_000).cast("bigint"))
         return F.array(
-            *[F.sum(F.when(only, F.get(name, F.lit(i))).otherwise(0)) for i in range(size)]
+            *[F.sum(F.when(only, F.get(whole, F.lit(i))).otherwise(0)) for i in range(size)]
         )
 
+    worded = counts.where("n_words > 0")
+    some = F.bool_or("trusted")
+
     def best(name: str, size: int) -> Column:
-        some = F.max(F.when(F.col("trusted") & (F.col("n_words") > 0), 1)).isNotNull()
-        trusted = sums(name, size, F.col("trusted"))
-        return _shares(F.when(some, trusted).otherwise(sums(name, size, F.lit(True))))
+        return _shares(
+            F.when(some, sums(name, size, F.col("trusted"))).otherwise(
+                sums(name, size, F.lit(True))
+            )
+        )
 
-    shares = counts.groupBy(F.col("lang").alias("of_lang")).agg(
-        best("classes", len(CLASSES)).alias("class_ref"), best("common", n).alias("word_ref")
+    shares = worded.groupBy(F.col("lang").alias("of_lang")).agg(
+        best("classes", len(CLASSES)).alias("class_ref"),
+        best("common", len(COMMON_WORDS) + 1).alias("word_ref"),
     )
-    few = shares.limit(BROADCAST_LANGUAGES + 1).collect()
-    if len(few) > BROADCAST_LANGUAGES:
-        return shares
-    return F.broadcast(counts.sparkSession.createDataFrame(few, shares.schema))
+    return _few(shares)
 
 
 def _measured(counts: DataFrame) -> DataFrame:
-    """With distances from the references, and whether they are within the limits."""
-    near = counts.join(references(counts), F.col("lang").eqNullSafe(F.col("of_lang")))
-    total = F.aggregate("classes", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    measured = near.select(
+    """With distances from the references; null for a language without words."""
+    near = counts.join(references(counts), F.col("lang").eqNullSafe(F.col("of_lang")), "left")
+    return near.select(
         *counts.columns,
-        (total >= LEAST_CHARS).alias("enough_chars"),
         js_distance(_shares(F.col("classes")), F.col("class_ref")).alias("class_distance"),
         js_distance(_shares(F.col("common")), F.col("word_ref")).alias("word_distance"),
     )
+
+
+def _is_near() -> Column:
+    total = F.aggregate("classes", F.lit(0).cast("bigint"), lambda a, x: a + x)
     word_limit = WORD_LIMIT + WORD_NOISE / F.sqrt("n_words")
-    odd_chars = F.col("enough_chars") & (F.col("class_distance") > CLASS_LIMIT)
+    class_limit = CLASS_LIMIT + CLASS_NOISE / F.sqrt(F.greatest(total, F.lit(1)))
+    odd_chars = (total >= LEAST_CHARS) & (F.col("class_distance") > class_limit)
     odd_words = (F.col("n_words") >= LEAST_WORDS) & (F.col("word_distance") > word_limit)
-    return measured.withColumn("near", ~odd_chars & ~odd_words).drop("enough_chars")
+    return ~F.coalesce(odd_chars, F.lit(False)) & ~F.coalesce(odd_words, F.lit(False))
 
 
 def judged(
@@ -243,10 +262,18 @@ def judged(
     columns = list(dict.fromkeys([*(docs.columns if keep is None else keep), lang]))
     counts = stored(text_counts(docs, text, columns).withColumn("lang", F.col("row")[lang]))
     first = _measured(counts.withColumn("trusted", ~base_failed()))
-    trusted = first.withColumn("trusted", ~base_failed() & F.col("near"))
-    again = _measured(trusted.select(*counts.columns, "trusted"))
+    middle = (
+        first.where("trusted")
+        .groupBy(F.col("lang").alias("of_lang"))
+        .agg(F.percentile_approx("class_distance", 0.5).alias("middle"))
+    )
+    halved = first.join(_few(middle), F.col("lang").eqNullSafe(F.col("of_lang")), "left")
+    trusted = F.coalesce(
+        F.col("trusted") & (F.col("class_distance") <= F.col("middle")), F.lit(False)
+    )
+    again = _measured(halved.select(*counts.columns, trusted.alias("trusted")))
     return again.select(
         "row", *COUNTS,
         base_failed().alias("base_failed"), "class_distance", "word_distance",
-        (~base_failed() & F.col("near")).alias("kept"),
+        (~base_failed() & _is_near()).alias("kept"),
     )

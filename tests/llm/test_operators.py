@@ -1,0 +1,565 @@
+"""Each operator against brute force on small, awkward tables."""
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from logweir.llm import (
+    chat, components, decontaminate, html_text, mixing, ngram_join, quality_model, quality_rules,
+    sharding, toxicity, url_rules,
+)
+
+DOCS = "doc_id bigint, text string, lang string, source string"
+#: Clashing names: what operators themselves return or use inside.
+CLASHING = ["row", "text_key", "n_words", "spans", "items", "size", "shard", "slot", "key", "id",
+            "lang_", "label", "draw", "u", "copies", "place", "score", "n_chars"]
+LONG = "lorem ipsum dolor sit amet " * 20_000
+
+
+def words(rng, n, vocabulary=400):
+    return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+
+
+def near(rng, text, changes):
+    out = text.split(" ")
+    for _ in range(changes):
+        out[rng.randrange(len(out))] = f"x{rng.randrange(10**6)}"
+    return " ".join(out)
+
+
+def awkward_docs(seed=1):
+    rng = random.Random(seed)
+    base = [words(rng, n) for n in (1, 2, 3, 4, 5, 9, 30, 60, 120, 300, 700)]
+    texts = [None, None, "", "", " \n\t ", "A b C", "a B c", "é É ünï", "日本 語 です ね", "x" * 5000, LONG]
+    texts += base + base
+    for text in base[5:]:
+        texts += [near(rng, text, k) for k in (1, 1, 2, 3, 5, 9) for _ in range(3)]
+    hot = words(rng, 150)
+    texts += [near(rng, hot, rng.randrange(4)) for _ in range(120)] + [hot] * 40
+    rng.shuffle(texts)
+    rows = [(i * 3 % 1009, t, None if i % 7 == 0 else "en", f"s{i % 3}") for i, t in enumerate(texts)]
+    return rows
+
+
+def clashing(df):
+    return df.select("*", *[F.lit(1).alias(c) for c in CLASHING if c not in df.columns])
+
+
+def pairs(df, *columns):
+    return Counter(tuple(r) for r in df.select(*columns).collect())
+
+
+# Jaccard join -----------------------------------------------------------------
+
+
+@pytest.mark.parametrize("part_tokens", [1_000_000, 4_000])
+def test_components_equal_brute_force(frame, monkeypatch, part_tokens):
+    monkeypatch.setattr(ngram_join, "PART_TOKENS", part_tokens)
+    rows = awkward_docs()
+    got = ngram_join.jaccard_components(clashing(frame(rows, DOCS)))
+    wanted = Counter(brute.components([(r[0], r[1]) for r in rows]))
+    assert pairs(got, "row.doc_id", "n_shingles", "component_id") == wanted
+
+
+def test_components_with_shuffled_picks(frame, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
+    rows = awkward_docs(2)
+    got = ngram_join.jaccard_components(frame(rows, DOCS))
+    wanted = Counter(brute.components([(r[0], r[1]) for r in rows]))
+    assert pairs(got, "row.doc_id", "n_shingles", "component_id") == wanted
+
+
+def test_components_of_null_and_repeated_ids(frame):
+    text = "one two three four five six"
+    rows = [(None, text, "en", "s"), (5, text, "en", "s"), (5, text, "en", "s"), (None, "", "x", "s"),
+            (None, "other words here", "x", "s")]
+    got = ngram_join.jaccard_components(frame(rows, DOCS))
+    assert pairs(got, "row.doc_id", "component_id") == Counter(
+        [(None, 5), (5, 5), (5, 5), (None, None), (None, None)]
+    )
+
+
+def test_components_of_nothing(frame):
+    assert ngram_join.jaccard_components(frame([], DOCS)).count() == 0
+
+
+def test_one_of_each_keeps_the_least_id(frame):
+    rng = random.Random(4)
+    base = words(rng, 200)
+    copies = [near(rng, base, 3) for _ in range(10)]
+    rows = [(10 + i, t, "en", "s") for i, t in enumerate([base, *copies])]
+    rows += [(50, "alone " + words(rng, 80), "en", "s")] * 2 + [(60, "", "en", "s"), (61, None, "en", "s")]
+    got = ngram_join.one_of_each(frame(rows, DOCS))
+    assert got.columns == ["doc_id", "text", "lang", "source"]
+    assert sorted(r.doc_id for r in got.collect()) == [10, 50, 60, 61]
+
+
+def test_segment_keys_lose_no_pair():
+    rng = np.random.default_rng(3)
+    for percent in (80, 90):
+        for _ in range(200):
+            n = int(rng.integers(1, 400))
+            a = rng.integers(1, 2**63, n).astype(np.uint64)
+            b = a.copy()
+            # As many changes as still link.
+            for _ in range(int(rng.integers(0, n // 3 + 1))):
+                c = b.copy()
+                kind = rng.integers(0, 3)
+                if kind == 0:
+                    c = np.append(c, rng.integers(1, 2**63, 1).astype(np.uint64))
+                elif kind == 1 and len(c) > 1:
+                    c = np.delete(c, rng.integers(0, len(c)))
+                else:
+                    c[rng.integers(0, len(c))] = rng.integers(1, 2**63)
+                both = len(np.intersect1d(a, c))
+                if 100 * both >= percent * (len(np.union1d(a, c))):
+                    b = c
+            sets = [np.unique(a), np.unique(b)]
+            borders = np.cumsum([0, *map(len, sets)])
+            rows, keys = ngram_join.segment_keys(np.concatenate(sets), borders, percent)
+            same = np.array_equal(*sets)
+            assert same or set(keys[rows == 0]) & set(keys[rows == 1])
+
+
+def test_tree_connects_what_all_links_connect():
+    rng = np.random.default_rng(5)
+    base = rng.integers(1, 2**63, 300).astype(np.uint64)
+    sets = []
+    for _ in range(150):
+        s = base[: rng.integers(5, 300)].copy()
+        s[rng.integers(0, len(s), rng.integers(0, 6))] = rng.integers(1, 2**63)
+        sets.append(np.unique(s))
+    links = ngram_join.tree_links(sets, 90)
+
+    def groups(edges):
+        root = list(range(len(sets)))
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for i, j in edges:
+            root[find(i)] = find(j)
+        out = defaultdict(set)
+        for i in range(len(sets)):
+            out[find(i)].add(i)
+        return {frozenset(x) for x in out.values()}
+
+    every = [
+        (i, j) for i in range(len(sets)) for j in range(i)
+        if 100 * len(np.intersect1d(sets[i], sets[j])) >= 90 * len(np.union1d(sets[i], sets[j]))
+    ]
+    assert groups(links) == groups(every)
+    assert set(map(frozenset, links)) <= set(map(frozenset, every))
+
+
+def test_connected_components(frame):
+    rng = random.Random(9)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, x) for x in range(200, 260)]
+    edges += [(rng.randrange(300, 340), rng.randrange(300, 340)) for _ in range(30)] + [(5, 5)]
+    got = dict(map(tuple, components.connected(frame(edges, "a bigint, b bigint")).collect()))
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    assert got == {i: find(i) for i in root if find(i) != i}
+
+
+# Decontamination --------------------------------------------------------------
+
+
+def _contamination(found):
+    return pairs(
+        found.select(
+            "row.doc_id", "n_words", decontaminate.hit_words().alias("n_hit"),
+            F.size("items").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("digest"),
+            decontaminate.is_contaminated().alias("bad"),
+        ),
+        "doc_id", "n_words", "n_hit", "n_items", "digest", "bad",
+    )
+
+
+def awkward_benchmark(seed=7):
+    rng = random.Random(seed)
+    items = [(i, words(rng, n, 50)) for i, n in enumerate((1, 2, 5, 12, 13, 14, 20, 40, 90))]
+    items += [(20, None), (21, ""), (22, "?!"), (23, items[6][1]), (None, items[7][1])]
+    docs = []
+    for i in range(60):
+        item = items[i % 9][1].split()
+        a = rng.randrange(len(item))
+        part = item[a : a + rng.randrange(1, 30)]
+        docs.append((i, " ".join([words(rng, rng.randrange(60), 50), *part, words(rng, 9, 50)]), "en", "s"))
+    docs += [(100, None, None, None), (101, "", "en", "s"), (102, items[8][1].upper(), "en", "s"),
+             (103, "-".join(items[8][1].split()), "en", "s"), (104, LONG, "en", "s")]
+    docs += [docs[5]] * 2
+    return docs, items
+
+
+@pytest.mark.parametrize("block", [1_000_000, 30])
+def test_contamination_equals_brute_force(frame, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+    docs, items = awkward_benchmark()
+    found = decontaminate.contamination(
+        clashing(frame(docs, DOCS)), frame(items, "item_id bigint, text string")
+    )
+    items = [("" if i is None else i, t) for i, t in items]
+    assert _contamination(found) == Counter(brute.contamination([d[:2] for d in docs], items))
+    for row in found.select("spans").collect():
+        ends = [x for s in row.spans for x in s]
+        assert ends == sorted(set(ends))
+
+
+def test_contamination_with_nothing(frame):
+    docs, items = awkward_benchmark()
+    none = frame([], "item_id bigint, text string")
+    assert decontaminate.contamination(frame(docs, DOCS), none).where("size(items) > 0").count() == 0
+    some = frame(items, "item_id bigint, text string")
+    assert decontaminate.contamination(frame([], DOCS), some).count() == 0
+
+
+def test_winnowing_keeps_a_gram_in_every_run():
+    grams = np.random.default_rng(1).integers(0, 40, 500).astype(np.uint64)
+    kept = set(decontaminate.winnow(grams, 9).tolist())
+    assert all(kept & set(range(i, i + 9)) for i in range(len(grams) - 8))
+    assert len(kept) < 250
+
+
+# Mixing -----------------------------------------------------------------------
+
+
+def test_mixing_repeats_by_weight(frame):
+    rows = [(i, "x" * 100, "en", f"s{0 if i % 3 else i % 9}") for i in range(6_000)]
+    out = mixing.mixed(clashing(frame(rows, DOCS)), {"s0": 2.0, "s3": 1.0, "s6": 1.0}, epochs=2.0)
+    by = {r.source: r.n for r in out.groupBy("row.source").agg(F.count("*").alias("n")).collect()}
+    total = sum(by.values())
+    assert abs(total - 12_000) < 500
+    assert abs(by["s0"] / total - 0.5) < 0.03 and abs(by["s3"] / total - 0.25) < 0.03
+    copies = pairs(out, "row.doc_id", "copy")
+    assert set(copies.values()) == {1}
+    again = mixing.mixed(frame(rows, DOCS, 5), {"s0": 2.0, "s3": 1.0, "s6": 1.0}, epochs=2.0)
+    assert pairs(again, "row.doc_id", "copy") == copies
+
+
+def test_poisson_inverse(spark):
+    rate, n = 2.5, 4_000
+    u = spark.range(n).select(((F.col("id") + 0.5) / n).alias("u"))
+    got = Counter(r[0] for r in u.select(mixing.poisson_inverse(F.col("u"), F.lit(rate))).collect())
+    p = np.exp(-rate)
+    for k in range(8):
+        assert abs(got[k] / n - p) < 1 / n * 2
+        p *= rate / (k + 1)
+    zero = u.select(mixing.poisson_inverse(F.col("u"), F.lit(0.0)).alias("k")).distinct()
+    assert [r.k for r in zero.collect()] == [0]
+
+
+def test_mixing_awkward_rows(frame):
+    rows = [(None, None, None, None), (None, "a", None, None), (1, "", "en", "empty"), (2, "b", "en", "s")]
+    out = mixing.mixed(frame(rows, DOCS), {None: 1.0}, epochs=50.0)
+    sources = {r.source for r in out.select("row.source").distinct().collect()}
+    assert sources == {None, "s"}
+    assert mixing.mixed(frame([], DOCS)).count() == 0
+
+
+def test_mixing_without_broadcast(frame, monkeypatch):
+    rows = [(i, "x" * (i % 50), "en", f"s{i % 5}") for i in range(500)]
+    wanted = pairs(mixing.mixed(frame(rows, DOCS), {"s1": 3.0}), "row.doc_id", "copy")
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert pairs(mixing.mixed(frame(rows, DOCS), {"s1": 3.0}), "row.doc_id", "copy") == wanted
+
+
+# HTML -------------------------------------------------------------------------
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
+<header class=site><h1>Site</h1><p>Long header, with commas, and more, of it all</p></header>
+<div id="cookie-notice"><p>We use cookies, lots of them, please accept our use of cookies, thanks.</p></div>
+<nav><ul><li><a href=/>Home</a></ul></nav><div class="layout">
+<div class="sidebar"><p>Some side text, that is long, longer, longest, and also here.</p></div>
+<div class="post"><h2>Title &amp; more</h2><p>First &lt;b&gt;, of <b>some</b>
+ length, with <a href="x">a link</a> and more&nbsp;text.<p>Second one.<br>Next &eacute;&#233;&#xe9; line</p>
+<!-- <p>hidden</p> --><script>var t = "<p>no</p>";</script>
+<ul><li>item one<li>item two</ul><table><tr><td>a<td>b</table>
+<form><p>Sign up, now</p></form><div class="ad-banner">buy</div></div>
+<section class="comments"><p>A long reader comment, with many commas, many, many words, so what?</p></section>
+</div><footer>foot</footer></body>"""
+ARTICLE = [
+    "Title & more", "First <b>, of some length, with a link and more text.", "Second one. Next ééé line",
+    "item one", "item two", "a", "b",
+]
+
+
+def test_main_text():
+    assert html_text.main_text(PAGE).split("\n") == ARTICLE
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (None, ""), ("", ""), ("   ", ""), ("<div></div>", ""), ("plain  words &amp", "plain words &"),
+        ("<p>a<p>b", "a\nb"), ("<div><div>a</div>b<div>c</div></div>", "a\nb\nc"), ("3 < 4", "3 < 4"),
+        ("<p>cut <b", "cut"), ("</p></div>x", "x"), ("<script>x", ""), ("<p title='>'>a</p>", "a"),
+        ("<nav>only menu</nav>", ""), ("<body class='menu'><p>x</p></body>", "x"),
+    ],
+)
+def test_main_text_of_fragments(html, text):
+    assert html_text.main_text(html) == text
+
+
+def test_extract_frame(frame):
+    deep = "<div>" * 3_000 + "deep" + "</div>" * 3_000
+    rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, "v", deep), (3, "w", "<p>" + LONG)]
+    got = html_text.extract(
+        clashing(frame(rows, "page_id bigint, url string, html string")), keep=["page_id"]
+    )
+    found = sorted(((r.row.page_id or 0), r.text, r.n_chars) for r in got.collect())
+    article = "\n".join(ARTICLE)
+    assert found == [(0, "", 0), (1, article, len(article)), (1, article, len(article)),
+                     (2, "deep", 4), (3, LONG.strip(), len(LONG.strip()))]
+    assert html_text.extract(frame([], "page_id bigint, url string, html string")).count() == 0
+
+
+# Toxicity and quality ---------------------------------------------------------
+
+
+def _labelled_docs(n=700):
+    rng = random.Random(11)
+    rows, labels = [], []
+    for i in range(n):
+        text = words(rng, rng.randrange(20, 120), 3_000)
+        toxic = i % 6 == 0
+        if toxic:
+            for _ in range(2):
+                at = rng.randrange(len(text.split()))
+                text = " ".join([*text.split()[:at], rng.choice(["Awful,", "vile"]), *text.split()[at:]])
+        quality = i % 4 != 0
+        if not quality:
+            text = " ".join(w + "$$$" for w in text.split())
+        rows.append((i, text, "en", "s"))
+        labels.append((i, int(quality), int(toxic)))
+    return rows, labels
+
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+@pytest.mark.parametrize(
+    ("work", "truth", "folds", "held"),
+    [(toxicity.toxicity, 2, 4, 2), (quality_model.quality, 1, 3, 1)],
+)
+def test_scores_on_held_out_rows(frame, work, truth, folds, held):
+    rows, labels = _labelled_docs()
+    odd = [(None, 1, 1), (10**9, 0, 1), (5, None, None), (6, 7, 7)]
+    extra = [(9_001, None, None, None), (9_002, "", "en", "s"), (None, "w1 w2", "en", "s")]
+    scored = work(
+        clashing(frame(rows + extra + [rows[0]], DOCS)), frame(labels + odd, LABELS), keep=["doc_id"]
+    ).collect()
+    assert len(scored) == len(rows) + 4
+    assert all(0 <= r.score <= 1 for r in scored)
+    by_id = {r.row.doc_id: r for r in scored}
+    assert all(
+        by_id[i].held_out == (brute.crc(str(i)) % folds == held) for i in by_id if i is not None
+    )
+    unseen = [x for x in labels if by_id[x[0]].held_out]
+    right = sum(by_id[x[0]].predicted == x[truth] for x in unseen)
+    assert len(unseen) > 100 and right / len(unseen) > 0.97
+
+
+def test_scores_use_no_held_out_label(frame):
+    rows, labels = _labelled_docs(300)
+    flipped = [
+        (i, 1 - q if brute.crc(str(i)) % 3 == 1 else q, 1 - t if brute.crc(str(i)) % 4 == 2 else t)
+        for i, q, t in labels
+    ]
+    for work in (toxicity.toxicity, quality_model.quality):
+        a, b = (
+            {r.row.doc_id: r.score for r in work(frame(rows, DOCS), frame(x, LABELS)).collect()}
+            for x in (labels, flipped)
+        )
+        assert a == pytest.approx(b)
+
+
+def test_scores_without_labels(frame):
+    rows, labels = _labelled_docs(20)
+    none = frame([], LABELS)
+    assert {r.score for r in toxicity.toxicity(frame(rows, DOCS), none).collect()} == {0.0}
+    assert {r.score for r in quality_model.quality(frame(rows, DOCS), none).collect()} == {0.5}
+    some = frame(labels, LABELS)
+    for work in (toxicity.toxicity, quality_model.quality):
+        assert work(frame([], DOCS), some).count() == 0
+
+
+def test_kneser_ney_sums_to_one():
+    rng = np.random.default_rng(2)
+    counts = rng.poisson(0.7, 1 << 10).astype(float)
+    shared = counts + rng.poisson(2.0, 1 << 10)
+    assert np.exp(toxicity.kneser_ney(counts, shared)).sum() == pytest.approx(1)
+    assert np.exp(toxicity.kneser_ney(counts * 0, shared)).sum() == pytest.approx(1)
+
+
+# URL rules --------------------------------------------------------------------
+
+URLS = [
+    None, "", "no scheme", "http://", "http:///en/", "https://Example.NET/en/x?y#z", "http://example.net/en",
+    "http://a.b.example.net/en/1", "http://xexample.net/en/1", "ftp://net/", "http://net", "http://x.net?/a",
+    "http://example.com/de/1", "http://example.com/DE/1", "http://org/fr/", "http://a.org/fr/#/en/",
+    "http://a..net/", "http://user@example.net:80/en/", "http://example.net/en/://b.org/fr/", "http://É.net/é/",
+    "://example.com/de/", "http://a.net\n/x",
+]
+
+
+@pytest.mark.parametrize("partitions", ["2", "9"])
+def test_url_verdicts_equal_brute_force(spark, frame, partitions):
+    rng = random.Random(3)
+    rules = list(brute.RULES)
+    hosts = ["net", "example.net", "a.example.net", "com", "b.com"]
+    for _ in range(40):
+        rules.append(
+            (rng.choice(hosts), "/" + "ab/"[: rng.randrange(4)] + "x" * rng.randrange(3), rng.choice(["allow", "block"]))
+        )
+    rules = [(h, p, max(v for x, y, v in rules if (x, y) == (h, p))) for h, p, _ in rules]
+    urls = URLS + [
+        f"http://{rng.choice(['', 'www.', 'q.a.'])}{rng.choice(hosts)}/{rng.choice(['', 'a', 'ab', 'ab/', 'ab/xx', 'x'])}"
+        for _ in range(300)
+    ]
+    rows = [(i % 150, u) for i, u in enumerate(urls)] + [(7, urls[-1])] * 500
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = url_rules.url_verdicts(
+            clashing(frame(rows, "page_id bigint, url string")),
+            frame([*rules, (None, "/", "block")], "host string, path string, verdict string"),
+        )
+        found = pairs(got, "page_id", "url", "host", "path", "rule", "verdict")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    wanted = Counter()
+    for i, u in rows:
+        host, path, rule, verdict = brute.url_verdict(u, rules)
+        wanted[(i, u, host, path, rule, verdict or "allow")] += 1
+    # Rules of one length fit in several ways; their text may differ, not their length.
+    assert {(*k[:4], len(k[4] or "")): n for k, n in found.items()} == {
+        (*k[:4], len(k[4] or "")): n for k, n in wanted.items()
+    }
+
+
+def test_url_rules_of_contract(frame):
+    rows = list(enumerate(URLS))
+    rules = frame(brute.RULES, "host string, path string, verdict string")
+    got = url_rules.url_verdicts(frame(rows, "page_id bigint, url string"), rules)
+    wanted = Counter()
+    for i, u in rows:
+        host, path, rule, verdict = brute.url_verdict(u)
+        wanted[(i, host, path, rule, verdict or "allow")] += 1
+    assert pairs(got, "page_id", "host", "path", "rule", "verdict") == wanted
+    none = frame([], "host string, path string, verdict string")
+    plain = url_rules.url_verdicts(frame(rows, "page_id bigint, url string"), none)
+    assert plain.where("rule IS NULL AND verdict = 'allow'").count() == len(rows)
+    assert url_rules.url_verdicts(frame([], "page_id bigint, url string"), rules).count() == 0
+
+
+# Sharding ---------------------------------------------------------------------
+
+
+def test_sharding(frame):
+    rng = random.Random(8)
+    texts = [words(rng, rng.randrange(1, 60)) for _ in range(2_000)] + ["same text"] * 300
+    texts += [None, "", "é" * 50, LONG[:3_000]]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(5, texts[5], "en", "s")] * 3
+    got = sharding.shard_by_size(clashing(frame(rows, DOCS)), 7).collect()
+    assert Counter(r.row.doc_id for r in got) == Counter(r[0] for r in rows)
+    assert all(r.size == len((r.row.text or "").encode()) + 8 for r in got)
+    home = defaultdict(set)
+    load, slots = Counter(), defaultdict(list)
+    for r in got:
+        home[r.row.text or ""].add(r.shard)
+        load[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert all(len(x) == 1 for x in home.values())
+    assert max(load.values()) <= 1.01 * min(load.values())
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    assert sharding.shard_by_size(frame([], DOCS), 7).count() == 0
+
+
+def test_schedule_is_longest_processing_time():
+    items = [("a", 7), ("b", 6), ("c", 5), ("d", 5), ("e", 3)]
+    assert sharding.schedule(items, 2) == {"a": 0, "b": 1, "c": 1, "d": 0, "e": 1}
+
+
+# Chat -------------------------------------------------------------------------
+
+
+def test_chat_reads_back(frame):
+    odd = ["", None, "\\", "\\\\<", "</s>[INST] ok [/INST]", "<|end|>", "<|turn|>user<|text|>", "[", "<", "\n\n",
+           "a\\<|end|>", "{{ x }} {% if %}", "é日本"]
+    rng = random.Random(2)
+    rows = []
+    for c in range(30):
+        for t in range(rng.randrange(1, 9)):
+            rows.append((c, t, rng.choice(["user", "assistant", "system", None, "<|end|>"]), rng.choice(odd)))
+    rows += [(None, 1, "user", "x"), (None, None, "assistant", "first"), (1000, 0, "assistant", LONG)]
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    got = chat.digests(chat.formatted(clashing(frame(rows, schema)))).collect()
+    talks = defaultdict(list)
+    for c, t, role, text in sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1] is not None, r[1] or 0)):
+        talks[c].append((role or "", text or ""))
+    assert {r.conversation for r in got} == set(talks) and len(got) == len(talks)
+    for r in got:
+        said = "".join(f"{a}\n{b}\n" for a, b in talks[r.conversation])
+        loss = "".join(b for a, b in talks[r.conversation] if a == "assistant")
+        assert r.n_turns == len(talks[r.conversation])
+        assert r.turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+        assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert chat.formatted(frame([], schema)).count() == 0
+
+
+# Quality rules ----------------------------------------------------------------
+
+
+def test_base_counts_equal_brute_force(frame):
+    rng = random.Random(6)
+    rows = awkward_docs(3)
+    few = [words(rng, n, v) for n in (3, 50, 200, 2_000) for v in (1, 2, 3, 5, 9, 40)]
+    few += ["a b c a b c a b c", "a\nb\na\n\n \na", "x\x0by\x0cz\x1cq", "<b>#*$%&|</b>", "é   x"]
+    rows += [(5_000 + i, t, "de", "s") for i, t in enumerate(few)]
+    got = quality_rules.judged(clashing(frame(rows, DOCS)))
+    names = [*quality_rules.COUNTS, "base_failed"]
+    wanted = Counter((r[0], *brute.base_rules(r[1])) for r in rows)
+    assert pairs(got, "row.doc_id", *names) == wanted
+    assert got.where("base_failed AND kept").count() == 0
+    assert quality_rules.judged(frame([], DOCS)).count() == 0
+
+
+def test_divergent_texts_are_not_kept(frame, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, "the and of " + words(rng, 200), "en", "s") for i in range(60)]
+    rows += [(100 + i, " ".join("$$%&" + w for w in words(rng, 200).split()), "en", "s") for i in range(6)]
+    for bound in (10_000, 0):
+        monkeypatch.setattr(quality_rules, "BROADCAST_LANGUAGES", bound)
+        kept = {r.row.doc_id: r.kept for r in quality_rules.judged(frame(rows, DOCS)).collect()}
+        assert all(kept[i] == (i < 100) for i in kept)
+
+
+def test_js_distance(spark):
+    def shares(x):
+        return F.array(*map(F.lit, x))
+
+    p, q = [0.5, 0.5, 0.0], [0.0, 0.25, 0.75]
+    m = [(a + b) / 2 for a, b in zip(p, q, strict=True)]
+    kl = [sum(a * np.log2(a / b) for a, b in zip(x, m, strict=True) if a) for x in (p, q)]
+    row = spark.range(1).select(
+        quality_rules.js_distance(shares(p), shares(q)), quality_rules.js_distance(shares(p), shares(p)),
+        quality_rules.js_distance(shares([1.0, 0.0]), shares([0.0, 1.0])),
+    ).first()
+    assert row[0] == pytest.approx(np.sqrt(sum(kl) / 2))
+    assert (row[1], row[2]) == (pytest.approx(0, abs=1e-7), pytest.approx(1))
