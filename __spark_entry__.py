@@ -31,7 +31,8 @@ from logweir.schemas import (
 )
 from logweir.scratch import scratch_dir
 from logweir.sinks import Run, append_run, write_table, write_tsv
-from logweir.sources import coerce_numbers, read_raw_logs, read_store, read_table, read_tsv
+from logweir.sinks.runs import append_results
+from logweir.sources import read_documents, read_raw_logs, read_store, read_table, read_tsv
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 _WHEN = datetime(2024, 9, 1, 12, 0, 0, tzinfo=timezone.utc)
@@ -154,12 +155,25 @@ def _result_roundtrip(name: str, schema) -> Query:
 
 
 def documents_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily traffic as documents whose counts come back as doubles."""
+    """Daily traffic as documents whose numbers are ints, longs and doubles.
+
+    Totals of odd statuses are longs above 2**53, those of even ones doubles.
+    """
     path = f"{scratch_dir(spark)}/query1"
-    op.daily_traffic(_valid(spark, sf_dir), ordered=False).write.json(path)
-    loose = "batch_id int, log_date string, status_code int, request_count double"
-    documents = spark.read.schema(f"{loose}, total_bytes double").json(path)
-    return coerce_numbers(documents, DAILY_TRAFFIC)
+    even = F.col("status_code") % 2 == 0
+    text = {name: F.col(name).cast("string") for name in DAILY_TRAFFIC.fieldNames()}
+    text["log_date"] = F.concat(F.lit('"'), "log_date", F.lit('"'))
+    text["request_count"] = F.when(even, F.concat("request_count", F.lit(".75"))).otherwise(
+        text["request_count"]
+    )
+    text["total_bytes"] = F.when(even, F.concat("total_bytes", F.lit(".0e0"))).otherwise(
+        (F.col("total_bytes") + 2**53 + 1).cast("string")
+    )
+    fields = [F.concat(F.lit(f'"{name}": '), value) for name, value in text.items()]
+    document = F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}"))
+    daily = op.daily_traffic(_valid(spark, sf_dir), ordered=False)
+    daily.select(document.alias("value")).write.text(path)
+    return read_documents(spark, path, DAILY_TRAFFIC)
 
 
 def results_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,25 +213,78 @@ def malformed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_runs(spark: SparkSession, sf_dir: str) -> str:
-    """A store with run 1 over both batches and run 2 over batch 1."""
+    """A store with run 1, where fields may follow the byte count, and run 2."""
     store = f"{scratch_dir(spark)}/store"
     tagged = _tagged(spark, sf_dir)
-    for run_id, batch in ((1, 0), (2, 1)):
+    for run_id, match in ((1, "prefix"), (2, "full")):
         table = f"{store}-valid-{run_id}"
-        stats = clean_to_table(tagged, table, batch=batch)
+        stats = clean_to_table(tagged, table, match=match)
         results = query_results(read_table(spark, table), ordered=False)
-        this = Run(run_id, batch=batch, executed_at=_WHEN)
+        this = Run(run_id, executed_at=_WHEN)
         append_run(spark, store, this, results, stats, runtime_ms=0)
     return store
 
 
-def results_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_store(spark, _two_runs(spark, sf_dir), QUERY_TABLES["Query1"])
-    return rows.drop("executed_at")
+def _results_append(query: str) -> Query:
+    def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stored = read_store(spark, _two_runs(spark, sf_dir), QUERY_TABLES[query])
+        return stored.drop("executed_at")
+
+    return rows
+
+
+def results_after_dead_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows of each run are seen after one that died before its record.
+
+    The dead run had all results under id 1; the next, one query of one batch,
+    gets another id, and so does not show them.
+    """
+    output = scratch_dir(spark)
+    dead = query_results(_valid(spark, sf_dir), ordered=False)
+    append_results(f"{output}/store", Run(1, executed_at=_WHEN), dead)
+    done = run(spark, _log_files(spark, sf_dir), output, query="Query3", batch=2)
+    seen = [
+        read_store(spark, f"{output}/store", table).select("run_id", F.lit(query).alias("query"))
+        for query, table in QUERY_TABLES.items()
+    ]
+    rows = seen[0].unionAll(seen[1]).unionAll(seen[2])
+    counts = rows.groupBy("run_id", "query").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.withColumn("given_id", F.lit(done.run.run_id).cast("bigint"))
+
+
+def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs say of their input, read back from the store."""
+    output, files = scratch_dir(spark), _log_files(spark, sf_dir)
+    for batch in (0, 2):
+        run(spark, files, output, query="Query1", batch=batch)
+    rows = read_store(spark, f"{output}/store", "batch_metadata")
+    name = F.regexp_replace("source_file", "^.*/", "")
+    return rows.withColumn("source_file", name)
+
+
+def _beyond_long(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    """Over lines of which some claim the greatest long; totals as text."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        valid = op.clean_logs(op.tag_batch(fixtures.raw_lines(spark, sf_dir, huge=True)))
+        return _text_totals(operator(valid))
+
+    return query
+
+
+def _text_totals(frame: DataFrame) -> DataFrame:
+    return frame.withColumn("total_bytes", F.col("total_bytes").cast("string"))
+
+
+def totals_beyond_long_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_dir(spark)}/query1"
+    valid = op.clean_logs(op.tag_batch(fixtures.raw_lines(spark, sf_dir, huge=True)))
+    write_tsv(op.daily_traffic(valid, ordered=False), path)
+    return _text_totals(read_tsv(spark, path, DAILY_TRAFFIC))
 
 
 def report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run 2's header with its malformed line, from a store of two runs."""
+    """Run 2's header with its malformed line, from a store of two runs of both batches."""
     store = _two_runs(spark, sf_dir)
     header = report(spark, store, 2)["run"].drop("executed_at", "runtime_ms")
     return header.join(malformed_line(spark, store, 2), "run_id")
@@ -329,7 +396,22 @@ def oracle_sql() -> dict[str, str]:
     return log_oracle_sql() | text_oracle_sql()
 
 
+def _as_longs(query: Query) -> Query:
+    """Exact totals as longs, where they fit; an error where not."""
+
+    def run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        frame = query(spark, sf_dir)
+        exact = [name for name, kind in frame.dtypes if kind == "decimal(38,0)"]
+        return frame.withColumns({name: F.col(name).cast("bigint") for name in exact})
+
+    return run_query
+
+
 def log_queries() -> dict[str, Query]:
+    return {name: _as_longs(query) for name, query in _log_queries().items()}
+
+
+def _log_queries() -> dict[str, Query]:
     return {
         "scan_tagged_lines": scan_tagged_lines,
         "batch_tag_file": batch_tag_file,
@@ -350,6 +432,12 @@ def log_queries() -> dict[str, Query]:
         "q2_top_resources": _over_valid(op.top_resources),
         "q2_top_resources_rescan": _over_valid(lambda v: op.top_resources(v, rescan=True)),
         "q2_top_resources_batch_tie": _over_valid(lambda v: op.top_resources(v, tie="batch")),
+        "q2_top_resources_large_k": _over_valid(
+            lambda v: op.top_resources(v, k=1_000_000, rescan=True)
+        ),
+        "totals_beyond_long_daily": _beyond_long(op.daily_traffic),
+        "totals_beyond_long_resources": _beyond_long(op.resource_traffic),
+        "totals_beyond_long_tsv": totals_beyond_long_tsv,
         "q3_hourly_errors": _over_valid(op.hourly_errors),
         "q3_hourly_errors_join": _over_valid(op.hourly_errors_by_join),
         "q3_three_way_join": _over_valid(op.hourly_errors_by_two_joins),
@@ -370,7 +458,11 @@ def log_queries() -> dict[str, Query]:
         "results_tsv_load_errors": _result_roundtrip("Query3", HOURLY_ERRORS),
         "documents_load": documents_load,
         "results_overwrite": results_overwrite,
-        "results_append": results_append,
+        "results_append": _results_append("Query1"),
+        "results_append_resources": _results_append("Query2"),
+        "results_append_errors": _results_append("Query3"),
+        "results_after_dead_run": results_after_dead_run,
+        "run_metadata": run_metadata,
         "report_run": report_run,
         "report_q1": _preview("Query1"),
         "report_q2": _preview("Query2"),
@@ -409,9 +501,19 @@ def _q3(source: str = "v") -> str:
  FROM {source} GROUP BY batch_id, log_date, log_hour"""
 
 
+def _top(source: str) -> str:
+    return f"{_q2(source)} ORDER BY request_count DESC, resource_path, batch_id LIMIT 20"
+
+
+def _both_runs(first: str, second: str) -> str:
+    return f"""SELECT CAST(1 AS BIGINT) AS run_id, 'Spark' AS pipeline_name, *
+ FROM ({first}) UNION ALL SELECT CAST(2 AS BIGINT), 'Spark', * FROM ({second})"""
+
+
+_HUGE_Q1 = f"""SELECT * REPLACE (CAST(total_bytes AS VARCHAR) AS total_bytes)
+ FROM ({_q1().replace("CAST(sum(bytes) AS BIGINT)", "sum(bytes)")})"""
 _TOP = f"{_q2()} ORDER BY request_count DESC, resource_path, batch_id LIMIT 20"
 _TOP_BATCH_TIE = f"{_q2()} ORDER BY request_count DESC, batch_id, resource_path LIMIT 20"
-_ONE = "(SELECT * FROM v WHERE batch_id = 1)"
 _COUNTS = """(SELECT (SELECT count(*) FROM raw) AS t, (SELECT count(*) FROM v) AS ok)"""
 _COUNTS_OF = """(SELECT (SELECT count(*) FROM raw WHERE {file}) AS t,
  (SELECT count(*) FROM v WHERE batch_id = {batch}) AS ok)"""
@@ -488,23 +590,37 @@ def log_oracle_sql() -> dict[str, str]:
         "results_tsv_load": _q1(),
         "results_tsv_load_resources": _TOP,
         "results_tsv_load_errors": _q3(),
-        "documents_load": _q1(),
+        "documents_load": f"""SELECT batch_id, log_date, status_code, request_count,
+ CASE WHEN status_code % 2 = 0 THEN total_bytes ELSE total_bytes + 9007199254740993 END
+ AS total_bytes FROM ({_q1()})""",
         "results_overwrite": _q1(),
-        "results_append": f"""SELECT CAST(1 AS BIGINT) AS run_id, 'Spark' AS pipeline_name, *
- FROM ({_q1()}) UNION ALL
- SELECT CAST(2 AS BIGINT), 'Spark', * FROM ({_q1(_ONE)})""",
+        "results_append": _both_runs(_q1("v_prefix"), _q1()),
+        "results_append_resources": _both_runs(f"({_top('v_prefix')})", f"({_top('v')})"),
+        "results_append_errors": _both_runs(_q3("v_prefix"), _q3()),
+        "results_after_dead_run": f"""SELECT CAST(2 AS BIGINT) AS run_id, 'Query3' AS query,
+ count(*) AS n_rows, CAST(2 AS BIGINT) AS given_id
+ FROM ({_q3("(SELECT * FROM v WHERE batch_id = 2)")})""",
+        "run_metadata": f"""SELECT CAST(1 AS BIGINT) AS run_id, CAST(0 AS INT) AS batch_id,
+ 'Combined' AS batch_label, 'logs' AS source_file, t AS record_count FROM {_COUNTS}
+ UNION ALL SELECT CAST(2 AS BIGINT), CAST(2 AS INT), 'August 1995',
+ 'logs [batch 2 by file_name]', t FROM {_COUNTS_2}""",
+        "q2_top_resources_large_k": _q2(),
+        "totals_beyond_long_daily": _HUGE_Q1,
+        "totals_beyond_long_tsv": _HUGE_Q1,
+        "totals_beyond_long_resources": f"""SELECT * REPLACE (CAST(total_bytes AS VARCHAR)
+ AS total_bytes) FROM ({_q2().replace("CAST(sum(bytes) AS BIGINT)", "sum(bytes)")})""",
         "report_run": f"""SELECT CAST(2 AS BIGINT) AS run_id, 'Spark' AS pipeline_name,
- 'All' AS query_name, CAST(1 AS INT) AS batch_id, CAST(0 AS INT) AS batch_size,
- CAST(t AS DOUBLE) AS avg_batch_size, t AS records_processed,
+ 'All' AS query_name, CAST(0 AS INT) AS batch_id, CAST(0 AS INT) AS batch_size,
+ CAST(t AS DOUBLE) / 2 AS avg_batch_size, t AS records_processed,
  t - ok AS malformed_record_count, t - ok AS malformed_count, t AS total_count,
- {_PCT} AS malformed_pct FROM {_COUNTS_1}""",
+ {_PCT} AS malformed_pct FROM {_COUNTS}""",
         "report_q1": f"""SELECT log_date, status_code, request_count, total_bytes
- FROM ({_q1(_ONE)}) ORDER BY log_date, status_code, batch_id LIMIT 10""",
+ FROM ({_q1()}) ORDER BY log_date, status_code, batch_id LIMIT 10""",
         "report_q2": f"""SELECT resource_path, request_count, total_bytes, distinct_host_count
- FROM ({_q2(_ONE)}) ORDER BY request_count DESC, resource_path, batch_id LIMIT 10""",
+ FROM ({_q2()}) ORDER BY request_count DESC, resource_path, batch_id LIMIT 10""",
         "report_q3": f"""SELECT log_date, log_hour, error_request_count, total_request_count,
  error_rate * CAST(100 AS DOUBLE) AS error_percent, distinct_error_hosts
- FROM ({_q3(_ONE)}) ORDER BY log_date, log_hour, batch_id LIMIT 10""",
+ FROM ({_q3()}) ORDER BY log_date, log_hour, batch_id LIMIT 10""",
         "path_truncate": """SELECT event_id, CASE WHEN length('/' || host || resource_path) > 39
  THEN substr('/' || host || resource_path, 1, 36) || '...'
  ELSE '/' || host || resource_path END AS path FROM v""",
@@ -520,6 +636,10 @@ def log_oracle_sql() -> dict[str, str]:
  CAST(0 AS BIGINT) FROM {_COUNTS}""",
     }
     return {
-        key: fixtures.oracle(body, "prefix" if key == "match_prefix" else "full")
+        key: fixtures.oracle(
+            body,
+            "prefix" if key == "match_prefix" else "full",
+            huge=key.startswith("totals_beyond_long"),
+        )
         for key, body in bodies.items()
     }

@@ -13,6 +13,15 @@ from logweir.plans import report, run
 from logweir.schemas import QUERY_NAMES
 
 
+def session() -> SparkSession:
+    """A session whose table writes need no sort: at most two batches are open at once."""
+    spark = SparkSession.builder.appName("logweir").getOrCreate()
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    if int(spark.conf.get(name, "0")) == 0:
+        spark.conf.set(name, "4")
+    return spark
+
+
 def main() -> None:
     options = argparse.ArgumentParser(prog="logweir")
     options.add_argument("--input", required=True, help="directory of access logs")
@@ -25,7 +34,7 @@ def main() -> None:
     options.add_argument("--partitions", type=int, default=None, help="spread unsplittable input")
     given = options.parse_args()
 
-    spark = SparkSession.builder.appName("logweir").getOrCreate()
+    spark = session()
     done = run(
         spark,
         given.input,

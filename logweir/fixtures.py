@@ -35,7 +35,7 @@ SELECT event_id,
       WHEN event_type = 'error'
         THEN CASE event_id % 3 WHEN 0 THEN '404' WHEN 1 THEN '500' ELSE '403' END
       WHEN event_id % 11 = 0 THEN '304' ELSE '200' END AS status,
- CASE WHEN event_id % 50 = 41 THEN '12x'
+ CASE {huge} WHEN event_id % 50 = 41 THEN '12x'
       WHEN event_id % 100 = 47 THEN '99999999999999999999'
       WHEN event_type = 'error' OR event_id % 11 = 0 THEN '-'
       ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS {text}) END AS bytes_text
@@ -69,14 +69,18 @@ WHERE event_id % 50 NOT IN {malformed} AND event_id % 100 <> 47
 LOG_FILES = ("access_log_Jul95", "access_log_Aug95")
 
 
-def _base(dialect: str) -> str:
-    return _BASE.format(**_DIALECTS[dialect])
+#: Every fifth line claims as many bytes as a long can hold.
+_HUGE = "WHEN event_id % 5 = 0 THEN '9223372036854775807'"
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _base(dialect: str, huge: bool = False) -> str:
+    return _BASE.format(**_DIALECTS[dialect], huge=_HUGE if huge else "")
+
+
+def raw_lines(spark: SparkSession, sf_dir: str, huge: bool = False) -> DataFrame:
     """``event_id``, ``file_name``, ``line`` and the parts the line is made of."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    base = spark.sql(_base("spark").replace("FROM events", "FROM {events}"), events=events)
+    base = spark.sql(_base("spark", huge).replace("FROM events", "FROM {events}"), events=events)
     return spark.sql(_RAW.replace("FROM base", "FROM {base}"), base=base)
 
 
@@ -98,8 +102,14 @@ def write_log_files(raw: DataFrame, path: str) -> None:
         )
 
 
-def oracle(body: str, match: str = "full") -> str:
-    """``body`` over the CTEs ``base``, ``raw`` and ``v`` (valid logs) for DuckDB."""
-    malformed = "(7, 13, 21, 33)" if match == "full" else "(7, 13, 21)"
-    valid = _VALID.format(malformed=malformed)
-    return f"WITH base AS ({_base('duckdb')}), raw AS ({_RAW}), v AS ({valid})\n{body}"
+def oracle(body: str, match: str = "full", huge: bool = False) -> str:
+    """``body`` over the CTEs ``base``, ``raw`` and ``v`` (valid logs) for DuckDB.
+
+    ``v_prefix`` are the logs that are valid when fields may follow.
+    """
+    prefix = _VALID.format(malformed="(7, 13, 21)")
+    valid = _VALID.format(malformed="(7, 13, 21, 33)") if match == "full" else prefix
+    return (
+        f"WITH base AS ({_base('duckdb', huge)}), raw AS ({_RAW}), v AS ({valid}), "
+        f"v_prefix AS ({prefix})\n{body}"
+    )

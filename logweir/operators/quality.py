@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from logweir.functions.measures import percentage
 from logweir.operators.cleaning import parse_access_log, select_batch
-from logweir.schemas import BATCH_FILES, BATCH_LABELS, BATCH_METADATA, MALFORMED_SUMMARY, RUNS
+from logweir.schemas import (
+    BATCH_FILES,
+    BATCH_LABELS,
+    BATCH_METADATA,
+    DEFAULT_INPUT,
+    MALFORMED_SUMMARY,
+    RUNS,
+)
 
 
 def record_counts(is_valid: Column) -> list[Column]:
@@ -71,11 +78,25 @@ def run_record(
     )
 
 
+def _source(batch: int, input_dir: str, batch_rule: str | int) -> str:
+    """What was read: the input, and for one batch the rule that chose its lines."""
+    if input_dir == DEFAULT_INPUT and batch_rule == "file_name":
+        return "/".join(part for part in (input_dir, BATCH_FILES[batch]) if part)
+    return input_dir if batch == 0 else f"{input_dir} [batch {batch} by {batch_rule}]"
+
+
 def batch_metadata(
-    stats: DataFrame, run_id: int, batch: int = 0, input_dir: str = "/input/logs"
+    stats: DataFrame,
+    run_id: int,
+    batch: int = 0,
+    input_dir: str = DEFAULT_INPUT,
+    batch_rule: str | int = "file_name",
 ) -> DataFrame:
-    """What a run read: the batch's label, its source and its number of lines."""
-    source = "/".join(part for part in (input_dir.rstrip("/"), BATCH_FILES[batch]) if part)
+    """What a run read: the batch's label, its source and its number of lines.
+
+    The fixed file names stand for the fixed input only.
+    """
+    source = _source(batch, input_dir, batch_rule)
     return _typed(
         stats,
         BATCH_METADATA,

@@ -9,15 +9,30 @@ from logweir.schemas import DAILY_TRAFFIC, TOP_RESOURCE, TOP_RESOURCES
 
 _RESOURCE = ["batch_id", "resource_path"]
 
-# A lookup of at most this many rows is broadcast; a larger one is left to the
-# optimizer, which then joins by shuffling.
+# Winners up to this many rows are broadcast to a second scan. For more, the
+# one-scan form is used: a join of raw rows by path would have a hot key.
 BROADCAST_ROWS = 1_000
 
+# A byte count is summed in parts of so many bits. The sum of a part stays within
+# a long for 2**42 lines in a group, and all parts together are exact.
+_PART_BITS = 21
+
 
 def _volume() -> list[Column]:
-    # Two lines that claim 2**63 - 1 bytes must not fail the whole job, as a
-    # plain sum would in ANSI mode: a total beyond a long is NULL.
-    return [F.count(F.lit(1)).alias("request_count"), F.try_sum("bytes").alias("total_bytes")]
+    return [F.count(F.lit(1)).alias("request_count"), exact_total("bytes").alias("total_bytes")]
+
+
+def exact_total(name: str) -> Column:
+    """The exact sum of a column of longs of 0 or more, as ``decimal(38,0)``."""
+    mask = F.lit((1 << _PART_BITS) - 1)
+    total = None
+    for part in range(3):
+        bits = F.shiftright(F.col(name), part * _PART_BITS).bitwiseAND(mask)
+        scaled = F.sum(bits).cast("decimal(19,0)") * F.lit(1 << (part * _PART_BITS)).cast(
+            "decimal(19,0)"
+        )
+        total = scaled if total is None else total + scaled
+    return total.cast("decimal(38,0)")
 
 
 def daily_traffic(valid: DataFrame, ordered: bool = True) -> DataFrame:
@@ -82,14 +97,14 @@ def top_resources(
     which suits logs that are parsed on the fly. ``rescan`` suits a stored
     table: the ranking is made from counts alone, then the winners are broadcast
     to a second scan that counts hosts for them only. That keeps the (batch,
-    path, host) rows of all other resources out of the shuffle. Results are equal.
+    path, host) rows of all other resources out of the shuffle. Beyond
+    ``BROADCAST_ROWS`` winners there is one scan either way. Results are equal,
+    and no plan shuffles raw rows by path alone.
     """
     order = _ranking(tie)
-    if not rescan:
+    if not rescan or k > BROADCAST_ROWS:
         return resource_traffic(valid).orderBy(*order).limit(k)
-    winners = _requests(valid).orderBy(*order).limit(k)
-    if k <= BROADCAST_ROWS:
-        winners = F.broadcast(winners)
+    winners = F.broadcast(_requests(valid).orderBy(*order).limit(k))
     return (
         valid.select(*_RESOURCE, "host")
         .join(winners, _RESOURCE)

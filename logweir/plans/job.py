@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,7 +24,9 @@ from logweir.sinks.runs import (
 )
 from logweir.sinks.tables import write_table
 from logweir.sources.raw import read_raw_logs
-from logweir.sources.tables import read_store, read_table
+from logweir.sources.tables import ATTEMPT, read_attempts, read_store, read_table
+
+TABLE_SPLIT_BYTES = "128m"
 
 
 @dataclass(frozen=True)
@@ -83,6 +87,31 @@ def clean_to_table(
     return stats_row(spark, counts["total_records"], counts["valid_records"], batch)
 
 
+@contextmanager
+def _table_splits(spark: SparkSession) -> Iterator[None]:
+    """Reads the table in splits of TABLE_SPLIT_BYTES, whatever suits raw text.
+
+    Parquet holds about eight times as many lines in a byte.
+    """
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, TABLE_SPLIT_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def _results_of(spark: SparkSession, store: str, run: Run, query: str) -> dict[str, DataFrame]:
+    """What an attempt has written, finished or not."""
+    return {
+        name: read_attempts(spark, store, QUERY_TABLES[name])
+        .where((F.col("run_id") == run.run_id) & (F.col(ATTEMPT) == run.attempt))
+        .select(*QUERY_SCHEMAS[name].fieldNames())
+        for name in _chosen(query)
+    }
+
+
 def run(
     spark: SparkSession,
     input_path: str,
@@ -99,27 +128,39 @@ def run(
     """Run the job on the files under ``input_path`` and add it to the store.
 
     ``output/valid_logs`` is replaced and ``output/store`` is added to; both
-    must be on storage that every executor sees.
+    must be on storage that every executor sees. Without a ``run_id`` the next free
+    one is taken, and another if a run elsewhere finishes under it first.
     """
     _chosen(query)
     store, table = f"{output}/store", f"{output}/valid_logs"
-    if run_id is None:
-        run_id = next_run_id(spark, store)
-    else:
+    chosen = run_id is not None
+    if chosen:
         check_new(spark, store, run_id)
-    this = Run(run_id, query, batch, pipeline_name, input_path)
+    else:
+        run_id = next_run_id(spark, store)
+    this = Run(run_id, query, batch, pipeline_name, input_path, batch_rule=batch_rule)
 
     started = time.monotonic()
     tagged = tag_batch(read_raw_logs(spark, input_path, partitions), batch_rule)
     stats = clean_to_table(tagged, table, match, batch)
     valid = read_table(spark, table)
     results = query_results(valid, query, ordered=False, tie=tie, rescan=True)
-    append_results(store, this, results)
+    with _table_splits(spark):
+        append_results(store, this, results)
     runtime_ms = round((time.monotonic() - started) * 1000)
-    append_run_rows(store, this, stats, runtime_ms)
+    while True:
+        try:
+            append_run_rows(store, this, stats, runtime_ms)
+            break
+        except ValueError:
+            if chosen:
+                raise
+            kept = _results_of(spark, store, this, query)
+            this = this.renumbered(next_run_id(spark, store))
+            append_results(store, this, kept)
 
     stored = {
-        name: read_store(spark, store, QUERY_TABLES[name], run_id).select(
+        name: read_store(spark, store, QUERY_TABLES[name], this.run_id).select(
             *QUERY_SCHEMAS[name].fieldNames()
         )
         for name in _chosen(query)

@@ -50,7 +50,12 @@ def preview(result: DataFrame, query: str, rows: int = PREVIEW_ROWS) -> DataFram
 
 
 def report(spark: SparkSession, store: str, run_id: int) -> dict[str, DataFrame]:
-    """Header, malformed line and the three previews (empty if not run)."""
+    """Header, malformed line and the three previews (empty if not run).
+
+    A run that the store does not have, or has not finished, is an error.
+    """
+    if run_header(spark, store, run_id).isEmpty():
+        raise ValueError(f"no finished run {run_id} in {store}")
     previews = {
         query: preview(read_store(spark, store, QUERY_TABLES[query], run_id), query)
         for query in QUERY_NAMES

@@ -30,6 +30,8 @@ PATH_DISPLAY = (39, 36)
 #: (an empty name stands for the whole input directory).
 BATCH_LABELS = {0: "Combined", 1: "July 1995", 2: "August 1995"}
 BATCH_FILES = {0: "", 1: "NASA_access_log_Jul95", 2: "NASA_access_log_Aug95"}
+#: The input that these files are in.
+DEFAULT_INPUT = "/input/logs"
 QUERY_NAMES = ("Query1", "Query2", "Query3")
 
 # Schemas ------------------------------------------------------------------
@@ -39,6 +41,7 @@ _TYPES = {
     "int": T.IntegerType(),
     "bigint": T.LongType(),
     "double": T.DoubleType(),
+    "total": T.DecimalType(38, 0),  # a sum of longs
     "string": T.StringType(),
     "timestamp": T.TimestampType(),
 }
@@ -57,11 +60,11 @@ VALID_LOGS = _schema(
 
 DAILY_TRAFFIC = _schema(
     "batch_id int, log_date string, status_code int, request_count bigint, "
-    "total_bytes bigint"
+    "total_bytes total"
 )
 TOP_RESOURCE = _schema(
     "batch_id int, resource_path string, request_count bigint, "
-    "total_bytes bigint, distinct_host_count bigint"
+    "total_bytes total, distinct_host_count bigint"
 )
 HOURLY_ERRORS = _schema(
     "batch_id int, log_date string, log_hour int, error_request_count bigint, "
@@ -94,8 +97,8 @@ def _stored(result: T.StructType) -> T.StructType:
     return T.StructType(run.fields + [f for f in result if f.name != "batch_id"])
 
 
-#: Tables of the run store. ``runs`` is last: it is written last, so a row in
-#: it says that everything else of that run is complete.
+# Names of the store's tables and columns (with the schemas above).
+#: Tables of the run store.
 STORE_TABLES = {
     "query1_results": _stored(DAILY_TRAFFIC),
     "query2_results": _stored(TOP_RESOURCE),

@@ -11,6 +11,9 @@ def append_jdbc(
     """Append ``frame`` to a database table over at most ``connections`` tasks.
 
     A retried task inserts its rows again unless the database has a key to stop
-    it, so this is for results, which are small, and not for ``valid_logs``.
+    it, so this is for results, which are small, and not for ``valid_logs``. Under
+    speculation a task may be run twice at once, so that is refused.
     """
+    if frame.sparkSession.conf.get("spark.speculation", "false").lower() == "true":
+        raise RuntimeError("switch spark.speculation off to write to a database")
     frame.coalesce(connections).write.jdbc(url, table, mode="append", properties=properties)

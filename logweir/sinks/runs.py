@@ -1,33 +1,51 @@
-"""The run store: results and descriptions of runs, accumulated in Parquet."""
+"""The run store: results and descriptions of runs, accumulated in Parquet.
+
+Every attempt at a run writes below ``run_id=.../attempt=...``, and the attempt is a
+random name of its own. The ``runs`` row is written last and names the attempt; only
+rows of attempts so named are read. So what a lost driver or another driver with the
+same id has left is never seen, and nothing is ever overwritten.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.operators.quality import batch_metadata, malformed_summary, run_record
-from logweir.schemas import QUERY_TABLES, STORE_TABLES
-from logweir.sources.tables import read_store
+from logweir.schemas import DEFAULT_INPUT, QUERY_TABLES, STORE_TABLES
+from logweir.sources.tables import ATTEMPT, read_attempts, read_store
 
 
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _attempt() -> str:
+    return uuid.uuid4().hex
+
+
 @dataclass(frozen=True)
 class Run:
-    """What identifies a run in the store."""
+    """What identifies a run, and one attempt at it, in the store."""
 
     run_id: int
     query: str = "All"
     batch: int = 0
     pipeline_name: str = "Spark"
-    input_dir: str = "/input/logs"
+    input_dir: str = DEFAULT_INPUT
     executed_at: datetime = field(default_factory=_now)
+    batch_rule: str | int = "file_name"
+    attempt: str = field(default_factory=_attempt)
+
+    def renumbered(self, run_id: int) -> Run:
+        """The same run as a new attempt under another id."""
+        return replace(self, run_id=run_id, attempt=_attempt())
 
 
 def stamp(result: DataFrame, query: str, run: Run) -> DataFrame:
@@ -43,39 +61,40 @@ def stamp(result: DataFrame, query: str, run: Run) -> DataFrame:
     )
 
 
-def _write(rows: DataFrame, store: str, table: str) -> None:
-    # Replaces this run's partition and no other: redoing an unfinished run
-    # leaves its rows once.
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(f"{store}/{table}")
-    )
+def _write(rows: DataFrame, store: str, table: str, run: Run) -> None:
+    # The attempt is new, so its folder is, too: nothing is there to be replaced.
+    named = rows.withColumn(ATTEMPT, F.lit(run.attempt))
+    named.write.mode("append").partitionBy("run_id", ATTEMPT).parquet(f"{store}/{table}")
 
 
 def next_run_id(spark: SparkSession, store: str) -> int:
-    """One more than the highest finished run. Not safe for concurrent writers."""
-    highest = read_store(spark, store, "runs").agg(F.max("run_id")).first()[0]
+    """One more than the highest id in any table, of finished runs or not."""
+    ids = [read_attempts(spark, store, table).select("run_id") for table in STORE_TABLES]
+    highest = reduce(DataFrame.unionAll, ids).agg(F.max("run_id")).first()[0]
     return 1 if highest is None else highest + 1
 
 
 def append_results(store: str, run: Run, results: Mapping[str, DataFrame]) -> None:
-    """Write the results of ``run``; redoing it replaces them."""
+    """Write the results of this attempt. They are not seen before its ``runs`` row."""
     for query, result in results.items():
-        _write(stamp(result, query, run), store, QUERY_TABLES[query])
+        _write(stamp(result, query, run), store, QUERY_TABLES[query], run)
 
 
 def append_run_rows(store: str, run: Run, stats: DataFrame, runtime_ms: int) -> None:
-    """Describe ``run``. Its ``runs`` row comes last and marks it finished."""
-    _write(
-        batch_metadata(stats, run.run_id, run.batch, run.input_dir), store, "batch_metadata"
-    )
-    _write(malformed_summary(stats, run.run_id, run.batch), store, "malformed_records_summary")
+    """Describe ``run``. Its ``runs`` row comes last and marks the attempt finished.
+
+    If another attempt under this id has finished meanwhile, that is an error, and
+    this attempt stays unseen.
+    """
+    metadata = batch_metadata(stats, run.run_id, run.batch, run.input_dir, run.batch_rule)
+    _write(metadata, store, "batch_metadata", run)
+    summary = malformed_summary(stats, run.run_id, run.batch)
+    _write(summary, store, "malformed_records_summary", run)
     record = run_record(
         stats, run.run_id, run.pipeline_name, run.query, run.batch, runtime_ms, run.executed_at
     )
-    _write(record, store, "runs")
+    check_new(stats.sparkSession, store, run.run_id)
+    _write(record, store, "runs", run)
 
 
 def check_new(spark: SparkSession, store: str, run_id: int) -> None:
@@ -91,8 +110,7 @@ def append_run(
     stats: DataFrame,
     runtime_ms: int = 0,
 ) -> None:
-    """Add a run to the store. A finished run of the same id is an error; what
-    an unfinished one left behind is replaced."""
+    """Add a run to the store. A finished run of the same id is an error."""
     check_new(spark, store, run.run_id)
     append_results(store, run, results)
     append_run_rows(store, run, stats, runtime_ms)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweir.schemas import STORE_TABLES, VALID_LOGS
 
+#: The store's partition column below ``run_id``: which attempt wrote a row.
+ATTEMPT = "attempt"
+
 
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType = VALID_LOGS
@@ -16,22 +20,34 @@ def read_table(
     return spark.read.schema(schema).format(fmt).load(path).select(*schema.fieldNames())
 
 
-def read_store(
-    spark: SparkSession, store: str, table: str, run_id: int | None = None
-) -> DataFrame:
-    """One table of the run store; a ``run_id`` reads that run's partition only.
+def read_attempts(spark: SparkSession, store: str, table: str) -> DataFrame:
+    """One table of the run store with all attempts, finished or not.
 
     A table that no run has written yet is empty.
     """
-    schema, path = STORE_TABLES[table], f"{store}/{table}"
-    if _exists(spark, path):
-        rows = read_table(spark, path, schema=schema)
-    else:
+    schema = T.StructType([*STORE_TABLES[table], T.StructField(ATTEMPT, T.StringType())])
+    try:
+        rows = read_table(spark, f"{store}/{table}", schema=schema)
+        rows.schema  # noqa: B018  a missing path shows here at the latest
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         rows = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
-    return rows if run_id is None else rows.where(F.col("run_id") == run_id)
+    return rows
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    settings = spark._jsparkSession.sessionState().newHadoopConf()
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(settings).exists(folder)
+def read_store(
+    spark: SparkSession, store: str, table: str, run_id: int | None = None
+) -> DataFrame:
+    """Finished runs' rows of one table; a ``run_id`` reads that run's partition only.
+
+    Rows count if the ``runs`` table names their attempt. Should two attempts under
+    one id have got there at once, the earlier one is the run.
+    """
+    rows, runs = read_attempts(spark, store, table), read_attempts(spark, store, "runs")
+    if run_id is not None:
+        rows, runs = (x.where(F.col("run_id") == run_id) for x in (rows, runs))
+    earliest = F.min_by(ATTEMPT, F.struct("executed_at", ATTEMPT))
+    finished = runs.groupBy("run_id").agg(earliest.alias(ATTEMPT))
+    kept = rows.join(finished, ["run_id", ATTEMPT], "left_semi")
+    return kept.select(*STORE_TABLES[table].fieldNames())

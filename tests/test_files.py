@@ -1,13 +1,15 @@
 import gzip
+from collections import Counter
+from decimal import Decimal
 
 import pytest
 from helpers import PLAIN, lines_frame, parse
 
 from logweir.operators import clean_logs, daily_traffic, select_batch, tag_batch
 from logweir.schemas import DAILY_TRAFFIC, TOP_RESOURCE, VALID_LOGS
-from logweir.scratch import scratch_dir
+from logweir.scratch import remove_scratch, scratch_dir
 from logweir.sinks import write_table, write_tsv
-from logweir.sources import coerce_numbers, read_raw_logs, read_table, read_tsv
+from logweir.sources import coerce_numbers, read_documents, read_raw_logs, read_table, read_tsv
 
 AUGUST = PLAIN.replace("Jul", "Aug")
 
@@ -113,7 +115,11 @@ def test_tsv_arity_blank_lines_and_numbers(spark, tmp_path):
 
     bad = _files(tmp_path / "bad", part=rows[-1])
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        read_tsv(spark, bad, DAILY_TRAFFIC).collect()
+        read_tsv(spark, bad, DAILY_TRAFFIC, empty="error").collect()
+    assert tuple(read_tsv(spark, bad, DAILY_TRAFFIC).first()) == (1, "d", None, None, None)
+    words = _files(tmp_path / "words", part="1\td\t200\tx\t7")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_tsv(spark, words, DAILY_TRAFFIC).collect()
     lenient = read_tsv(spark, bad, DAILY_TRAFFIC, numbers="lenient").first()
     assert tuple(lenient) == (1, "d", 0, 0, 0)
     with pytest.raises(ValueError):
@@ -132,6 +138,67 @@ def test_documents_take_any_number(spark):
     assert [tuple(r) for r in got.collect()] == [(1, "/a", 2, 0, 0), (2, "/b", 0, 0, 0)]
 
 
+def test_tsv_reads_its_own_nulls(spark, tmp_path):
+    rows = [(1, "d", 200, 3, None), (1, "d", None, None, 2**70)]
+    frame = spark.createDataFrame(
+        [(b, d, s, n, None if t is None else Decimal(t)) for b, d, s, n, t in rows], DAILY_TRAFFIC
+    )
+    write_tsv(frame, str(tmp_path / "t"))
+    back = read_tsv(spark, str(tmp_path / "t"), DAILY_TRAFFIC)
+    assert Counter(map(tuple, back.collect())) == Counter(rows)
+
+
+DOCUMENTS = {
+    # text of the count and of the total: what they are read as
+    ("5", "7"): (5, 7),
+    ("5.9", "7.9"): (5, 7),
+    ("-5.9", "-7.9"): (-5, -7),
+    ("9007199254740993", "9007199254740993"): (2**53 + 1, 2**53 + 1),
+    ("9007199254740993.5", "9223372036854775808"): (2**53 + 1, 2**63),
+    ("9223372036854775807", "9223372036854775807"): (2**63 - 1, 2**63 - 1),
+    ("9223372036854775808", "18446744073709551614"): (2**63 - 1, 2**64 - 2),
+    ("-9223372036854775809", "1e3"): (-(2**63), 1000),
+    ("1e300", "1e300"): (2**63 - 1, 0),
+    ("-1e300", "0.1e1"): (-(2**63), 1),
+    ("2.5e0", "2.5e0"): (2, 2),
+    ("99999999999999999999999999999999999999.5", "1"): (2**63 - 1, 1),
+    ('"5"', '"x"'): (0, 0),
+    ("null", "true"): (0, 0),
+    ("[1]", '{"a": 1}'): (0, 0),
+}
+
+
+def test_documents_are_read_exactly(spark, tmp_path):
+    lines, wanted = [], []
+    for i, ((count, total), (n, t)) in enumerate(DOCUMENTS.items()):
+        lines.append(
+            f'{{"batch_id": {i}, "log_date": "d\\"{i}", "status_code": 4294967296, '
+            f'"request_count": {count}, "total_bytes": {total}}}'
+        )
+        wanted.append((i, f'd"{i}', 2**31 - 1, n, t))
+    path = _files(tmp_path / "documents", part="\n".join([*lines, '{"batch_id": 99}', "junk"]))
+    got = sorted(map(tuple, read_documents(spark, path, DAILY_TRAFFIC).collect()), key=str)
+    wanted += [(99, None, 0, 0, 0), (0, None, 0, 0, 0)]
+    assert got == sorted(wanted, key=str)
+    frame = read_documents(spark, path, DAILY_TRAFFIC)
+    assert [f.dataType for f in frame.schema] == [f.dataType for f in DAILY_TRAFFIC]
+
+
+def test_loose_columns_never_overflow(spark):
+    schema = "batch_id bigint, log_date string, status_code double, request_count float, total_bytes decimal(38,2)"
+    rows = [
+        (2**40, "a", 1e30, 2.9, Decimal("12345678901234567890.99")),
+        (-(2**40), "b", float("nan"), float("inf"), Decimal("-1.99")),
+        (None, None, -1e30, float("-inf"), None),
+    ]
+    got = coerce_numbers(spark.createDataFrame(rows, schema), DAILY_TRAFFIC).collect()
+    assert [tuple(r) for r in got] == [
+        (2**31 - 1, "a", 2**31 - 1, 2, 12345678901234567890),
+        (-(2**31), "b", 0, 2**63 - 1, -1),
+        (0, None, -(2**31), -(2**63), 0),
+    ]
+
+
 def test_empty_directory(spark, tmp_path):
     tagged = tag_batch(read_raw_logs(spark, _files(tmp_path / "none")))
     assert daily_traffic(clean_logs(tagged)).isEmpty()
@@ -148,5 +215,15 @@ def test_scratch_dir():
     assert scratch_dir(shared) != scratch_dir(shared)
     local = _Session(spark_master="local[2]")
     assert scratch_dir(local) != scratch_dir(local)
+    assert scratch_dir(local).startswith("/tmp/logweir/logweir-")
     with pytest.raises(RuntimeError):
         scratch_dir(_Session(spark_master="yarn"))
+
+
+def test_scratch_is_removed(spark, tmp_path):
+    shared = _Session(spark_master="yarn", spark_checkpoint_dir=f"file://{tmp_path}")
+    path = scratch_dir(shared)
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert remove_scratch(path) and not any(tmp_path.iterdir())
+    assert not remove_scratch("hdfs:///shared/logweir-1") and not remove_scratch("/home")

@@ -84,12 +84,23 @@ def test_total_beyond_a_long_does_not_fail_the_job(spark):
     rows = [(1, "h", "d", 0, "GET", "/big", "H", 200, 2**63 - 1)] * 2
     rows += [(1, "h", "d", 0, "GET", "/a", "H", 404, 5)]
     valid = spark.createDataFrame(rows, VALID_LOGS).repartition(3)
-    daily = [(1, "d", 200, 2, None), (1, "d", 404, 1, 5)]
+    daily = [(1, "d", 200, 2, 2**64 - 2), (1, "d", 404, 1, 5)]
     assert _rows(op.daily_traffic(valid)) == daily
-    assert _rows(op.top_resources(valid))[0] == (1, "/big", 2, None, 1)
+    assert _rows(op.top_resources(valid))[0] == (1, "/big", 2, 2**64 - 2, 1)
     assert op.top_resources(valid, rescan=True).collect() == op.top_resources(valid).collect()
 
 
+def test_totals_are_exact(spark):
+    rng = random.Random(5)
+    sizes = [rng.choice([0, 1, 2**21 - 1, 2**42, rng.randrange(2**63), 2**63 - 1]) for _ in range(3000)]
+    rows = [(1, "h", "d", 0, "GET", f"/{i % 7}", "H", 200, size) for i, size in enumerate(sizes)]
+    valid = spark.createDataFrame(rows, VALID_LOGS).repartition(5)
+    assert set(_rows(op.resource_traffic(valid))) == helpers.resources(rows)
+    # A byte count that is NULL counts for nothing.
+    no_bytes = valid.withColumn("bytes", F.lit(None).cast("bigint"))
+    assert op.daily_traffic(no_bytes).first().total_bytes is None
+
+
 def test_row_order(valid, skewed):
     daily = sorted(helpers.daily(skewed), key=lambda r: (r[1], r[2], r[0]))
     assert _rows(op.daily_traffic(valid)) == daily
@@ -177,10 +188,16 @@ def test_top_plan_broadcasts_only_a_bounded_side(stored):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "Broadcast" not in _plan(op.top_resources(stored, 20_000, rescan=True))
+        many = _plan(op.top_resources(stored, 20_000, rescan=True))
         joins = _plan(op.hourly_errors_by_join(stored))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Beyond the broadcast, rows are spread by host before they meet by path.
+    assert "Join" not in many
+    by_host = r"hashpartitioning\(batch_id#\d+, resource_path#\d+, host"
+    by_path = r"hashpartitioning\(batch_id#\d+, resource_path#\d+, \d+\)"
+    assert re.search(by_path, many).start() < re.search(by_host, many).start()
+    assert len(re.findall("Exchange hashpartitioning", many)) == 2
     # Three exchanges feed the join (one is the distinct count's), one the final
     # order; the join itself adds none.
     assert joins.count("Exchange hashpartitioning") == 3

@@ -4,11 +4,13 @@ import pytest
 from helpers import PLAIN, lines_frame
 
 from logweir import fixtures
-from logweir.operators import clean_logs, run_stats, stats_row, tag_batch
+from logweir.operators import (
+    batch_metadata, clean_logs, run_record, run_stats, stats_row, tag_batch,
+)
 from logweir.plans import clean_to_table, preview, query_results, report, run
 from logweir.schemas import QUERY_TABLES, STORE_TABLES, VALID_LOGS
 from logweir.sinks import Run, append_jdbc, append_run, next_run_id
-from logweir.sinks.runs import append_results
+from logweir.sinks.runs import _write, append_results, append_run_rows
 from logweir.sources import read_store, read_table
 
 SF = "/root/testdata/sf0.001"
@@ -67,7 +69,7 @@ def test_run_rows(spark, logs, runs):
     metadata = read_store(spark, store, "batch_metadata").orderBy("run_id").collect()
     assert [tuple(r) for r in metadata] == [
         (1, 0, "Combined", logs, 1000),
-        (2, 2, "August 1995", f"{logs}/NASA_access_log_Aug95", 500),
+        (2, 2, "August 1995", f"{logs} [batch 2 by file_name]", 500),
     ]
     summary = read_store(spark, store, "malformed_records_summary").orderBy("run_id").collect()
     assert [tuple(r) for r in summary] == [(1, 0, 90, 1000, 9.0), (2, 2, 90, 500, 18.0)]
@@ -98,13 +100,16 @@ def test_finished_run_is_not_replaced(spark, logs, runs):
     assert next_run_id(spark, f"{runs[0]}/store") == 3
 
 
-def test_unfinished_run_is_replaced(spark, tmp_path):
+def test_unfinished_run_is_not_seen(spark, tmp_path):
     store = str(tmp_path / "store")
     valid = clean_logs(tag_batch(lines_frame(spark, [PLAIN])))
     results, this = query_results(valid), Run(4, executed_at=WHEN)
     append_results(store, this, results)  # and then the driver is lost
-    assert next_run_id(spark, store) == 1
-    append_run(spark, store, this, results, stats_row(spark, 1, 1), runtime_ms=5)
+    assert set(_counts(spark, store).values()) == {0}
+    assert next_run_id(spark, store) == 5
+    with pytest.raises(ValueError, match="no finished run 4"):
+        report(spark, store, 4)
+    append_run(spark, store, this.renumbered(4), results, stats_row(spark, 1, 1), runtime_ms=5)
     append_run(spark, store, Run(5, executed_at=WHEN), results, stats_row(spark, 1, 1))
     assert set(_counts(spark, store, 4).values()) == {1}
     assert set(_counts(spark, store).values()) == {2}
@@ -112,6 +117,64 @@ def test_unfinished_run_is_replaced(spark, tmp_path):
     assert (row.pipeline_name, row.executed_at.timestamp()) == ("Spark", WHEN.timestamp())
 
 
+def _one_line(spark, path):
+    return query_results(clean_logs(tag_batch(lines_frame(spark, [PLAIN.replace("/a", path)]))))
+
+
+def test_two_drivers_with_one_id_do_not_mix(spark, tmp_path):
+    store = str(tmp_path / "store")
+    stats = stats_row(spark, 1, 1)
+    one, two = (Run(next_run_id(spark, store), executed_at=WHEN) for _ in range(2))
+    assert one.run_id == two.run_id and one.attempt != two.attempt
+    append_results(store, one, _one_line(spark, "/one"))
+    append_results(store, two, _one_line(spark, "/two"))
+    append_run_rows(store, two, stats, 1)
+    with pytest.raises(ValueError, match="run 1 is already"):
+        append_run_rows(store, one, stats, 1)
+    assert read_store(spark, store, "query2_results").first().resource_path == "/two"
+    assert set(_counts(spark, store, 1).values()) == {1}
+    # Both records at the same moment: one of them is the run, whole.
+    _write(run_record(stats, 1, "Spark", "All", 0, 1, WHEN), store, "runs", one)
+    winner = "/one" if one.attempt < two.attempt else "/two"
+    assert [r.resource_path for r in read_store(spark, store, "query2_results").collect()] == [winner]
+    assert set(_counts(spark, store, 1).values()) == {1}
+
+
+def test_run_moves_to_a_free_id(spark, logs, tmp_path, monkeypatch):
+    """Another driver finishes under the id that this one has taken."""
+    import logweir.plans.job as job
+
+    store, write = f"{tmp_path}/store", job.append_results
+
+    def overtaken(store, this, results):
+        if this.run_id == 1:
+            append_run(spark, store, Run(1), _one_line(spark, "/other"), stats_row(spark, 1, 1))
+        write(store, this, results)
+
+    monkeypatch.setattr(job, "append_results", overtaken)
+    done = run(spark, logs, str(tmp_path), query="Query3")
+    assert done.run.run_id == 2
+    assert done.results["Query3"].count() == 762
+    assert read_store(spark, store, "query2_results").first().resource_path == "/other"
+    assert _counts(spark, store)["runs"] == 2
+
+
+def test_unknown_run_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="no finished run"):
+        report(spark, str(tmp_path / "nothing"), 1)
+
+
+def test_source_is_what_was_read(spark):
+    def source(**given):
+        return batch_metadata(stats_row(spark, 1, 1), 1, **given).first().source_file
+
+    assert source() == "/input/logs"
+    assert source(batch=2) == "/input/logs/NASA_access_log_Aug95"
+    assert source(batch=2, input_dir="/x") == "/x [batch 2 by file_name]"
+    assert source(batch=1, batch_rule="line") == "/input/logs [batch 1 by line]"
+    assert source(input_dir="/x") == "/x"
+
+
 def test_stats_while_writing_equal_the_query(spark, tmp_path):
     tagged = tag_batch(fixtures.raw_lines(spark, SF))
     for batch in (0, 1, 2):
@@ -193,6 +256,48 @@ def test_jdbc_gets_the_rows_of_a_run(spark, runs, monkeypatch):
     assert calls == [(20, 1, "jdbc:x", "query2_results", "append", {"user": "u"})]
 
 
+def test_jdbc_refuses_speculation():
+    class Frame:
+        class sparkSession:
+            conf = {"spark.speculation": "true"}
+
+    with pytest.raises(RuntimeError, match="speculation"):
+        append_jdbc(Frame(), "jdbc:x", "t", {})
+
+
+def test_command_line_writes_without_a_sort(spark, tmp_path):
+    from logweir.__main__ import session
+
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    try:
+        chosen = session()
+        assert int(chosen.conf.get(name)) >= 2
+        tagged = tag_batch(fixtures.raw_lines(spark, SF))
+        clean_to_table(tagged, str(tmp_path / "sorted-not"))
+        spark.conf.set(name, "7")
+        assert session().conf.get(name) == "7"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_queries_read_smaller_splits(spark, logs, tmp_path, monkeypatch):
+    import logweir.plans.job as job
+
+    name, seen, write = "spark.sql.files.maxPartitionBytes", [], job.append_results
+    monkeypatch.setattr(
+        job, "append_results", lambda *given: seen.append(spark.conf.get(name)) or write(*given)
+    )
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1g")
+    try:
+        run(spark, logs, str(tmp_path), query="Query1")
+        assert spark.conf.get(name) == "1g"
+    finally:
+        spark.conf.set(name, before)
+    assert seen == [job.TABLE_SPLIT_BYTES]
+
+
 def test_command_line(spark, logs, tmp_path, monkeypatch, capsys):
     from logweir.__main__ import main
 
