@@ -8,7 +8,8 @@ Finding who may link: sizes fall into levels such that linked sets are in one le
 in neighbouring ones. For a level, sets that link differ in at most d grams. So when
 grams are dealt by hash into d + 1 segments, some segment of both sets is equal. Each
 class has a key for each segment; classes with a common key are tied to the least one
-of them. Components of these ties hold all links, and are the blocks of the join.
+of them. Components of these ties hold all links. They are dealt again in other ways,
+which takes chance chains apart, and then are the blocks of the join.
 
 Finding links: for each block a signature tree is built over its sets. Nodes hold the
 OR of token bitmaps and the range of sizes. Pairs of nodes are walked from the top;
@@ -47,6 +48,10 @@ PART_TOKENS = 1_000_000
 #: So many rows of ids are broadcast to pick documents; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 SALTS = 16
+#: Grams are dealt to segments in so many ways at most, one after the other, while a
+#: block of more sets than this is left.
+DEALS = 3
+SMALL_BLOCK = 500
 _FAN_OUT = 8
 _SLICE_BYTES = 8 << 20
 _MOST_BITS = 1 << 16
@@ -117,32 +122,47 @@ def level_of(size, percent: int):
 
 
 def segment_keys(
-    grams: np.ndarray, borders: np.ndarray, percent: int
+    grams: np.ndarray, borders: np.ndarray, percent: int, seed: int = 0
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of every set, for the level of its size and the next."""
+    """(row, key) of every set, for the level of its size and the next.
+
+    Sets that link differ in so many grams at most that, of more segments than that,
+    one is equal. There are some segments more, so that a set nearly always has enough
+    that are not empty; then one of those is equal, and its empty ones need no key.
+    """
     sizes = np.diff(borders)
     limits = level_borders(percent, int(sizes.max(initial=1)))
     level = np.searchsorted(limits, sizes, side="right") - 1
-    spread = seeded(grams, 2) >> np.uint64(32)
+    spread = seeded(grams, 2 + 2 * seed) >> np.uint64(32)
+    values = seeded(grams, 3 + 2 * seed)
     row_of = np.repeat(np.arange(len(sizes)), sizes)
     rows, keys = [], []
     for step in (0, 1):
-        scheme = level + step
-        # Sets that link, the larger one below limits[scheme + 1], differ in so many
-        # grams at most; with none, their classes are equal.
-        differ = (100 - percent) * (limits[np.maximum(scheme, 0) + 1] - 1) // percent
-        parts = np.where((sizes > 0) & (differ > 0), differ + 1, 0)
+        scheme = np.maximum(level, 0) + step
+        # Linked sets differ in at most (1 - s) / (1 + s) of the sum of their sizes, and
+        # both are below limits[scheme + 1]. If no gram may differ, classes are equal.
+        differ = 2 * (100 - percent) * (limits[scheme + 1] - 1) // (100 + percent)
+        filled = limits[np.maximum(scheme - 1, 0)] / (differ + 1)
+        spare = np.ceil(1.1 * differ * np.exp(-filled)).astype(np.int64) + 2
+        parts = np.where((sizes > 0) & (differ > 0), differ + 1 + spare, 0)
         first = np.concatenate([[0], np.cumsum(parts)])
         used = parts[row_of] > 0
         own = row_of[used]
         part = (spread[used] * parts[own].astype(np.uint64)) >> np.uint64(32)
+        at = first[own] + part.astype(np.int64)
         sums = np.zeros(first[-1], dtype=np.uint64)
-        np.add.at(sums, first[own] + part.astype(np.int64), seeded(grams[used], 3))
+        np.add.at(sums, at, values[used])
+        is_filled = np.zeros(first[-1], dtype=bool)
+        is_filled[at] = True
         row = np.repeat(np.arange(len(sizes)), parts)
         number = np.arange(first[-1]) - first[row]
         place = mix((scheme[row].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64))
-        rows.append(row)
-        keys.append(mix(sums + place))
+        # What a set that links may differ from this one, in this scheme.
+        most = np.minimum((100 - percent) * sizes // percent, differ)
+        enough = np.bincount(row, weights=is_filled, minlength=len(sizes)) > most
+        kept = is_filled | ~enough[row]
+        rows.append(row[kept])
+        keys.append(mix(sums[kept] + place[kept]))
     return np.concatenate(rows), np.concatenate(keys).view(np.int64)
 
 
@@ -161,13 +181,18 @@ def _ties(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys[new], nodes[new], ties
 
 
-def _candidate_ties(docs: DataFrame, text: str, n: int, percent: int) -> DataFrame:
-    """Edges ``a``, ``b`` between classes with a common key."""
+def _candidate_ties(rows: DataFrame, n: int, percent: int, seed: int) -> DataFrame:
+    """Edges ``a``, ``b`` between classes with a common key, for ``text`` and ``root``.
+
+    Only classes with the same ``root`` are tied.
+    """
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, grams, borders in gram_sets(batch.column(0), n):
-                rows, keys = segment_keys(grams, borders, percent)
+            roots = batch.column(1).to_numpy().view(np.uint64)
+            for start, grams, borders in gram_sets(batch.column(0), n):
+                rows, keys = segment_keys(grams, borders, percent, seed)
+                keys = mix(keys.view(np.uint64) ^ mix(roots[start + rows])).view(np.int64)
                 keys, nodes, ties = _ties(keys, class_ids(grams, borders)[rows])
                 tied = mix(ties[0].view(np.uint64) ^ mix(ties[1].view(np.uint64))).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -191,8 +216,8 @@ def _candidate_ties(docs: DataFrame, text: str, n: int, percent: int) -> DataFra
         ties = np.unique(np.concatenate([np.stack([a[is_tie], b[is_tie]]), more], axis=1), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(ties[0]), pa.array(ties[1])], names=["a", "b"])
 
-    rows = docs.select(docs[text].alias("text")).mapInArrow(keyed, "key bigint, a bigint, b bigint")
-    dealt = rows.repartition(lanes(docs.sparkSession), "key")
+    found = rows.select("text", "root").mapInArrow(keyed, "key bigint, a bigint, b bigint")
+    dealt = found.repartition(lanes(rows.sparkSession), "key")
     return dealt.mapInArrow(tied, "a bigint, b bigint")
 
 
@@ -380,18 +405,41 @@ def jaccard_components(
         .agg(F.first("n_shingles").alias("n"), stands.alias("stands"))
         .select("node", "n", "stands.ident", "stands.key")
     )
-    blocks = connected(_candidate_ties(docs, text, n, percent))
+    blocks = _blocks(docs, classes, n, percent, text, ident)
     links = _links(docs, classes, blocks, n, percent, text, ident)
     return _labelled(rows, classes, connected(links))
 
 
+def _blocks(
+    docs: DataFrame, classes: DataFrame, n: int, percent: int, text: str, ident: str
+) -> DataFrame:
+    """``node`` and ``root`` (least node) of blocks that hold all links.
+
+    Ties by chance, as of texts with a passage in common, make chains. Sets that link
+    are tied under any way of dealing grams to segments, so blocks are dealt again,
+    another way, and only ties inside a block are followed: chains fall apart.
+    """
+    everything = docs.select(docs[text].alias("text"), F.lit(0).cast("bigint").alias("root"))
+    blocks = _with_roots(connected(_candidate_ties(everything, n, percent, 0)))
+    for seed in range(1, DEALS):
+        largest = blocks.groupBy("root").count().agg(F.max("count")).first()[0]
+        if (largest or 0) <= SMALL_BLOCK:
+            break
+        inside = stored(classes.join(blocks, "node").select("key", "root"))
+        again = _pick(docs.select(docs[ident], docs[text]), inside, text, ident)
+        again = again.select(F.col("row")[text].alias("text"), "root")
+        blocks = _with_roots(connected(_candidate_ties(again, n, percent, seed)))
+    return blocks
+
+
+def _with_roots(roots: DataFrame) -> DataFrame:
+    return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+
+
 def _links(
     docs: DataFrame, classes: DataFrame, blocks: DataFrame, n: int, percent: int, text: str, ident: str
 ) -> DataFrame:
     """Links that connect every component, between classes."""
-    blocks = blocks.unionByName(
-        blocks.select(F.col("root").alias("node"), "root").distinct()
-    )
     level = level_of(F.col("n"), percent)
     members = classes.join(blocks, "node").withColumn("level", level)
     # A zone is a level with the next one; a set is in two zones.
