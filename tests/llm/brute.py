@@ -1,6 +1,7 @@
 """Plain-Python versions of the operators, for comparison on small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -21,9 +22,9 @@ def shingles(text, n=3):
     return frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1)))
 
 
-def components(docs):
-    """doc_id -> (n_shingles, component_id); docs: list of (doc_id, text)."""
-    sets = [shingles(t) for _, t in docs]
+def components(docs, n=3, percent=90):
+    """[(doc_id, n_shingles, component_id)]; docs: list of (doc_id, text)."""
+    sets = [shingles(t, n) for _, t in docs]
     at = defaultdict(list)
     for i, s in enumerate(sets):
         for x in s:
@@ -38,8 +39,8 @@ def components(docs):
 
     for i, s in enumerate(sets):
         common = Counter(j for x in s for j in at[x] if j < i)
-        for j, n in common.items():
-            if 100 * n >= 90 * (len(s) + len(sets[j]) - n):
+        for j, both in common.items():
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
                 root[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(docs):
@@ -114,3 +115,27 @@ def url_verdict(url, rules=RULES):
             if best is None or len(h + p) > len(best[0]):
                 best = (h + p, verdict)
     return (host, path, *(best or (None, None)))
+
+
+def copies(docs, weights, seed=17):
+    """{(doc_id, copy)} of mixing; docs: list of (doc_id, text, source)."""
+    chars = Counter()
+    for _, text, source in docs:
+        chars[source] += len(text or "")
+    used = [s for s in chars if chars[s]]
+    weight = sum(weights.get(s, 1.0) for s in used)
+    total = sum(chars.values())
+    out = Counter()
+    for doc, _, source in docs:
+        if not chars[source]:
+            continue
+        rate = weights.get(source, 1.0) / weight * total / chars[source]
+        u = int(hashlib.md5(f"{seed}:{doc}".encode()).hexdigest()[:13], 16) / 2**52
+        k, below = 0, math.exp(-rate)
+        term = below
+        while u >= below:
+            k += 1
+            term *= rate / k
+            below += term
+        out.update((doc, c) for c in range(k))
+    return out

@@ -1,0 +1,101 @@
+"""Registered queries over whole tables: against SQL, or brute force."""
+
+from collections import Counter, defaultdict
+
+import brute
+import duckdb
+import pytest
+
+from logweir.llm import queries
+
+SF = "/root/testdata/sf0.001"
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double"}
+
+
+def _duck(sf_dir):
+    db = duckdb.connect()
+    for table in ("documents", "pages"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return db
+
+
+def _table(name, *columns):
+    return duckdb.sql(f"SELECT {', '.join(columns)} FROM '{SF}/{name}.parquet'").fetchall()
+
+
+def _rows(spark, key, *columns):
+    frame = queries.queries()[key](spark, SF)
+    return Counter(tuple(r) for r in frame.select(*columns).collect())
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+@pytest.mark.parametrize("key", sorted(queries.oracle_sql()))
+def test_query_equals_sql(spark, key, scale):
+    wanted = _duck(f"/root/testdata/{scale}").sql(queries.oracle_sql()[key])
+    got = queries.queries()[key](spark, f"/root/testdata/{scale}")
+    types = {n: TYPES[str(t)] for n, t in zip(wanted.columns, wanted.types, strict=True)}
+    assert dict(got.dtypes) == types
+    columns = sorted(types)
+    order = [wanted.columns.index(c) for c in columns]
+    expected = Counter(tuple(row[i] for i in order) for row in wanted.fetchall())
+    assert Counter(tuple(r) for r in got.select(*columns).collect()) == expected
+
+
+def test_every_operator_has_a_query():
+    numbers = sorted(int(k[2:].split("_")[0]) for k in queries.queries())
+    assert numbers == list(range(1, 11))
+
+
+def test_ngram_join(spark):
+    wanted = Counter(brute.components(_table("documents", "doc_id", "text")))
+    assert _rows(spark, "op1_ngram_join", "doc_id", "n_shingles", "component_id") == wanted
+
+
+def test_decontaminate(spark):
+    docs, items = _table("documents", "doc_id", "text"), _table("benchmark", "item_id", "text")
+    columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert _rows(spark, "op2_decontaminate", *columns) == Counter(brute.contamination(docs, items))
+
+
+def test_html_text(spark):
+    got = _rows(spark, "op4_html_text", "page_id", "url", "text", "n_chars")
+    assert {k[:2] for k in got} == set(_table("pages", "page_id", "url"))
+    assert all(k[3] == len(k[2]) and "  " not in k[2] and "<p>" not in k[2] for k in got)
+
+
+@pytest.mark.parametrize(
+    ("key", "folds", "held", "cut"), [("op5_toxicity", 4, 2, 0.3), ("op7_quality_model", 3, 1, 0.5)]
+)
+def test_scores(spark, key, folds, held, cut):
+    got = _rows(spark, key, "doc_id", "held_out", "score", "predicted")
+    assert {k[0] for k in got} == {r[0] for r in _table("documents", "doc_id")}
+    assert all(k[1] == (brute.crc(str(k[0])) % folds == held) for k in got)
+    assert all(0 <= k[2] <= 1 and k[3] == (k[2] >= cut) for k in got)
+
+
+def test_shard(spark):
+    got = _rows(spark, "op8_shard", "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    texts = dict(_table("documents", "doc_id", "text"))
+    assert {k[0] for k in got} == set(texts)
+    slots = defaultdict(list)
+    for doc, size, crc, law, shard, slot, grown in got:
+        assert (size, crc) == (len((texts[doc] or "").encode()) + 8, brute.crc(texts[doc]))
+        assert law == "bytes" and grown is None and 0 <= shard < 24
+        slots[shard].append(slot)
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+def test_chat(spark):
+    got = queries.queries()["op9_chat"](spark, SF)
+    assert got.columns == ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    by_id = {r.conv_id: r for r in got.collect()}
+    turns = Counter(r[0] for r in _table("conversations", "conv_id")) + Counter({-7: 2})
+    assert {i: r.n_turns for i, r in by_id.items()} == turns
+    said = "</s>[INST] ok [/INST]"
+    assert by_id[-7].loss_chars == len(said) and by_id[-7].formatted_chars > 2 * len(said)
+
+
+def test_quality_rules(spark):
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    wanted = Counter((d, *brute.base_rules(t)) for d, t in _table("documents", "doc_id", "text"))
+    assert _rows(spark, "op10_quality_rules", "doc_id", *columns) == wanted
