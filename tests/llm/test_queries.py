@@ -73,6 +73,26 @@ def test_scores(spark, key, folds, held, cut):
     assert all(0 <= k[2] <= 1 and k[3] == (k[2] >= cut) for k in got)
 
 
+def _held_out(spark, key, label):
+    """(label, predicted) of rows whose labels were not learnt, on a table with 3,980."""
+    folder = "/root/testdata/sf0.1"
+    truth = dict(duckdb.sql(f"SELECT doc_id, {label} FROM '{folder}/labels.parquet'").fetchall())
+    scored = queries.queries()[key](spark, folder).where("held_out").collect()
+    return Counter((truth[r.doc_id], r.predicted) for r in scored if r.doc_id in truth)
+
+
+def test_toxicity_on_held_out_rows(spark):
+    n = _held_out(spark, "op5_toxicity", "toxic")
+    assert n[0, 0] / (n[0, 0] + n[0, 1]) > 0.97
+    assert n[1, 1] / (n[1, 0] + n[1, 1]) > 0.85
+
+
+def test_quality_on_held_out_rows(spark):
+    n = _held_out(spark, "op7_quality_model", "quality")
+    assert n[1, 1] / (n[1, 0] + n[1, 1]) > 0.99
+    assert n[0, 0] / (n[0, 0] + n[0, 1]) > 0.95
+
+
 def test_shard(spark):
     got = _rows(spark, "op8_shard", "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
     texts = dict(_table("documents", "doc_id", "text"))
