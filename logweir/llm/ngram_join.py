@@ -44,7 +44,7 @@ from logweir.llm.textbatch import (
 )
 
 #: Grams in one part of a block; parts are joined in one task, two at a time.
-PART_TOKENS = 1_000_000
+PART_TOKENS = 2_000_000
 #: So many rows of ids are broadcast to pick documents; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 SALTS = 16
@@ -217,7 +217,8 @@ def _candidate_ties(rows: DataFrame, n: int, percent: int, seed: int) -> DataFra
         yield pa.RecordBatch.from_arrays([pa.array(ties[0]), pa.array(ties[1])], names=["a", "b"])
 
     found = rows.select("text", "root").mapInArrow(keyed, "key bigint, a bigint, b bigint")
-    dealt = found.repartition(lanes(rows.sparkSession), "key")
+    # A partition's keys are sorted in memory: twice as many partitions as for texts.
+    dealt = found.repartition(2 * lanes(rows.sparkSession), "key")
     return dealt.mapInArrow(tied, "a bigint, b bigint")
 
 

@@ -17,7 +17,7 @@ _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 #: Bytes of text handled at once (a longer text makes a chunk of its own), and hashed at once.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 _HASH_BYTES = 1 << 20
 
 
