@@ -399,6 +399,26 @@ def test_scores_without_labels(frame):
         assert work(frame([], DOCS), some).count() == 0
 
 
+def _in_fit_fold(spark, n):
+    fold = F.pmod(F.xxhash64("id"), F.lit(toxicity.FIT_SHARE)) == 0
+    return {r.id for r in spark.range(n).where(fold).collect()}
+
+
+def test_toxicity_counts_all_labelled_rows(spark, frame):
+    """A word that only rows of the fold for the curve have is learnt all the same."""
+    rows, labels = _labelled_docs()
+    inside = _in_fit_fold(spark, len(rows))
+    rows = [
+        (i, t.replace("vile", "vile loathsome") if i in inside else t, x, y)
+        for i, t, x, y in rows
+    ]
+    probe = words(random.Random(5), 40, 3_000)
+    new = [(50_000, f"{probe} loathsome", "en", "s"), (50_001, f"{probe} unheard", "en", "s")]
+    scored = toxicity.toxicity(frame(rows + new, DOCS), frame(labels, LABELS)).collect()
+    score = {r.row.doc_id: r.score for r in scored}
+    assert score[50_000] > 0.5 > 0.3 > score[50_001]
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(2)
     counts = rng.poisson(0.7, 1 << 10).astype(float)
