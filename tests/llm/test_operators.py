@@ -419,6 +419,20 @@ def test_toxicity_counts_all_labelled_rows(spark, frame):
     assert score[50_000] > 0.5 > 0.3 > score[50_001]
 
 
+def test_toxicity_of_a_handful_of_labels(spark, frame):
+    """No label in the fold for the curve: not every document is toxic."""
+    inside = _in_fit_fold(spark, 60)
+    ids = [i for i in range(60) if i not in inside and brute.crc(str(i)) % 4 != 2][:10]
+    rng = random.Random(6)
+    rows = [(i, words(rng, 30) + (" vile awful" if i in ids[:2] else ""), "en", "s") for i in range(60)]
+    rows += [(99, "vile awful vile", "en", "s")]
+    labels = [(i, 1, int(i in ids[:2])) for i in ids]
+    scored = toxicity.toxicity(frame(rows, DOCS), frame(labels, LABELS)).collect()
+    predicted = {r.row.doc_id: r.predicted for r in scored}
+    assert predicted[99] == 1
+    assert sum(predicted.values()) < len(rows) / 4
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(2)
     counts = rng.poisson(0.7, 1 << 10).astype(float)
