@@ -2,8 +2,10 @@
 
 A source of weight w gets the mean repetition rate r = w / sum of weights * total size
 / size of the source. Each document's count is drawn from Poisson(r) by inverting its
-distribution at a uniform number that is a hash of the seed and the document. The
-document is repeated that often, and all copies are dealt to random partitions and put
+distribution at a uniform number that is a hash of the seed and the document. A rate
+above MOST_REPEATS is cut into equal parts, each with a number of its own; their counts
+add up to one of Poisson(r), so a source of any size reaches its weight. The document is
+repeated that often, and all copies are dealt to random partitions and put
 into random order there: a global shuffle, without a sort of everything.
 
 Counts depend on the seed, the id and the rate alone, so a lost executor's rows come
@@ -23,8 +25,10 @@ from logweir.llm.frames import lanes
 
 #: So many sources are broadcast with their rates; more are joined by a shuffle.
 BROADCAST_SOURCES = 10_000
-#: The greatest rate at which exp(-rate) is a normal double.
+#: The greatest rate at which exp(-rate) is a normal double: above it, counts are summed.
 MOST_REPEATS = 700.0
+#: Copies of a document that are made from one array at most.
+COPY_BLOCK = 10_000
 #: Hexadecimal digits of the hash that make a uniform number: 52 bits.
 _DIGITS = 13
 
@@ -58,6 +62,20 @@ def poisson_inverse(u: Column, rate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), last), state, step)["count"]
 
 
+def poisson_count(seed: int, ident: Column, u: Column, rate: Column) -> Column:
+    """A count of Poisson(rate) for any rate; ``u`` alone decides up to MOST_REPEATS.
+
+    Beyond, it is the sum of ceil(rate / MOST_REPEATS) counts of equal rates.
+    """
+    parts = F.ceil(rate / MOST_REPEATS).cast("int")
+    total = F.aggregate(
+        F.sequence(F.lit(1), parts),
+        F.lit(0),
+        lambda a, part: a + poisson_inverse(uniform(seed, ident, part), rate / parts),
+    )
+    return F.when(rate <= MOST_REPEATS, poisson_inverse(u, rate)).otherwise(total)
+
+
 def repetition_rates(
     docs: DataFrame, weights: Mapping[str | None, float], other: float, source: str, text: str
 ) -> DataFrame:
@@ -101,7 +119,7 @@ def mixed(
     """Every kept copy as struct ``row``, with ``copy`` (from 0) and ``copies``.
 
     ``weights`` gives target weights of sources, ``other`` that of all the rest (null
-    is a source of its own). ``epochs`` scales all rates. Null and empty texts have no
+    is a source of its own). ``epochs`` scales all rates, and no rate is too high. Null and empty texts have no
     size but are repeated like others of their source. Rows repeated with one id have
     equal counts. An empty table gives an empty result; a total weight of 0 is an error.
     """
@@ -116,15 +134,17 @@ def mixed(
         rates.alias("r"), F.col("d.of_source").eqNullSafe(F.col("r.of_source"))
     )
     mean = F.col("rate") * epochs
-    too_often = F.raise_error(F.lit(f"a source would be repeated over {MOST_REPEATS} times"))
-    mean = F.when(mean <= MOST_REPEATS, mean).otherwise(too_often.cast("double"))
-    counted = rated.select(
-        "row", "draw", poisson_inverse(F.col("u"), mean).alias("copies")
-    ).where("copies > 0")
-    copies = counted.select(
+    count = poisson_count(seed, F.col("row")[ident], F.col("u"), mean)
+    counted = rated.select("row", "draw", count.alias("copies")).where("copies > 0")
+    last = F.col("copies") - 1
+    blocks = counted.select(
         "row", "draw", "copies",
-        F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"),
+        F.explode(F.sequence(F.lit(0), last, F.lit(COPY_BLOCK))).alias("block"),
     )
+    end = F.least(F.col("block") + (COPY_BLOCK - 1), last)
+    copies = blocks.select(
+        "row", "draw", "copies", F.explode(F.sequence("block", end)).alias("copy")
+    )
     if shuffle:
         place = copies.withColumn("place", F.xxhash64("draw", "copy"))
         copies = place.repartition(

@@ -264,6 +264,27 @@ def test_poisson_inverse(spark):
     assert [r.k for r in zero.collect()] == [0]
 
 
+def test_mixing_a_source_of_one_document(frame):
+    """Rates above MOST_REPEATS: counts are of the right mean, and copies are numbered."""
+    rows = [(0, LONG, "en", "s0"), (1, "ten chars.", "en", "s1")]
+    mean = (len(LONG) + 10) / 2 / 10
+    assert mean > 20 * mixing.MOST_REPEATS
+    got = mixing.mixed(frame(rows, DOCS)).where("row.doc_id = 1").select("copy", "copies").collect()
+    assert abs(len(got) - mean) < 6 * mean**0.5
+    assert sorted(r.copy for r in got) == list(range(len(got)))
+    assert {r.copies for r in got} == {len(got)}
+
+
+def test_poisson_count_of_high_rates(spark):
+    rate = 2.5 * mixing.MOST_REPEATS
+    ids = spark.range(3_000).withColumn("rate", F.lit(rate))
+    u = mixing.uniform(3, F.col("id"))
+    count = mixing.poisson_count(3, F.col("id"), u, F.col("rate"))
+    got = np.array([r[0] for r in ids.select(count).collect()])
+    assert abs(got.mean() - rate) < 6 * (rate / len(got)) ** 0.5
+    assert 0.85 < got.var() / rate < 1.15
+
+
 def test_mixing_awkward_rows(frame):
     rows = [(None, None, None, None), (None, "a", None, None), (1, "", "en", "empty"), (2, "b", "en", "s")]
     out = mixing.mixed(frame(rows, DOCS), {None: 1.0}, epochs=50.0)
