@@ -55,6 +55,24 @@ DROPPED_WORDS = {
     "recommended", "recommendations", "widget", "toolbar", "pagination", "pager", "hidden",
     "skip", "disclaimer", "paywall", "form", "search",
 }
+#: Of these, words that articles are named with as well: a compound of them and of other
+#: words than these and PLACES is no menu or notice (job-search, form-guide, entry-header).
+COMMON_WORDS = {"search", "form", "alert", "notice", "notices", "header", "masthead", "hidden",
+                "skip", "share", "reply", "respond", "subscription", "promotion", "promo",
+                "notification", "disclaimer", "banner", "comment", "menu", "social", "related",
+                "recommended", "paywall", "consent", "footer", "aside"}
+PLACES = {"site", "page", "top", "bottom", "left", "right", "main", "global", "primary",
+          "secondary", "box", "bar", "wrapper", "wrap", "container", "block", "section", "area",
+          "inner", "outer", "button", "buttons", "link", "links", "list", "items", "item", "text",
+          "message", "icon", "icons", "posts", "articles", "stories", "mobile", "desktop", "policy",
+          "content", "widget", "header", "footer", "body", "field", "input", "contact", "media",
+          "thread", "to", "title", "nav"}
+#: A class that begins or ends so says how a page is laid out, not what the element is.
+MODIFIERS = {"has", "no", "with", "without", "is", "not", "hide", "show", "hides", "shows"}
+STATES = {"open", "opened", "closed", "enabled", "disabled", "active", "visible", "on", "off"}
+HEADER_WORDS = {"header", "masthead"}
+#: What readers write is often longer than the article.
+READER_WORDS = {"comment", "comments", "disqus", "reply", "replies", "respond"}
 ARTICLE_WORDS = {"article", "articlebody", "content", "entry", "main", "post", "story", "body"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
@@ -72,12 +90,13 @@ _PARENTS = 6
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "bonus", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "bonus", "score", "chars", "linked", "named")
 
     def __init__(self, tag: str, parent: _Node | None, bonus: float = 0.0):
         self.tag, self.parent, self.bonus = tag, parent, bonus
         self.score = 0.0
         self.chars = self.linked = 0
+        self.named: set[str] | None = None  # words of class or id that speak against it
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -94,8 +113,24 @@ def _is_dropped(tag: str, values: dict[str, str]) -> bool:
         return False
     if values.get("role", "").lower() in DROPPED_ROLES or _HIDDEN.search(values.get("style", "")):
         return True
-    words = _WORD.findall(f"{values.get('class', '')} {values.get('id', '')}")
-    return any(w.lower() in DROPPED_WORDS for w in words)
+    return False
+
+
+def _named(tag: str, values: dict[str, str]) -> set[str]:
+    """DROPPED_WORDS that the class or id names the element by; none for page and article."""
+    found: set[str] = set()
+    if tag in {"html", "body", "article", "main"} or not ("class" in values or "id" in values):
+        return found
+    for token in f"{values.get('class', '')} {values.get('id', '')}".split():
+        words = [w.lower() for w in _WORD.findall(token)]
+        own = [w for w in words if w in DROPPED_WORDS]
+        if not own or words[0] in MODIFIERS or words[-1] in STATES:
+            continue
+        ends = {words[0], words[-1]} & DROPPED_WORDS
+        plain = all(w in DROPPED_WORDS or w in PLACES for w in words)
+        if plain or ends - COMMON_WORDS:
+            found.update(own)
+    return found
 
 
 def _bonus(tag: str, values: dict[str, str]) -> float:
@@ -159,6 +194,12 @@ class _Reader:
                     self.dropped = depth
             elif _is_dropped(tag, values):
                 self.dropped = depth
+            elif named := _named(tag, values):
+                inside = any(n.tag in {"article", "main"} for n in self.stack)
+                if inside and named <= HEADER_WORDS:
+                    self.headers.append(depth)
+                else:
+                    node.named = named
         if tag == "a":
             self.links += 1
 
@@ -229,11 +270,47 @@ def _ancestors(node: _Node) -> list[_Node]:
     return out
 
 
+def _without_named(blocks: list[tuple[_Node, str, int]]) -> list[tuple[_Node, str, int]]:
+    """Blocks that are in no element whose class or id speaks against it.
+
+    An element is kept for all that if it holds the page's <main>, its article, or most of
+    its unlinked text (what readers write aside).
+    """
+    plain: dict[_Node, int] = {}
+    marked: dict[_Node, None] = {}
+    total = outside = 0
+    for node, text, linked in blocks:
+        size = max(0, len(text) - linked)
+        total += size
+        inside = False
+        for above in _ancestors(node):
+            plain[above] = plain.get(above, 0) + size
+            if above.named:
+                marked[above] = None
+                inside = True
+        outside += 0 if inside else size
+    if not marked:
+        return blocks
+    articles = [x for x in plain if x.tag == "article"]
+    largest = max(articles, key=lambda x: plain[x], default=None)
+    mains = {id(y) for x in plain if x.tag == "main" for y in _ancestors(x)}
+    holds = set()
+    if largest and plain[largest] > outside:
+        holds |= {id(x) for x in _ancestors(largest)}
+    out = {
+        id(x)
+        for x in marked
+        if id(x) not in mains
+        and (x.named & READER_WORDS or not (id(x) in holds or 2 * plain[x] > total))
+    }
+    return [b for b in blocks if not any(id(x) in out for x in _ancestors(b[0]))]
+
+
 def main_text(html: str | None) -> str:
     """The article of a page: its blocks, each with single spaces, joined by newlines."""
     if not html:
         return ""
-    blocks = _read(html).blocks
+    blocks = _without_named(_read(html).blocks)
     if not blocks:
         return ""
     scored: dict[int, _Node] = {}

@@ -337,6 +337,28 @@ def test_main_text_of_fragments(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<body><div class='layout has-sidebar'><p>One, two.</p></div>", "One, two."),
+        ("<div class='no-comments'><p>One, two.</p></div><div class=comments><p>x</p></div>", "One, two."),
+        ("<div id=with-header><p>One.</p></div>", "One."),
+        ("<article><div class='entry-header'><h1>T</h1></div><p>One.</p></article>", "T\nOne."),
+        ("<article><div class='header'><h1>T</h1><p>by me</p></div><p>One.</p></article>", "T\nOne."),
+        ("<article><p>One.</p><div class='job-search'><p>Two.</p></div><p class=stock-alert>Three.</p>"
+         "<div id=form-guide><p>Four.</p></div></article>", "One.\nTwo.\nThree.\nFour."),
+        ("<div class=sidebar-left><div class=x><article><p>One.</p></article></div></div>", "One."),
+        ("<div class='site-header'><p>Site.</p></div><article><p>One, two, three.</p>"
+         "<div class='ad-banner'><p>Buy</p></div><div class='search-form'><p>Find</p></div></article>",
+         "One, two, three."),
+        ("<div class=post><p>Short.</p></div><section class=comments><p>A longer comment.</p></section>",
+         "Short."),
+    ],
+)
+def test_classes_that_are_no_menus(html, text):
+    assert html_text.main_text(html) == text
+
+
 def test_extract_frame(frame):
     deep = "<div>" * 3_000 + "deep" + "</div>" * 3_000
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, "v", deep), (3, "w", "<p>" + LONG)]
