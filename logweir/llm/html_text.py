@@ -5,8 +5,9 @@ and styles are taken out first, by element, role and the words of class and id.
 each block of text passes points to its ancestors: one, one for each comma and one for
 each hundred characters; its parent gets all of them, its grandparent half, those above
 ever less. An element's points are discounted by the share of its text inside links.
-The best element is the container of the article. It is kept with those siblings that
-have a fair part of its points. Lists inside that are mostly links are left out.
+The article is all of the <article> or <main> around the best element, or else of the
+ancestors that add more than menus to it. It is kept with those siblings that have a fair
+part of the best element's points. Lists inside that are mostly links are left out.
 
 Pages are read independently in one pass; nothing is shuffled or shared.
 """
@@ -87,6 +88,8 @@ _ATTRIBUTE = re.compile(
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _PARENTS = 6
+#: More of a text inside links than this makes it like a menu.
+MENU_LINKS = 1 / 3
 
 
 class _Node:
@@ -306,6 +309,25 @@ def _without_named(blocks: list[tuple[_Node, str, int]]) -> list[tuple[_Node, st
     return [b for b in blocks if not any(id(x) in out for x in _ancestors(b[0]))]
 
 
+def _container(best: _Node) -> _Node:
+    """The whole article around the best element.
+
+    That is the outermost <article> or <main> around it. Without one, it is the outermost
+    element below <body> up to which what is added at each step is mostly not links.
+    """
+    around = _ancestors(best)
+    whole = [x for x in around if x.tag in {"article", "main"}]
+    if whole:
+        return whole[-1]
+    for above in around[1:]:
+        if above.tag in {"", "html", "body"}:
+            break
+        if above.linked - best.linked > MENU_LINKS * (above.chars - best.chars):
+            break
+        best = above
+    return best
+
+
 def main_text(html: str | None) -> str:
     """The article of a page: its blocks, each with single spaces, joined by newlines."""
     if not html:
@@ -330,25 +352,26 @@ def main_text(html: str | None) -> str:
         share = node.linked / max(1, node.chars)
         return (node.score + node.bonus) * (1 - share)
 
-    best = max(scored.values(), key=worth)
-    least = max(10.0, 0.2 * worth(best))
+    best = _container(max(scored.values(), key=worth))
+    least = max(10.0, 0.2 * max(map(worth, scored.values())))
     kept = {id(best)} | {
         id(x) for x in scored.values() if x.parent is best.parent and worth(x) >= least
     }
     lists = {"ul", "ol", "dl", "table", "section", "div"}
     out = []
-    for node, text, _ in blocks:
+    for node, text, linked in blocks:
         inside = []
         for above in _ancestors(node):
             if id(above) in kept:
-                linked = any(x.tag in lists and x.linked > 0.66 * x.chars for x in inside)
-                if not linked:
+                if not any(x.tag in lists and x.linked > 0.66 * x.chars for x in inside):
                     out.append(text)
                 break
             inside.append(above)
         else:
-            # A long paragraph beside the container is a sibling of its own.
-            if node.tag == "p" and node.parent is best.parent and len(text) > 80:
+            # A long paragraph or a title beside the container is a sibling of its own.
+            if node.parent is best.parent and (
+                (node.tag == "p" and len(text) > 80) or (node.tag == "h1" and not linked)
+            ):
                 out.append(text)
     return "\n".join(out)
 

@@ -359,6 +359,24 @@ def test_classes_that_are_no_menus(html, text):
     assert html_text.main_text(html) == text
 
 
+LONG_P = "<p>" + "A sentence, with commas, of some length. " * 4 + "</p>"
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+@pytest.mark.parametrize("n", [1, 60])
+def test_whole_article_of_any_length(tag, n):
+    """Titles, short paragraphs and small sections stay, however long the rest is."""
+    long = LONG_P[3:-4].strip()
+    page = (
+        f"<body><nav>Menu</nav><{tag}><h1>Title</h1><div class=content>{LONG_P * n}</div><p>Short.</p>"
+        f"<section><h2>Small</h2><p>Part.</p></section></{tag}>"
+        "<div><a href=x>One</a> <a href=y>Two</a></div></body>"
+    )
+    assert html_text.main_text(page).split("\n") == ["Title", *[long] * n, "Short.", "Small", "Part."]
+    title = f"<body><h1>Title</h1><div class=content>{LONG_P * n}</div><footer>x</footer></body>"
+    assert html_text.main_text(title).split("\n") == ["Title", *[long] * n]
+
+
 def test_extract_frame(frame):
     deep = "<div>" * 3_000 + "deep" + "</div>" * 3_000
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, "v", deep), (3, "w", "<p>" + LONG)]
