@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from logweir.llm import (
     chat, components, decontaminate, html_text, mixing, ngram_join, quality_model, quality_rules,
-    sharding, toxicity, url_rules,
+    sharding, textbatch, toxicity, url_rules,
 )
 
 DOCS = "doc_id bigint, text string, lang string, source string"
@@ -494,6 +494,47 @@ def test_toxicity_of_a_handful_of_labels(spark, frame):
     assert sum(predicted.values()) < len(rows) / 4
 
 
+def test_toxicity_of_colliding_words(frame):
+    """Words whose hashes begin with the same 20 bits have values of their own."""
+    seen, pair = {}, None
+    for i in range(20_000):
+        text = f"q{i}x"
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        ends = np.array([0]), np.array([len(data)])
+        top = int(textbatch.hash_spans(data, *ends)[0]) >> 44
+        if top in seen:
+            pair = seen[top], text
+            break
+        seen[top] = text
+    bad, good = pair
+    rows, labels = _labelled_docs()
+    rows = [
+        (i, t + f" {bad} vile" if toxic else t + f" {good}", x, y)
+        for (i, t, x, y), (_, _, toxic) in zip(rows, labels, strict=True)
+    ]
+    probe = words(random.Random(5), 40, 3_000)
+    new = [(50_000, f"{probe} {bad}", "en", "s"), (50_001, f"{probe} {good}", "en", "s")]
+    scored = toxicity.toxicity(frame(rows + new, DOCS), frame(labels, LABELS)).collect()
+    score = {r.row.doc_id: r.score for r in scored}
+    assert score[50_000] > 0.5 > 0.3 > score[50_001]
+
+
+@pytest.mark.parametrize("size", [0, 300])
+def test_toxicity_with_joined_words(frame, monkeypatch, size):
+    """A model that is joined, wholly or in part, gives the scores of a broadcast one."""
+    rows, labels = _labelled_docs(200)
+    rows += [rows[3], (5_000, None, "en", "s"), (None, "", "en", "s"), (5_001, LONG + " vile", "en", "s")]
+
+    def scores():
+        out = toxicity.toxicity(frame(rows, DOCS), frame(labels, LABELS)).collect()
+        return sorted((r.row.doc_id or -1, r.row.text or "", r.score) for r in out)
+
+    wanted = scores()
+    monkeypatch.setattr(toxicity, "BROADCAST_WORDS", size)
+    for a, b in zip(scores(), wanted, strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2])
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(2)
     counts = rng.poisson(0.7, 1 << 10).astype(float)
