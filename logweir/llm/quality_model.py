@@ -6,8 +6,9 @@ a softmax layer over that mean gives the class. Vectors and layer are learnt tog
 by stochastic gradient descent in numpy.
 
 Training takes a bounded sample: ``SAMPLE_ROWS`` labelled documents with the least
-hashes of their ids, and of those, in that order, as many as have ``SAMPLE_CHARS``
-characters. Their features are counted by Spark; the driver gets the counts only. To
+hashes of their ids, and of those, in that order, each that still fits into
+``SAMPLE_CHARS`` characters. They are chosen by hash and length alone, before any text is
+moved. Their features are counted by Spark; the driver gets the counts only. To
 score, layer and vectors fold into one number for each bucket (1 MB), which is
 broadcast, and all documents are read whole in one pass without a shuffle.
 """
@@ -18,7 +19,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from logweir.llm.frames import map_texts
@@ -133,6 +134,18 @@ def _scores(texts: pa.Array, logits: np.ndarray) -> list[pa.Array]:
     return [pa.array(1 / (1 + np.exp(-out)))]
 
 
+def _fitting(rows: Sequence[Row]) -> dict[tuple[int, int], int]:
+    """Of rows (draw, label, chars, n), in their order: how many of each fit the sample."""
+    out = {}
+    left, room = SAMPLE_ROWS, SAMPLE_CHARS
+    for draw, label, chars, n in rows:
+        fits = min(n, left, room // chars if chars else n)
+        if fits:
+            out[draw, label] = fits
+            left, room = left - fits, room - fits * chars
+    return out
+
+
 def quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -155,20 +168,31 @@ def quality(
         .orderBy(F.xxhash64(marks[ident]), marks[label])
         .limit(SAMPLE_ROWS)
     )
-    marked = with_labels(docs, chosen, label, ident, text).withColumn(
-        "draw", F.xxhash64("ident", "text")
+    marked = with_labels(docs, chosen, label, ident, text).select(
+        "label", "text", F.xxhash64("ident", "text").alias("draw")
     )
-    # SAMPLE_ROWS rows and their repetitions at most.
-    sizes = Window.orderBy("draw").rowsBetween(Window.unboundedPreceding, 0)
-    few = marked.orderBy("draw").limit(SAMPLE_ROWS)
-    few = few.withColumn("chars", F.sum(F.length(F.coalesce("text", F.lit("")))).over(sizes))
-    few = few.where(F.col("chars") <= SAMPLE_CHARS)
-    counted = map_texts(few, "text", "keys array<int>, times array<int>", _counts, ["label"])
-    table = counted.select("row.label", "keys", "times").toArrow()
-    samples = [
-        (k.values.to_numpy(), t.values.to_numpy(), y.as_py())
-        for y, k, t in zip(table["label"], table["keys"], table["times"], strict=True)
-    ]
+    # Rows repeated with equal id, text and label are one row here.
+    sizes = marked.groupBy("draw", "label").agg(
+        F.max(F.length(F.coalesce("text", F.lit("")))).alias("chars"), F.count("*").alias("n")
+    )
+    few = _fitting(sizes.orderBy("draw", "label").limit(SAMPLE_ROWS).collect())
+    picked = spark.createDataFrame(list(few), "of_draw bigint, of_label int")
+    same = (F.col("draw") == F.col("of_draw")) & (F.col("label") == F.col("of_label"))
+    texts = (
+        marked.join(F.broadcast(picked), same)
+        .groupBy("draw", "label")
+        .agg(F.first("text").alias("text"))
+    )
+    counted = map_texts(
+        texts, "text", "keys array<int>, times array<int>", _counts, ["draw", "label"]
+    )
+    table = counted.select("row.draw", "row.label", "keys", "times").toArrow()
+    columns = (table[c] for c in ("draw", "label", "keys", "times"))
+    found = {
+        (d.as_py(), y.as_py()): (k.values.to_numpy(), t.values.to_numpy(), y.as_py())
+        for d, y, k, t in zip(*columns, strict=True)
+    }
+    samples = [found[key] for key, n in few.items() for _ in range(n)]
     logits = spark.sparkContext.broadcast(train(samples))
     columns = list(dict.fromkeys([*(docs.columns if keep is None else keep), ident]))
     found = map_texts(

@@ -535,6 +535,20 @@ def test_toxicity_with_joined_words(frame, monkeypatch, size):
         assert a[:2] == b[:2] and a[2] == pytest.approx(b[2])
 
 
+def test_quality_skips_a_text_that_does_not_fit(spark, frame, monkeypatch):
+    """A text too long for the sample, first in its order, shuts out no other."""
+    rows, labels = _labelled_docs(200)
+    at = next(i for i in range(200) if brute.crc(str(i)) % 3 != 1)
+    texts = spark.range(2_000).select(F.concat(F.lit(LONG), F.col("id").cast("string")).alias("text"))
+    draw = F.xxhash64(F.lit(at).cast("bigint"), "text")
+    rows[at] = (at, texts.orderBy(draw).first().text, "en", "s")
+    monkeypatch.setattr(quality_model, "SAMPLE_CHARS", len(LONG))
+    scored = quality_model.quality(frame(rows, DOCS), frame(labels, LABELS), keep=["doc_id"]).collect()
+    truth = {i: q for i, q, _ in labels if i != at}
+    right = sum(r.predicted == truth[r.row.doc_id] for r in scored if r.row.doc_id != at)
+    assert right / len(truth) > 0.9
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(2)
     counts = rng.poisson(0.7, 1 << 10).astype(float)
