@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.llm import (
-    chat, decontaminate, html_text, mixing, ngram_join, quality_model, quality_rules, sharding,
-    toxicity, url_rules,
+    ball_kmeans, chat, decontaminate, html_text, mixing, ngram_join, quality_model, quality_rules,
+    sharding, token_counts, toxicity, url_rules,
 )
 from logweir.llm.frames import read
 
@@ -102,6 +103,32 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "class_distance", "word_distance")
 
 
+def op11_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    rows, books = ball_kmeans.compressed(vectors, keep=["vec_id", "label"])
+    rows = ball_kmeans.with_label_error(rows, F.col("row.label"))
+    return rows.select(
+        "row.vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(ball_kmeans.books_sha256(books)).alias("codebooks_sha256"),
+    )
+
+
+#: op13: more tokens than this are over the limit.
+TOKEN_LIMIT = 1024
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    docs = read(spark, sf_dir, "documents")
+    counted = token_counts.token_counts(docs, str(tokenizer), keep=["doc_id"])
+    return counted.select(
+        "row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -114,6 +141,8 @@ def queries() -> dict[str, Query]:
         "op8_shard": op8_shard,
         "op9_chat": op9_chat,
         "op10_quality_rules": op10_quality_rules,
+        "op11_ball_kmeans": op11_ball_kmeans,
+        "op13_token_counts": op13_token_counts,
     }
 
 
