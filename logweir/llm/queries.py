@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from logweir.llm import (
     ball_kmeans, chat, decontaminate, html_text, mixing, ngram_join, quality_model, quality_rules,
-    sharding, token_counts, toxicity, url_rules,
+    sharding, source_audit, token_counts, toxicity, url_rules,
 )
 from logweir.llm.frames import read
 
@@ -116,6 +116,10 @@ def op11_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.source_audit(read(spark, sf_dir, "documents"))
+
+
 #: op13: more tokens than this are over the limit.
 TOKEN_LIMIT = 1024
 
@@ -142,6 +146,7 @@ def queries() -> dict[str, Query]:
         "op9_chat": op9_chat,
         "op10_quality_rules": op10_quality_rules,
         "op11_ball_kmeans": op11_ball_kmeans,
+        "op12_source_audit": op12_source_audit,
         "op13_token_counts": op13_token_counts,
     }
 
@@ -194,5 +199,50 @@ FROM parts p LEFT JOIN fits f ON p.nth = f.nth AND f.n = 1
 """
 
 
+AUDIT_SQL = f"""
+WITH d AS (
+ SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS id,
+  regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+   '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+t AS (SELECT lang, source, id, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term
+ HAVING count(DISTINCT id) >= {source_audit.LEAST_DOCS}),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term)
+ GROUP BY lang, source, term),
+g AS (SELECT s.lang, s.source, coalesce(sum(c.n), 0)::HUGEINT AS total
+ FROM (SELECT DISTINCT lang, source FROM d) s LEFT JOIN c USING (lang, source)
+ GROUP BY s.lang, s.source),
+cells AS (
+ SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, g.total, v.v,
+  1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.total + v.v) AS p
+ FROM g JOIN kept USING (lang) JOIN v USING (lang)
+ LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+l AS (
+ SELECT lang, term, 1 + 1000000000::HUGEINT * (sum(n) + 1) // (sum(total) + any_value(v)) AS q
+ FROM cells GROUP BY lang, term),
+sums AS (
+ SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+ FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+ GROUP BY a.lang, a.source, b.source),
+pairs AS (
+ SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+ FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+ LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+ SELECT cells.lang, source, term AS item, (p - q) * (p - q) // q AS value
+ FROM cells JOIN l USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+ SELECT *, 'pair' AS part FROM pairs UNION ALL SELECT *, 'term' FROM terms)
+SELECT lang, source, part, item, value::BIGINT AS value,
+ (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM ranked QUALIFY part = 'pair' OR rank <= {source_audit.TOP_TERMS}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": MIX_SQL, "op6_url_rules": URL_SQL}
+    return {
+        "op3_mix_sources": MIX_SQL,
+        "op6_url_rules": URL_SQL,
+        "op12_source_audit": AUDIT_SQL,
+    }
