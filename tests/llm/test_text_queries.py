@@ -43,7 +43,7 @@ def test_query_equals_sql(spark, key, scale):
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_ngram_join(spark):
