@@ -268,10 +268,14 @@ def test_token_counts_of_no_rows(spark, frame):
 
 def test_settled_characters_are_cut_alike():
     """Every settled character, after and before letters, digits, signs and spaces."""
-    cut = token_counts.Pretokens(open(TOKENIZER, encoding="utf-8").read())
+    with open(TOKENIZER, encoding="utf-8") as file:
+        cut = token_counts.Pretokens(file.read())
     library = Tokenizer.from_file(TOKENIZER).pre_tokenizer
     points = [c for a, b in token_counts.SETTLED for c in range(a, b + 1) if not 0xD800 <= c < 0xE000]
     for i in range(0, len(points), 4000):
-        text = "".join(f"a{chr(c)}a1{chr(c)}1!{chr(c)}!" for c in points[i : i + 4000])
+        text = "".join(f"a{chr(c)}a1{chr(c)}1!{chr(c)}! {chr(c)} {chr(c)}b" for c in points[i : i + 4000])
         assert cut._unsettled.search(text) is None
-        assert cut._cut.findall(text) == [text[a:b] for _, (a, b) in library.pre_tokenize_str(text)]
+        wanted = [text[a:b] for _, (a, b) in library.pre_tokenize_str(text)]
+        assert cut._cut.findall(text) == wanted
+        latin = "".join(c for c in text if ord(c) < token_counts._LATIN)
+        assert cut._cut_latin.findall(latin) == cut._cut.findall(latin)
