@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from logweir.llm.frames import stored
+from logweir.llm.frames import map_texts, stored
 from logweir.llm.textbatch import ALPHANUMERIC, chunks, find_words, hash_spans, ngram_hashes
 
 WINDOW = 13
@@ -194,13 +194,20 @@ def contamination(
     match nothing; repeated rows each get their result; an empty benchmark finds
     nothing. A null item id is the string ''.
     """
+    blocks = _blocks(benchmark, item, item_text)
+    index, later = next(blocks), next(blocks, None)
+    if later is None:
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def search(texts: pa.Array) -> list[pa.Array]:
+            return _search(texts, [None] * len(texts), [None] * len(texts), shared.value)
+
+        return map_texts(docs, text, _FOUND, search, keep)
     columns = docs.columns if keep is None else list(keep)
     none = [F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(_FOUND).fields[1:]]
     state = docs.select(
         F.struct(*[docs[c] for c in columns]).alias("row"), docs[text].alias("text"), *none
     )
-    blocks = _blocks(benchmark, item, item_text)
-    index, later = next(blocks), next(blocks, None)
     while later is not None:
         state = stored(_pass(state, index, keep_text=True))
         index, later = later, next(blocks, None)

@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from logweir.llm.frames import slices
+
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -90,23 +92,20 @@ class Words(NamedTuple):
 
 
 def chunks(texts: pa.Array | pa.ChunkedArray, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
-    """The texts (null: empty), each with a newline after it, in pieces of about ``size`` bytes."""
+    """The texts (null: empty), each with a newline after it, in pieces of about ``size`` bytes.
+
+    Only one piece at a time is copied.
+    """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
     nothing, newline = (pa.scalar(x, pa.large_string()) for x in ("", "\n"))
-    ended = pc.binary_join_element_wise(texts, nothing, newline)
-    if len(ended) == 0:
-        return
-    _, offset_buffer, data_buffer = ended.buffers()
-    offsets = np.frombuffer(offset_buffer, dtype=np.int64)[ended.offset :][: len(ended) + 1]
-    data = np.frombuffer(data_buffer, dtype=np.uint8)
-    row = 0
-    while row < len(ended):
-        stop = int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1
-        stop = min(max(stop, row + 1), len(ended))
-        yield Chunk(row, data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row])
-        row = stop
+    for first, rows in slices(texts, size):
+        piece = pc.fill_null(texts.slice(first, rows).cast(pa.large_string()), "")
+        ended = pc.binary_join_element_wise(piece, nothing, newline)
+        _, offset_buffer, data_buffer = ended.buffers()
+        offsets = np.frombuffer(offset_buffer, dtype=np.int64)[ended.offset :][: rows + 1]
+        data = np.frombuffer(data_buffer, dtype=np.uint8)
+        yield Chunk(first, data[offsets[0] : offsets[-1]], offsets - offsets[0])
 
 
 def find_words(chunk: Chunk, is_word: np.ndarray) -> Words:
