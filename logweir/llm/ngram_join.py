@@ -5,11 +5,12 @@ A document's set is that of its distinct word n-grams. Two documents link when
 Documents with one set form a class, and all further work is on classes.
 
 Finding who may link: sizes fall into levels such that linked sets are in one level or
-in neighbouring ones. For a level, sets that link differ in at most d grams. So when
-grams are dealt by hash into d + 1 segments, some segment of both sets is equal. Each
-class has a key for each segment; classes with a common key are tied to the least one
-of them. Components of these ties hold all links. They are dealt again in other ways,
-which takes chance chains apart, and then are the blocks of the join.
+in neighbouring ones. For a level, sets that link differ in at most d grams. Grams are
+dealt by hash into d / 2 + 1 groups of three segments and some more, so that in some group
+two segments of both sets are equal. Each class has a key for each two segments of a group;
+classes with a common key are tied to the least one of them. Components of these ties hold
+all links and are the blocks of the join. Keys of two segments, the weakest left out, are
+what keeps texts that only share a passage from being tied by chance into long chains.
 
 Finding links: for each block a signature tree is built over its sets. Nodes hold the
 OR of token bitmaps and the range of sizes. Pairs of nodes are walked from the top;
@@ -37,8 +38,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweir.llm.components import connected
-from logweir.llm.frames import lanes, map_texts, stored
+from logweir.llm.components import connected, contract, contracted
+from logweir.llm.frames import give_back, lanes, map_texts, small_batches, stored
 from logweir.llm.textbatch import (
     NON_SPACE, chunks, find_words, hash_spans, mix, ngram_hashes, seeded,
 )
@@ -48,10 +49,9 @@ PART_TOKENS = 2_000_000
 #: So many rows of ids are broadcast to pick documents; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 SALTS = 16
-#: Grams are dealt to segments in so many ways at most, one after the other, while a
-#: block of more sets than this is left.
-DEALS = 3
-SMALL_BLOCK = 500
+#: Percent of groups of segments beyond those needed; keys of so many groups can be left
+#: out where they have the fewest grams.
+SPARE = 20
 _FAN_OUT = 8
 _SLICE_BYTES = 8 << 20
 _MOST_BITS = 1 << 16
@@ -122,19 +122,23 @@ def level_of(size, percent: int):
 
 
 def segment_keys(
-    grams: np.ndarray, borders: np.ndarray, percent: int, seed: int = 0
+    grams: np.ndarray, borders: np.ndarray, percent: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) of every set, for the level of its size and the next.
 
-    Sets that link differ in so many grams at most that, of more segments than that,
-    one is equal. There are some segments more, so that a set nearly always has enough
-    that are not empty; then one of those is equal, and its empty ones need no key.
+    Grams are dealt by hash to groups of three segments, and each two segments of a group
+    make a key. A gram in which two sets differ spoils one segment, so it takes two of them
+    to spoil all keys of a group: of more groups than half the differences, one has an equal
+    key. There are SPARE more. So a set may leave out its weakest keys, those of the fewest
+    grams, as long as groups that lose one are no more than the spare ones: equal keys have
+    equally many grams, so what one of two sets leaves out among their common keys contains
+    what the other does, or is contained in it, and one common key is left.
     """
     sizes = np.diff(borders)
     limits = level_borders(percent, int(sizes.max(initial=1)))
     level = np.searchsorted(limits, sizes, side="right") - 1
-    spread = seeded(grams, 2 + 2 * seed) >> np.uint64(32)
-    values = seeded(grams, 3 + 2 * seed)
+    spread = seeded(grams, 2) >> np.uint64(32)
+    values = seeded(grams, 3)
     row_of = np.repeat(np.arange(len(sizes)), sizes)
     rows, keys = [], []
     for step in (0, 1):
@@ -142,83 +146,105 @@ def segment_keys(
         # Linked sets differ in at most (1 - s) / (1 + s) of the sum of their sizes, and
         # both are below limits[scheme + 1]. If no gram may differ, classes are equal.
         differ = 2 * (100 - percent) * (limits[scheme + 1] - 1) // (100 + percent)
-        filled = limits[np.maximum(scheme - 1, 0)] / (differ + 1)
-        spare = np.ceil(1.1 * differ * np.exp(-filled)).astype(np.int64) + 2
-        parts = np.where((sizes > 0) & (differ > 0), differ + 1 + spare, 0)
-        first = np.concatenate([[0], np.cumsum(parts)])
-        used = parts[row_of] > 0
+        needed = differ // 2 + 1
+        spare = needed * SPARE // 100 + 2
+        groups = np.where((sizes > 0) & (differ > 0), needed + spare, 0)
+        first = np.concatenate([[0], np.cumsum(groups)])
+        used = groups[row_of] > 0
         own = row_of[used]
-        part = (spread[used] * parts[own].astype(np.uint64)) >> np.uint64(32)
-        at = first[own] + part.astype(np.int64)
-        sums = np.zeros(first[-1], dtype=np.uint64)
+        part = (spread[used] * (3 * groups[own]).astype(np.uint64)) >> np.uint64(32)
+        at = 3 * first[own] + part.astype(np.int64)
+        sums = np.zeros(3 * first[-1], dtype=np.uint64)
         np.add.at(sums, at, values[used])
-        is_filled = np.zeros(first[-1], dtype=bool)
-        is_filled[at] = True
-        row = np.repeat(np.arange(len(sizes)), parts)
-        number = np.arange(first[-1]) - first[row]
-        place = mix((scheme[row].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64))
-        # What a set that links may differ from this one, in this scheme.
-        most = np.minimum((100 - percent) * sizes // percent, differ)
-        enough = np.bincount(row, weights=is_filled, minlength=len(sizes)) > most
-        kept = is_filled | ~enough[row]
-        rows.append(row[kept])
-        keys.append(mix(sums[kept] + place[kept]))
+        filled = np.bincount(at, minlength=3 * first[-1])
+        sums, filled = sums.reshape(-1, 3), filled.reshape(-1, 3)
+        row = np.repeat(np.arange(len(sizes)), groups)
+        number = (np.arange(first[-1]) - first[row]).astype(np.uint64)
+        place = mix((scheme[row].astype(np.uint64) << np.uint64(40)) + number)
+        # The two segments of each key, without the third.
+        count = filled.sum(axis=1, keepdims=True) - filled
+        least = count.min(axis=1)
+        kept = count > _weakest(row, least, spare, len(sizes))[row][:, None]
+        for k in range(3):
+            x, y = sums[:, (k + 1) % 3], sums[:, (k + 2) % 3]
+            key = mix(seeded(x, 4) + y + place * np.uint64(2 * k + 1))
+            rows.append(row[kept[:, k]])
+            keys.append(key[kept[:, k]])
     return np.concatenate(rows), np.concatenate(keys).view(np.int64)
 
 
+def _weakest(row: np.ndarray, least: np.ndarray, spare: np.ndarray, sets: int) -> np.ndarray:
+    """By set, the largest count such that at most ``spare`` groups have a key of no more
+    grams (-1: none)."""
+    order = np.lexsort((least, row))
+    ordered, of = least[order], row[order]
+    first = np.searchsorted(of, np.arange(sets))
+    many = np.diff(np.append(first, len(of)))
+    out = np.full(sets, -1, dtype=np.int64)
+    has = np.flatnonzero(many > 0)
+    # The first group that must stay; counts below its own may go.
+    stays = first[has] + np.minimum(spare[has], many[has] - 1)
+    out[has] = ordered[stays] - 1
+    return out
+
+
 # Candidates -----------------------------------------------------------------
 
 
-def _ties(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Least node of each key (keys, nodes), and for the others (node, least node)."""
+def _ties(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each key once, with its least node; and (node, node) for those with a common key."""
     order = np.lexsort((nodes, keys))
     keys, nodes = keys[order], nodes[order]
     new = np.ones(len(keys), dtype=bool)
     new[1:] = keys[1:] != keys[:-1]
     least = nodes[new][np.cumsum(new) - 1]
     other = nodes != least
-    ties = np.unique(np.stack([nodes[other], least[other]]), axis=1)
-    return keys[new], nodes[new], ties
+    return keys[new], nodes[new], *contract(nodes[other], least[other])
 
 
-def _candidate_ties(rows: DataFrame, n: int, percent: int, seed: int) -> DataFrame:
-    """Edges ``a``, ``b`` between classes with a common key, for ``text`` and ``root``.
+def _candidate_ties(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Edges ``a``, ``b`` that connect classes of ``text`` with a common key.
 
-    Only classes with the same ``root`` are tied.
+    A task sends each key once for each batch, with its least class; in the batch, and
+    among the keys of a task after the shuffle, ties are contracted to stars. The keys
+    of a task are sorted by Spark and read as a stream.
     """
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            roots = batch.column(1).to_numpy().view(np.uint64)
-            for start, grams, borders in gram_sets(batch.column(0), n):
-                rows, keys = segment_keys(grams, borders, percent, seed)
-                keys = mix(keys.view(np.uint64) ^ mix(roots[start + rows])).view(np.int64)
-                keys, nodes, ties = _ties(keys, class_ids(grams, borders)[rows])
-                tied = mix(ties[0].view(np.uint64) ^ mix(ties[1].view(np.uint64))).view(np.int64)
+            for _, grams, borders in gram_sets(batch.column(0), n):
+                rows, keys = segment_keys(grams, borders, percent)
+                keys, nodes, a, b = _ties(keys, class_ids(grams, borders)[rows])
+                # A tie is a key of its own, of two rows.
+                tie = mix(mix(a.view(np.uint64)) ^ b.view(np.uint64)).view(np.int64)
+                out = np.concatenate([keys, tie, tie]), np.concatenate([nodes, a, b])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["key", "a"])
+        give_back()
+
+    def tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs() -> Iterator[pa.RecordBatch]:
+            last_key, least = None, 0
+            for batch in batches:
+                key, a = (c.to_numpy() for c in batch.columns)
+                if not len(key):
+                    continue
+                new = np.append(True, key[1:] != key[:-1])
+                first = a.copy()
+                if key[0] == last_key:  # goes on from the batch before
+                    new[0], first[0] = False, least
+                at = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+                root = first[at]
+                last_key, least = key[-1], int(root[-1])
+                other = a != root
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([keys, tied])),
-                        pa.array(np.concatenate([nodes, ties[0]])),
-                        pa.concat_arrays([pa.nulls(len(keys), pa.int64()), pa.array(ties[1])]),
-                    ],
-                    names=["key", "a", "b"],
+                    [pa.array(a[other]), pa.array(root[other])], names=["a", "b"]
                 )
 
-    def tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = list(batches)
-        if not parts:
-            return
-        table = pa.Table.from_batches(parts).combine_chunks()
-        is_tie = table["b"].is_valid().to_numpy()
-        key, a = table["key"].to_numpy(), table["a"].to_numpy()
-        b = table["b"].fill_null(0).to_numpy()
-        _, _, more = _ties(key[~is_tie], a[~is_tie])
-        ties = np.unique(np.concatenate([np.stack([a[is_tie], b[is_tie]]), more], axis=1), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(ties[0]), pa.array(ties[1])], names=["a", "b"])
-
-    found = rows.select("text", "root").mapInArrow(keyed, "key bigint, a bigint, b bigint")
-    # A partition's keys are sorted in memory: twice as many partitions as for texts.
-    dealt = found.repartition(2 * lanes(rows.sparkSession), "key")
+        return contracted(pairs())
+
+    small_batches(texts.sparkSession)
+    found = texts.select("text").mapInArrow(keyed, "key bigint, a bigint")
+    dealt = found.repartition(2 * lanes(texts.sparkSession), "key").sortWithinPartitions("key", "a")
     return dealt.mapInArrow(tied, "a bigint, b bigint")
 
 
@@ -337,6 +363,7 @@ def _join_parts(members: DataFrame, n: int, percent: int) -> DataFrame:
         links = tree_links(list(sets.values()), percent) if len(sets) > 1 else []
         a = np.array([names[i] for i, _ in links], dtype=np.int64)
         b = np.array([names[j] for _, j in links], dtype=np.int64)
+        give_back()
         return pa.table({"a": a, "b": b})
 
     # In Spark the rows of a part meet in one task; a part is bounded.
@@ -406,34 +433,14 @@ def jaccard_components(
         .agg(F.first("n_shingles").alias("n"), stands.alias("stands"))
         .select("node", "n", "stands.ident", "stands.key")
     )
-    blocks = _blocks(docs, classes, n, percent, text, ident)
+    texts = docs.select(docs[text].alias("text"))
+    blocks = _with_roots(connected(_candidate_ties(texts, n, percent)))
     links = _links(docs, classes, blocks, n, percent, text, ident)
     return _labelled(rows, classes, connected(links))
 
 
-def _blocks(
-    docs: DataFrame, classes: DataFrame, n: int, percent: int, text: str, ident: str
-) -> DataFrame:
-    """``node`` and ``root`` (least node) of blocks that hold all links.
-
-    Ties by chance, as of texts with a passage in common, make chains. Sets that link
-    are tied under any way of dealing grams to segments, so blocks are dealt again,
-    another way, and only ties inside a block are followed: chains fall apart.
-    """
-    everything = docs.select(docs[text].alias("text"), F.lit(0).cast("bigint").alias("root"))
-    blocks = _with_roots(connected(_candidate_ties(everything, n, percent, 0)))
-    for seed in range(1, DEALS):
-        largest = blocks.groupBy("root").count().agg(F.max("count")).first()[0]
-        if (largest or 0) <= SMALL_BLOCK:
-            break
-        inside = stored(classes.join(blocks, "node").select("key", "root"))
-        again = _pick(docs.select(docs[ident], docs[text]), inside, text, ident)
-        again = again.select(F.col("row")[text].alias("text"), "root")
-        blocks = _with_roots(connected(_candidate_ties(again, n, percent, seed)))
-    return blocks
-
-
 def _with_roots(roots: DataFrame) -> DataFrame:
+    """Blocks, which hold all links: ``node`` and ``root``, roots too."""
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
