@@ -1,12 +1,13 @@
 """A quality classifier of supervised subword embeddings.
 
-Words and the character n-grams inside them are hashed to 2^BITS buckets; a word that
-repeats the one before is one feature more. Each bucket has a vector. A document is the mean of the vectors of all its words and n-grams, and
-a softmax layer over that mean gives the class. Vectors and layer are learnt together
-by stochastic gradient descent in numpy.
-
-Training takes a bounded sample: ``SAMPLE_ROWS`` labelled documents with the least
-hashes of their ids, and of those, in that order, each that still fits into
+Words and their character n-grams are hashed to 2^BITS buckets; a word that repeats the
+one before is one feature more. An n-gram is of n characters of a word and the white space
+before or after it, and never of two words. Each bucket has a vector. A document is the
+mean of the vectors of all its words and n-grams, and a softmax layer over that mean gives
+the class. Vectors and layer are learnt together by stochastic gradient descent in numpy.
+
+Training takes a bounded sample: ``SAMPLE_ROWS`` labelled documents that are in the table,
+with the least hashes of their ids (then their labels), and of those, in that order, each that still fits into
 ``SAMPLE_CHARS`` characters. They are chosen by hash and length alone, before any text is
 moved. Their features are counted by Spark; the driver gets the counts only. To
 score, layer and vectors fold into one number for each bucket (1 MB), which is
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from logweir.llm.frames import map_texts
 from logweir.llm.labelled import fold, with_labels
-from logweir.llm.textbatch import NON_SPACE, bucket, chunks, find_words, hash_spans, mix
+from logweir.llm.textbatch import NON_SPACE, bucket, chunks, find_words, hash_spans
 
 BITS = 18
 DIMENSIONS = 8
@@ -38,8 +39,7 @@ FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.5
 
 _REPETITION = (1 << BITS) - 1
-_BYTE = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
-_BYTE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = _BYTE[0x20]
+_SPACES = np.array([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D], dtype=np.uint32)
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], dtype=np.uint32)
 
 
@@ -53,8 +53,8 @@ def _spread(x: np.ndarray) -> np.ndarray:
 def _features(texts: pa.Array) -> Iterator[tuple[int, int, list[tuple[np.ndarray, np.ndarray]]]]:
     """For each chunk: first row, rows, and lists of buckets with borders of rows.
 
-    An n-gram is of n bytes; the white space around a word is part of its n-grams. Case
-    is kept.
+    Case is kept; all white space counts as a blank. The line end after a text is the
+    blank behind its last word, and nothing of a row depends on the rows beside it.
     """
     for chunk in chunks(texts):
         words = find_words(chunk, NON_SPACE)
@@ -65,15 +65,24 @@ def _features(texts: pa.Array) -> Iterator[tuple[int, int, list[tuple[np.ndarray
             (whole, words.first),
             (np.full(len(repeats), _REPETITION), np.searchsorted(repeats, words.first)),
         ]
-        values = _BYTE[chunk.data]
+        points = np.frombuffer(chunk.data.tobytes().decode().encode("utf-32-le"), dtype=np.uint32)
+        begins = np.concatenate([[0], np.cumsum((chunk.data & 0xC0) != 0x80)])
+        offsets = begins[chunk.offsets]  # of texts, in characters
+        blank = (points <= 0x20) & np.isin(points, _SPACES)
+        values = np.where(blank, np.uint32(0x20), points) * np.uint32(0x9E3779B1)
+        values ^= values >> np.uint32(15)
+        ended = np.zeros(len(points), dtype=bool)
+        ended[offsets[1:] - 1] = True
         for n in NGRAMS:
             size = max(0, len(values) - n + 1)
             total = np.full(size, n, dtype=np.uint32)
+            own = ~ended[:size]
             for k in range(n):
                 total += values[k : k + size] * _FACTORS[k]
-            # Runs that reach into the next text are left out.
-            borders = np.minimum(chunk.offsets, size)
-            lists.append((_spread(total), borders))
+                if 0 < k < n - 1:
+                    own &= ~blank[k : k + size]
+            at = np.flatnonzero(own)
+            lists.append((_spread(total[at]), np.searchsorted(at, offsets)))
         yield chunk.first, chunk.rows, lists
 
 
@@ -163,10 +172,12 @@ def quality(
     """
     spark = docs.sparkSession
     marks = labels.where(fold(labels[ident], FOLDS) != HELD_OUT)
+    # Labels of documents that are here, by ids alone: others do not use up the sample.
+    present = with_labels(docs, marks, label, ident, ident).select("ident", "label").distinct()
     chosen = (
-        marks.where(marks[label].isin(0, 1) & marks[ident].isNotNull())
-        .orderBy(F.xxhash64(marks[ident]), marks[label])
+        present.orderBy(F.xxhash64("ident"), "label")
         .limit(SAMPLE_ROWS)
+        .select(F.col("ident").alias(ident), F.col("label").alias(label))
     )
     marked = with_labels(docs, chosen, label, ident, text).select(
         "label", "text", F.xxhash64("ident", "text").alias("draw")

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweir.llm.frames import stored
@@ -45,6 +45,8 @@ WORD_NOISE = 1.0
 LEAST_CHARS = 200
 LEAST_WORDS = 50
 BROADCAST_LANGUAGES = 10_000
+#: Distances are told apart in so many steps from 0 to 1 where their middle is looked for.
+STEPS = 1_000_000
 
 _SPACE = r"[\x20\x09-\x0D]+"
 CLASSES = ("space", "lower", "upper", "digit", "symbol", "punctuation", "other")
@@ -128,7 +130,7 @@ def text_counts(docs: DataFrame, text: str = "text", keep: Sequence[str] | None
     ).drop("words", "lines", "solid", "rest")
     frame = _fenced(frame, ordered=F.sort_array("windows"))
     same = F.filter("ordered", lambda x, i: (i > 0) & (F.get("ordered", i - 1) == x))
-    frame = _fenced(frame.drop(), repeated=F.array_distinct(same)).drop("ordered")
+    frame = _fenced(frame, repeated=F.array_distinct(same)).drop("ordered")
     frame = _fenced(
         frame, at=_repeated_windows(F.col("windows"), F.col("repeated"))
     ).drop("windows", "repeated")
@@ -245,6 +247,21 @@ def _is_near() -> Column:
     return ~F.coalesce(odd_chars, F.lit(False)) & ~F.coalesce(odd_words, F.lit(False))
 
 
+def _middle(rows: DataFrame) -> DataFrame:
+    """``of_lang`` and ``middle``: the least step that at least half of the rows do not pass.
+
+    Exact and of any order of rows: steps are counted by language, STEPS rows at most.
+    """
+    counted = rows.groupBy(F.col("lang").alias("of_lang"), "step").agg(F.count("*").alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy("of_lang").orderBy("step"))
+    in_all = F.sum("n").over(Window.partitionBy("of_lang"))
+    return (
+        counted.withColumn("so_far", so_far).withColumn("in_all", in_all)
+        .where("2 * so_far >= in_all")
+        .groupBy("of_lang").agg(F.min("step").alias("middle"))
+    )
+
+
 def judged(
     docs: DataFrame,
     text: str = "text",
@@ -262,14 +279,11 @@ def judged(
     columns = list(dict.fromkeys([*(docs.columns if keep is None else keep), lang]))
     counts = stored(text_counts(docs, text, columns).withColumn("lang", F.col("row")[lang]))
     first = _measured(counts.withColumn("trusted", ~base_failed()))
-    middle = (
-        first.where("trusted")
-        .groupBy(F.col("lang").alias("of_lang"))
-        .agg(F.percentile_approx("class_distance", 0.5).alias("middle"))
-    )
+    first = first.withColumn("step", F.floor(F.col("class_distance") * STEPS).cast("int"))
+    middle = _middle(first.where("trusted AND step IS NOT NULL"))
     halved = first.join(_few(middle), F.col("lang").eqNullSafe(F.col("of_lang")), "left")
     trusted = F.coalesce(
-        F.col("trusted") & (F.col("class_distance") <= F.col("middle")), F.lit(False)
+        F.col("trusted") & (F.col("step") <= F.col("middle")), F.lit(False)
     )
     again = _measured(halved.select(*counts.columns, trusted.alias("trusted")))
     return again.select(

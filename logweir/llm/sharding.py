@@ -14,9 +14,10 @@ item that is no large group weighs about 1 / GRAIN of a shard. Shards come out n
 equal, except where one group alone outweighs a shard's share.
 
 A row's item follows from its own text and the bounded list of large groups, so rows
-are not shuffled to be assigned. Slots number the rows of a shard: rows are dealt by
-hash into buckets, buckets get consecutive ranges of slots, and only within a bucket
-are rows counted one by one.
+are not shuffled to be assigned; they are written with their shard and a place of their
+own. Slots number the rows of a shard: rows are dealt by a hash of their place into
+buckets, buckets get consecutive ranges of slots, and only within a bucket are rows counted
+one by one. Since places differ, a million copies of one row are dealt out evenly, too.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweir.llm.frames import lanes
+from logweir.llm.frames import lanes, stored
 
 #: Scheduled items per shard, at most twice.
 GRAIN = 500
@@ -58,7 +59,7 @@ def _bundle(group: Column, bundles: int) -> Column:
 
 
 def shard_by_size(
-    docs: DataFrame, shards: int = 24, text: str = "text", ident: str = "doc_id"
+    docs: DataFrame, shards: int = 24, text: str = "text"
 ) -> DataFrame:
     """Every row as struct ``row``, with ``size``, ``shard`` (int) and ``slot`` (long).
 
@@ -72,7 +73,6 @@ def shard_by_size(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         row_size(docs[text]).alias("size"),
         F.md5(body).alias("group"),
-        F.xxhash64(docs[ident], body).alias("spread"),
     )
     bundles = shards * GRAIN
     sizes = rows.groupBy("group").agg(F.sum("size").alias("bytes"))
@@ -97,24 +97,25 @@ def shard_by_size(
         .withColumn("item", _bundle(F.col("group"), bundles))
         .join(F.broadcast(small), "item", "left")
         .select(
-            "row", "size", "spread",
-            F.coalesce("own_shard", "shard").alias("shard"),
+            "row", "size", F.coalesce("own_shard", "shard").alias("shard"),
+            F.monotonically_increasing_id().alias("place"),
         )
     )
-    return _slotted(assigned, shards)
+    # Once written, places no longer change, however often a task is run again.
+    return _slotted(stored(assigned))
 
 
-def _slotted(assigned: DataFrame, shards: int) -> DataFrame:
+def _slotted(assigned: DataFrame) -> DataFrame:
     """Slots from 0 in each shard, without sorting a shard in one task."""
     buckets = 8 * lanes(assigned.sparkSession)
-    dealt = assigned.withColumn("bucket", F.pmod("spread", F.lit(buckets)).cast("int"))
+    dealt = assigned.withColumn("bucket", F.pmod(F.xxhash64("place"), F.lit(buckets)).cast("int"))
     counts = dealt.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     # shards * buckets rows at most, one window of `buckets` rows for each shard.
     before = Window.partitionBy("shard").orderBy("bucket")
     offsets = counts.select(
         "shard", "bucket", (F.sum("n").over(before) - F.col("n")).alias("offset")
     )
-    inside = Window.partitionBy("shard", "bucket").orderBy("spread")
+    inside = Window.partitionBy("shard", "bucket").orderBy("place")
     numbered = dealt.withColumn("at", F.row_number().over(inside).cast("bigint") - 1)
     return numbered.join(F.broadcast(offsets), ["shard", "bucket"]).select(
         "row", "size", "shard", (F.col("offset") + F.col("at")).alias("slot")

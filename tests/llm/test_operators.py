@@ -480,6 +480,69 @@ def test_toxicity_counts_all_labelled_rows(spark, frame):
     assert score[50_000] > 0.5 > 0.3 > score[50_001]
 
 
+def test_toxicity_of_a_sequence(frame):
+    """Two words that are common in both classes are toxic side by side, in that order."""
+    rng = random.Random(21)
+    rows, labels = [], []
+    for i in range(3_000):
+        own = [f"w{rng.randrange(600)}" for _ in range(rng.randrange(30, 90))]
+        for _ in range(3):  # both words in every text, apart from each other
+            own.insert(rng.randrange(len(own)), rng.choice(["crimson", "lantern"]))
+        own = [x for k, x in enumerate(own) if (own[k - 1 : k] + [x]) != ["crimson", "lantern"]]
+        toxic = i % 5 == 0
+        if toxic:
+            at = rng.randrange(len(own))
+            own[at:at] = ["crimson", "lantern"]
+        elif i % 5 == 1:
+            own[3:3] = ["lantern", "crimson"]
+        rows.append((i, " ".join(own), "en", "s"))
+        labels.append((i, 1, int(toxic)))
+    scored = toxicity.toxicity(frame(rows, DOCS), frame(labels, LABELS), keep=["doc_id"]).collect()
+    unseen = [r for r in scored if r.held_out]
+    caught = [r.predicted for r in unseen if labels[r.row.doc_id][2]]
+    others = [r.predicted for r in unseen if not labels[r.row.doc_id][2]]
+    assert len(caught) > 100 and sum(caught) / len(caught) >= 0.9
+    assert sum(others) / len(others) <= 0.05
+
+
+def test_pair_model_is_a_distribution():
+    """Of each context, probabilities of all words add up to 1, by class."""
+    rng = np.random.default_rng(4)
+    words, contexts = 50, 8
+    alone = rng.dirichlet(np.ones(words), 2)
+    seen = rng.poisson(0.4, (2, contexts, words))
+    kept = (seen >= 2).any(axis=0)
+    of, word = np.nonzero(kept)
+    count, total = seen[:, of, word], seen.sum(axis=2)
+    pair, context = toxicity.pair_ratios(count, of, total, np.log(alone[:, word]))
+    own = np.maximum(count - toxicity.PAIR_DISCOUNT, 0) / np.maximum(total[:, of], 1)
+    for k in (0, 1):
+        left = np.array([1 - own[k][of == c].sum() for c in range(contexts)])
+        p = left[:, None] * alone[k][None, :]
+        p[of, word] += own[k]
+        assert p.sum(axis=1) == pytest.approx(1)
+        by_class = np.log(p) if k == 0 else np.log(p) - by_class
+    wanted = by_class - (np.log(alone[1]) - np.log(alone[0]))[None, :]
+    got = np.repeat(context[:, None], words, axis=1)
+    got[of, word] += pair
+    assert got == pytest.approx(wanted)
+
+
+def test_pairs_are_counted_by_texts(spark, frame):
+    rows = [(0, False, "a b a b c"), (1, False, "a b"), (1, True, "b a b"), (0, True, None), (0, False, "")]
+    made = toxicity.pair_counts(frame(rows, "label int, for_fit boolean, text string", 2)).collect()
+    hashed = {}
+    for text in ("a", "b", "c"):
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        hashed[int(textbatch.hash_spans(data, np.array([0]), np.array([1])).view(np.int64)[0])] = text
+    hashed[0] = ""
+    pairs = {(hashed[r.context], hashed[r.word]): (r.low, r.high) for r in made if r.context is not None}
+    # "a b" is in one ordinary text and two toxic ones, one of them of the fold for the curve.
+    assert pairs == {("a", "b"): (1 | 1 << 32, 1 << 32)}
+    seen = {hashed[r.word]: [r[f"seen_{k}"] for k in (1, 2, 15)] for r in made if r.context is None}
+    assert seen == {"a": [2, 1, 2], "b": [1, 1, 2], "c": [1, 0, 1]}
+
+
 def test_toxicity_of_a_handful_of_labels(spark, frame):
     """No label in the fold for the curve: not every document is toxic."""
     inside = _in_fit_fold(spark, 60)
@@ -535,6 +598,28 @@ def test_toxicity_with_joined_words(frame, monkeypatch, size):
         assert a[:2] == b[:2] and a[2] == pytest.approx(b[2])
 
 
+def test_labels_of_absent_documents_use_up_no_sample(frame, monkeypatch):
+    monkeypatch.setattr(quality_model, "SAMPLE_ROWS", 250)
+    rows, labels = _labelled_docs(300)
+    absent = [(10**6 + i, i % 2, 0) for i in range(5_000)]
+    a, b = (
+        {r.row.doc_id: r.score for r in quality_model.quality(frame(rows, DOCS), frame(x, LABELS)).collect()}
+        for x in (labels, labels + absent)
+    )
+    assert a == pytest.approx(b) and len(set(a.values())) > 100
+
+
+def test_quality_features_are_a_texts_own():
+    """The rows beside a text, and chunks, change nothing; n-grams are of one word."""
+    texts = ["ab \u00e9\u00e9x", "ab cd", "", "\u65e5\u672c x"]
+    alone = [quality_model._counts(quality_model.pa.array([t])) for t in texts]
+    joint = quality_model._counts(quality_model.pa.array(texts))
+    for r in range(len(texts)):
+        assert [c[r].as_py() for c in joint] == [c[0].as_py() for c in alone[r]]
+    # Words; characters with the one after them; runs of four whose inner two are no blanks.
+    assert sum(joint[1][1].as_py()) == 2 + len(["ab", "b ", " c", "cd", "d\n"]) + len([" cd\n"])
+
+
 def test_quality_skips_a_text_that_does_not_fit(spark, frame, monkeypatch):
     """A text too long for the sample, first in its order, shuts out no other."""
     rows, labels = _labelled_docs(200)
