@@ -262,6 +262,26 @@ def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("source_file", name)
 
 
+def hosts_over_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts of each resource over two runs, one a batch: sketches merged, and counted.
+
+    The estimate is compared here, since only the exact count is the same in any engine.
+    """
+    output, files = scratch_dir(spark), _log_files(spark, sf_dir)
+    for batch in (1, 2):
+        last = run(spark, files, output, query="Query1", batch=batch, sketches=True)
+    sketches = read_store(spark, f"{output}/store", "resource_host_sketches")
+    estimates = op.sketched_hosts(sketches, "resource_path")
+    exact = (
+        _valid(spark, sf_dir).groupBy("resource_path").agg(F.count_distinct("host").alias("hosts"))
+    )
+    near = F.abs(F.col("host_estimate") - F.col("hosts")) <= F.greatest(F.lit(1), F.col("hosts") * 0.06)
+    both = exact.join(estimates, "resource_path", "full")
+    return both.select("resource_path", "hosts", near.alias("estimate_is_near")).withColumn(
+        "run_id", F.lit(last.run.run_id).cast("bigint")
+    )
+
+
 def _beyond_long(operator: Callable[[DataFrame], DataFrame]) -> Query:
     """Over lines of which some claim the greatest long; totals as text."""
 
@@ -431,10 +451,14 @@ def _log_queries() -> dict[str, Query]:
         "distinct_hosts_collect_set": _over_valid(op.distinct_hosts),
         "q2_top_resources": _over_valid(op.top_resources),
         "q2_top_resources_rescan": _over_valid(lambda v: op.top_resources(v, rescan=True)),
+        "q2_top_resources_pruned": _over_valid(
+            lambda v: op.top_resources(v, rescan=True, prune=True)
+        ),
         "q2_top_resources_batch_tie": _over_valid(lambda v: op.top_resources(v, tie="batch")),
         "q2_top_resources_large_k": _over_valid(
             lambda v: op.top_resources(v, k=1_000_000, rescan=True)
         ),
+        "hosts_over_runs": hosts_over_runs,
         "totals_beyond_long_daily": _beyond_long(op.daily_traffic),
         "totals_beyond_long_resources": _beyond_long(op.resource_traffic),
         "totals_beyond_long_tsv": totals_beyond_long_tsv,
@@ -562,6 +586,7 @@ def log_oracle_sql() -> dict[str, str]:
  count(DISTINCT host) AS distinct_host_count FROM v GROUP BY batch_id, resource_path""",
         "q2_top_resources": _TOP,
         "q2_top_resources_rescan": _TOP,
+        "q2_top_resources_pruned": _TOP,
         "q2_top_resources_batch_tie": _TOP_BATCH_TIE,
         "q3_hourly_errors": _q3(),
         "q3_hourly_errors_join": _q3(),
@@ -600,6 +625,8 @@ def log_oracle_sql() -> dict[str, str]:
         "results_after_dead_run": f"""SELECT CAST(2 AS BIGINT) AS run_id, 'Query3' AS query,
  count(*) AS n_rows, CAST(2 AS BIGINT) AS given_id
  FROM ({_q3("(SELECT * FROM v WHERE batch_id = 2)")})""",
+        "hosts_over_runs": """SELECT resource_path, count(DISTINCT host) AS hosts,
+ true AS estimate_is_near, CAST(2 AS BIGINT) AS run_id FROM v GROUP BY resource_path""",
         "run_metadata": f"""SELECT CAST(1 AS BIGINT) AS run_id, CAST(0 AS INT) AS batch_id,
  'Combined' AS batch_label, 'logs' AS source_file, t AS record_count FROM {_COUNTS}
  UNION ALL SELECT CAST(2 AS BIGINT), CAST(2 AS INT), 'August 1995',

@@ -22,9 +22,15 @@ from logweir.operators.quality import (
     run_stats,
     stats_row,
 )
+from logweir.operators.sketches import (
+    error_host_sketches,
+    resource_host_sketches,
+    sketched_hosts,
+)
 from logweir.operators.traffic import (
     daily_traffic,
     distinct_hosts,
+    possible_winners,
     resource_traffic,
     top_resources,
 )
@@ -37,6 +43,7 @@ __all__ = [
     "distinct_error_hosts",
     "distinct_hosts",
     "error_counts",
+    "error_host_sketches",
     "error_logs",
     "hourly_errors",
     "hourly_errors_by_join",
@@ -45,10 +52,13 @@ __all__ = [
     "malformed_lines",
     "malformed_summary",
     "parse_access_log",
+    "possible_winners",
+    "resource_host_sketches",
     "resource_traffic",
     "run_record",
     "run_stats",
     "select_batch",
+    "sketched_hosts",
     "stats_row",
     "tag_batch",
     "top_resources",

@@ -13,6 +13,12 @@ _RESOURCE = ["batch_id", "resource_path"]
 # one-scan form is used: a join of raw rows by path would have a hot key.
 BROADCAST_ROWS = 1_000
 
+# Resources are counted in so many buckets by hash to find those that cannot be among the
+# first k: that many rows of two numbers at most leave a task, and reach the driver.
+PRUNE_BUCKETS = 1 << 18
+# The fullest buckets whose resources are counted for a bound of the k-th count, for each k.
+_PROBES = 4
+
 # A byte count is summed in parts of so many bits. The sum of a part stays within
 # a long for 2**42 lines in a group, and all parts together are exact.
 _PART_BITS = 21
@@ -86,8 +92,39 @@ def _ranking(tie: str) -> list:
     return [F.desc("request_count"), *ties[tie]]
 
 
+def possible_winners(valid: DataFrame, k: int) -> DataFrame:
+    """The rows of ``valid`` whose resource may be among the ``k`` most requested.
+
+    Resources are dealt by hash to PRUNE_BUCKETS, and lines are counted by bucket. The exact
+    counts of resources in the fullest buckets give a k-th count that the true one is not
+    below. A resource has no more lines than its bucket; so buckets below that count hold no
+    winner, whatever decides between equal counts, and their lines are left out. Where all
+    counts are alike, nothing is.
+    """
+    spark = valid.sparkSession
+    bucket = F.pmod(F.xxhash64(*_RESOURCE), F.lit(PRUNE_BUCKETS)).cast("int")
+    loads = spark.createDataFrame(
+        valid.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("load")).toArrow(),
+        "bucket int, load bigint",
+    )
+
+    def inside(buckets: DataFrame) -> DataFrame:
+        chosen = F.broadcast(buckets.select(F.col("bucket").alias("of")))
+        return valid.join(chosen, bucket == F.col("of"), "left_semi")
+
+    fullest = loads.orderBy(F.desc("load"), "bucket").limit(_PROBES * k)
+    counts = inside(fullest).groupBy(*_RESOURCE).agg(F.count(F.lit(1)).alias("n"))
+    best = counts.orderBy(F.desc("n")).limit(k).agg(F.min("n"), F.count(F.lit(1))).first()
+    least = best[0] if best[1] == k else 1
+    return inside(loads.where(F.col("load") >= least))
+
+
 def top_resources(
-    valid: DataFrame, k: int = TOP_RESOURCES, tie: str = "path", rescan: bool = False
+    valid: DataFrame,
+    k: int = TOP_RESOURCES,
+    tie: str = "path",
+    rescan: bool = False,
+    prune: bool = False,
 ) -> DataFrame:
     """The ``k`` most requested resources over all batches together.
 
@@ -99,9 +136,13 @@ def top_resources(
     to a second scan that counts hosts for them only. That keeps the (batch,
     path, host) rows of all other resources out of the shuffle. Beyond
     ``BROADCAST_ROWS`` winners there is one scan either way. Results are equal,
-    and no plan shuffles raw rows by path alone.
+    and no plan shuffles raw rows by path alone. ``prune`` first leaves out what cannot
+    win (see ``possible_winners``), in two more scans of two columns: for stored tables of
+    very many different paths, of which only a few are requested much.
     """
     order = _ranking(tie)
+    if prune and k:
+        valid = possible_winners(valid, k)
     if not rescan or k > BROADCAST_ROWS:
         return resource_traffic(valid).orderBy(*order).limit(k)
     winners = F.broadcast(_requests(valid).orderBy(*order).limit(k))

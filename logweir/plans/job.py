@@ -19,12 +19,14 @@ from logweir.sinks.runs import (
     Run,
     append_results,
     append_run_rows,
+    append_sketches,
     check_new,
     next_run_id,
+    written_tables,
 )
-from logweir.sinks.tables import write_table
+from logweir.sinks.tables import publish, write_table
 from logweir.sources.raw import read_raw_logs
-from logweir.sources.tables import ATTEMPT, read_attempts, read_store, read_table
+from logweir.sources.tables import read_attempts, read_store, read_table, version_path
 
 TABLE_SPLIT_BYTES = "128m"
 
@@ -104,11 +106,13 @@ def _table_splits(spark: SparkSession) -> Iterator[None]:
 
 def _results_of(spark: SparkSession, store: str, run: Run, query: str) -> dict[str, DataFrame]:
     """What an attempt has written, finished or not."""
+    there = written_tables(spark, store, run)
+    of = [(run.run_id, run.attempt)]
     return {
-        name: read_attempts(spark, store, QUERY_TABLES[name])
-        .where((F.col("run_id") == run.run_id) & (F.col(ATTEMPT) == run.attempt))
-        .select(*QUERY_SCHEMAS[name].fieldNames())
-        for name in _chosen(query)
+        name: read_attempts(spark, store, table, of if table in there else []).select(
+            *QUERY_SCHEMAS[name].fieldNames()
+        )
+        for name, table in ((n, QUERY_TABLES[n]) for n in _chosen(query))
     }
 
 
@@ -124,15 +128,19 @@ def run(
     run_id: int | None = None,
     pipeline_name: str = "Spark",
     partitions: int | None = None,
+    sketches: bool = False,
 ) -> RunOutput:
     """Run the job on the files under ``input_path`` and add it to the store.
 
-    ``output/valid_logs`` is replaced and ``output/store`` is added to; both
-    must be on storage that every executor sees. Without a ``run_id`` the next free
-    one is taken, and another if a run elsewhere finishes under it first.
+    ``output/valid_logs`` gets a new version, which replaces the last one when the run is
+    recorded, and ``output/store`` is added to; both must be on storage that every executor
+    sees. The results are computed from the run's own version, so other runs on the same
+    output, also at the same time, do not change them. Without a ``run_id`` the next free
+    one is taken, and another if a run elsewhere finishes under it first. ``sketches`` also
+    stores sketches of hosts, which add up over runs (see ``sketched_hosts``).
     """
     _chosen(query)
-    store, table = f"{output}/store", f"{output}/valid_logs"
+    store, versions = f"{output}/store", f"{output}/valid_logs"
     chosen = run_id is not None
     if chosen:
         check_new(spark, store, run_id)
@@ -140,6 +148,7 @@ def run(
         run_id = next_run_id(spark, store)
     this = Run(run_id, query, batch, pipeline_name, input_path, batch_rule=batch_rule)
 
+    version, table = this.attempt, version_path(versions, this.attempt)
     started = time.monotonic()
     tagged = tag_batch(read_raw_logs(spark, input_path, partitions), batch_rule)
     stats = clean_to_table(tagged, table, match, batch)
@@ -147,6 +156,8 @@ def run(
     results = query_results(valid, query, ordered=False, tie=tie, rescan=True)
     with _table_splits(spark):
         append_results(store, this, results)
+        if sketches:
+            append_sketches(store, this, valid)
     runtime_ms = round((time.monotonic() - started) * 1000)
     while True:
         try:
@@ -158,6 +169,9 @@ def run(
             kept = _results_of(spark, store, this, query)
             this = this.renumbered(next_run_id(spark, store))
             append_results(store, this, kept)
+            if sketches:
+                append_sketches(store, this, valid)
+    publish(spark, versions, version)
 
     stored = {
         name: read_store(spark, store, QUERY_TABLES[name], this.run_id).select(

@@ -38,6 +38,7 @@ QUERY_NAMES = ("Query1", "Query2", "Query3")
 
 
 _TYPES = {
+    "binary": T.BinaryType(),
     "int": T.IntegerType(),
     "bigint": T.LongType(),
     "double": T.DoubleType(),
@@ -112,3 +113,17 @@ QUERY_TABLES = {
     "Query2": "query2_results",
     "Query3": "query3_results",
 }
+
+#: Tables of the run store that a run may have beside the others: sketches of hosts.
+SKETCH_TABLES = {
+    "resource_host_sketches": _schema(
+        "run_id bigint, pipeline_name string, batch_id int, executed_at timestamp, "
+        "resource_path string, hosts binary"
+    ),
+    "error_host_sketches": _schema(
+        "run_id bigint, pipeline_name string, batch_id int, executed_at timestamp, "
+        "log_date string, log_hour int, hosts binary"
+    ),
+}
+#: All tables of the run store.
+ALL_TABLES = {**STORE_TABLES, **SKETCH_TABLES}

@@ -3,15 +3,14 @@ from datetime import datetime, timezone
 import pytest
 from helpers import PLAIN, lines_frame
 
-from logweir import fixtures
-from logweir.operators import (
-    batch_metadata, clean_logs, run_record, run_stats, stats_row, tag_batch,
-)
+from logweir import fixtures, storage
+from logweir.operators import batch_metadata, clean_logs, run_stats, stats_row, tag_batch
 from logweir.plans import clean_to_table, preview, query_results, report, run
 from logweir.schemas import QUERY_TABLES, STORE_TABLES, VALID_LOGS
-from logweir.sinks import Run, append_jdbc, append_run, next_run_id
-from logweir.sinks.runs import _write, append_results, append_run_rows
-from logweir.sources import read_store, read_table
+from logweir.sinks import Run, append_jdbc, append_run, compact_store, next_run_id, publish
+from logweir.sinks.runs import append_results, append_run_rows
+from logweir.sources import read_current, read_store, read_table
+from logweir.sources.tables import current, manifest_path, version_path
 
 SF = "/root/testdata/sf0.001"
 WHEN = datetime(2024, 9, 1, 12, tzinfo=timezone.utc)
@@ -89,9 +88,17 @@ def test_runs_stay_apart(spark, runs):
         assert read_store(spark, store, table).columns == schema.names
 
 
-def test_reading_a_run_opens_its_partition(spark, runs):
-    plan = read_store(spark, f"{runs[0]}/store", "query1_results", 1)._jdf.queryExecution()
-    assert "run_id" in plan.executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+def test_reading_a_run_opens_its_folder_only(spark, runs, monkeypatch):
+    store = f"{runs[0]}/store"
+    attempt = runs[1].run.attempt
+    listed = []
+    names = storage.names
+    monkeypatch.setattr(storage, "names", lambda spark, path: listed.append(path) or names(spark, path))
+    rows = read_store(spark, store, "query1_results", 1)
+    assert not listed
+    files = rows.inputFiles()
+    assert files and all(f"query1_results/run_id=1/attempt={attempt}/" in f for f in files)
+    assert {r.run_id for r in rows.select("run_id").distinct().collect()} == {1}
 
 
 def test_finished_run_is_not_replaced(spark, logs, runs):
@@ -133,10 +140,8 @@ def test_two_drivers_with_one_id_do_not_mix(spark, tmp_path):
         append_run_rows(store, one, stats, 1)
     assert read_store(spark, store, "query2_results").first().resource_path == "/two"
     assert set(_counts(spark, store, 1).values()) == {1}
-    # Both records at the same moment: one of them is the run, whole.
-    _write(run_record(stats, 1, "Spark", "All", 0, 1, WHEN), store, "runs", one)
-    winner = "/one" if one.attempt < two.attempt else "/two"
-    assert [r.resource_path for r in read_store(spark, store, "query2_results").collect()] == [winner]
+    # Both at the same moment, after both have looked: the manifest is made once.
+    assert not storage.create(spark, manifest_path(store, 1), "{}")
     assert set(_counts(spark, store, 1).values()) == {1}
 
 
@@ -159,6 +164,124 @@ def test_run_moves_to_a_free_id(spark, logs, tmp_path, monkeypatch):
     assert _counts(spark, store)["runs"] == 2
 
 
+def test_runs_on_one_output_at_once_do_not_mix(spark, logs, tmp_path, monkeypatch):
+    """Another driver runs a batch between this one's write and read of its valid logs."""
+    import logweir.plans.job as job
+
+    results, others = job.query_results, []
+
+    def interleaved(valid, *given, **options):
+        if not others:
+            others.append(None)
+            others.append(run(spark, logs, str(tmp_path), query="Query1", batch=2))
+        return results(valid, *given, **options)
+
+    monkeypatch.setattr(job, "query_results", interleaved)
+    one = run(spark, logs, str(tmp_path), query="Query1", batch=1)
+    for done, batch in ((one, 1), (others[1], 2)):
+        assert {r.batch_id for r in done.results["Query1"].collect()} == {batch}
+        assert {r.batch_id for r in done.valid_logs.collect()} == {batch}
+        header = read_store(spark, f"{tmp_path}/store", "runs", done.run.run_id).first()
+        assert header.batch_id == batch
+    assert one.run.run_id != others[1].run.run_id
+    valid = read_current(spark, f"{tmp_path}/valid_logs")
+    assert {r.batch_id for r in valid.collect()} == {1}  # the last to finish
+
+
+def test_versions_of_a_table(spark, tmp_path):
+    table = str(tmp_path / "valid_logs")
+    with pytest.raises(ValueError, match="no version"):
+        read_current(spark, table)
+    valid = clean_logs(tag_batch(lines_frame(spark, [PLAIN])))
+    for name in ("a", "b", "other driver", "c", "d"):
+        valid.write.partitionBy("batch_id").parquet(version_path(table, name))
+        if name != "other driver":
+            publish(spark, table, name)
+            assert current(spark, table).version == name
+            assert read_current(spark, table).count() == 1
+    assert current(spark, table)[1:] == ("d", ["c"])
+    folders = {n for n in storage.names(spark, table) if n.startswith("version-")}
+    assert folders == {"version-d", "version-c", "version-other driver"}
+    pointers = [n for n in storage.names(spark, table) if n.startswith("current-")]
+    assert sorted(pointers) == ["current-3.json", "current-4.json"]
+
+
+def test_pointer_taken_meanwhile(spark, tmp_path, monkeypatch):
+    table, create, taken = str(tmp_path / "t"), storage.create, []
+
+    def overtaken(spark, path, text):
+        if not taken:
+            taken.append(path)
+            assert create(spark, path, text.replace("mine", "other"))
+        return create(spark, path, text)
+
+    monkeypatch.setattr(storage, "create", overtaken)
+    publish(spark, table, "mine")
+    assert current(spark, table) == (2, "mine", ["other"])
+
+
+@pytest.mark.parametrize("remove", [False, True])
+def test_compacted_runs_read_alike(spark, tmp_path, remove, monkeypatch):
+    import logweir.sources.tables as tables
+
+    store, stats = str(tmp_path / "store"), stats_row(spark, 2, 1)
+    for n in (1, 2, 3):
+        results = _one_line(spark, f"/{n}")
+        append_run(spark, store, Run(n, executed_at=WHEN), {"Query2": results["Query2"]}, stats)
+    append_results(store, Run(7), _one_line(spark, "/dead"))
+
+    def paths(run_id=None):
+        return sorted(r.resource_path for r in read_store(spark, store, "query2_results", run_id).collect())
+
+    for runs_so_far in (3, 4):
+        before = {t: sorted(read_store(spark, store, t).collect()) for t in STORE_TABLES}
+        assert compact_store(spark, store, remove) == runs_so_far
+        assert {t: sorted(read_store(spark, store, t).collect()) for t in STORE_TABLES} == before
+        assert paths(2) == ["/2"] and _counts(spark, store, 2)["query1_results"] == 0
+        assert next_run_id(spark, store) == runs_so_far + 5
+        with pytest.raises(ValueError, match="run 2 is already"):
+            append_run(spark, store, Run(2), {}, stats)
+        new = runs_so_far + 4
+        append_run(spark, store, Run(new + 1, executed_at=WHEN), _one_line(spark, f"/{new}"), stats)
+        assert f"/{new}" in paths() and paths(new + 1) == [f"/{new}"]
+        monkeypatch.setattr(tables, "_FEW", 0)  # manifests read by Spark
+        assert f"/{new}" in paths()
+        monkeypatch.undo()
+    manifests = storage.names(spark, f"{store}/manifest")
+    assert ("run-1.json" in manifests) == (not remove)
+    assert sum(n.startswith("compacted-") for n in manifests) == (1 if remove else 2)
+
+
+def test_two_compactions_at_once(spark, tmp_path, monkeypatch):
+    import logweir.sinks.runs as runs_module
+
+    store, stats = str(tmp_path / "store"), stats_row(spark, 1, 1)
+    append_run(spark, store, Run(1, executed_at=WHEN), _one_line(spark, "/1"), stats)
+    create, inside = storage.create, []
+
+    def overtaken(spark, path, text):
+        if "compacted-" in path and not inside:
+            inside.append(0)
+            inside[0] = compact_store(spark, store)
+        return create(spark, path, text)
+
+    monkeypatch.setattr(runs_module.storage, "create", overtaken)
+    assert compact_store(spark, store) == 1 and inside == [1]
+    assert len(storage.names(spark, f"{store}/compacted")) == 1
+    assert set(_counts(spark, store, 1).values()) == {1}
+
+
+def test_small_files(spark, tmp_path):
+    path = str(tmp_path / "a" / "b.json")
+    assert storage.read(spark, path) is None and storage.names(spark, str(tmp_path / "a")) == []
+    assert storage.create(spark, path, "\u00e9") and storage.read(spark, path) == "\u00e9"
+    assert not storage.create(spark, path, "other") and storage.read(spark, path) == "\u00e9"
+    assert storage.names(spark, str(tmp_path / "a")) == ["b.json"]
+    storage.remove(spark, str(tmp_path / "a"))
+    storage.remove(spark, str(tmp_path / "a"))
+    assert not storage.exists(spark, path)
+
+
 def test_unknown_run_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError, match="no finished run"):
         report(spark, str(tmp_path / "nothing"), 1)
