@@ -7,10 +7,12 @@ item share a kept gram. The kept grams of documents are looked up among those of
 benchmark, and only around a hit are whole windows compared. An item shorter than
 ``WINDOW`` has no winnowing guarantee and is looked up by all grams of its length.
 
-The benchmark is a stated query set. It is taken in blocks of ``BLOCK_WORDS`` words at
-most, so what goes to the executors is bounded at any benchmark size. Each block is
-one pass over the documents, which are not shuffled. One block is a lazy plan; between
-more, the rows are written to the shared scratch folder.
+A benchmark of up to ``BROADCAST_WORDS`` words is sent to all tasks as sorted arrays, and
+documents are searched in one pass without a shuffle. A larger one stays a table: documents
+send their distinct kept grams to be joined with those of the benchmark, only texts that
+have a gram in common send the windows around it, and these are joined with the benchmark's
+windows. A document's text is looked up once however often it is repeated, and the grams
+that very many documents share are spread by a salt. Either way is one pass of the corpus.
 """
 
 from __future__ import annotations
@@ -23,13 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from logweir.llm.frames import map_texts, stored
+from logweir.llm.frames import map_texts, small_batches, stored
 from logweir.llm.textbatch import ALPHANUMERIC, chunks, find_words, hash_spans, ngram_hashes
 
 WINDOW = 13
 K = 5
-#: Words of benchmark that are sent to the executors at a time (a longer item goes alone).
-BLOCK_WORDS = 1_000_000
+#: Words of a benchmark that is sent to the executors; a larger one is joined.
+BROADCAST_WORDS = 1_000_000
+#: Tasks that the documents with one gram or window are spread over in a join.
+SALTS = 16
 
 _FOUND = "n_words bigint, spans array<struct<start:bigint,stop:bigint>>, items array<string>"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
@@ -130,11 +134,11 @@ def _union(spans: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _search(texts: pa.Array, spans: list, items: list, index: Index) -> list[pa.Array]:
-    """Adds to the spans and items of each text what this block finds."""
+def _search(texts: pa.Array, index: Index) -> list[pa.Array]:
+    """Words, spans and items of each text."""
     n_words: list[int] = []
-    spans = [[(x["start"], x["stop"]) for x in own or ()] for own in spans]
-    items = [set(own or ()) for own in items]
+    spans: list[list[tuple[int, int]]] = [[] for _ in range(len(texts))]
+    items: list[set[str]] = [set() for _ in range(len(texts))]
     for chunk in chunks(texts):
         words = find_words(chunk, ALPHANUMERIC)
         n_words += words.counts.tolist()
@@ -153,28 +157,163 @@ def _search(texts: pa.Array, spans: list, items: list, index: Index) -> list[pa.
             high = np.searchsorted(table, whole[new], side="right")
             for row, a, b in zip(rows[new].tolist(), low.tolist(), high.tolist(), strict=True):
                 items[chunk.first + row].update(index.ids[i] for i in owners[a:b].tolist())
-    merged = [[{"start": a, "stop": b} for a, b in _union(x)] for x in spans]
     return [
         pa.array(n_words, pa.int64()),
-        pa.array(merged, _SPANS),
+        pa.array([[{"start": a, "stop": b} for a, b in _union(x)] for x in spans], _SPANS),
         pa.array([sorted(x) for x in items], pa.list_(pa.string())),
     ]
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[Index]:
+def _small_index(items: DataFrame) -> Index | None:
+    """The benchmark as an index, or None if it has too many words to be sent."""
     ids: list[str] = []
     texts: list[str] = []
-    size = 0
-    rows = benchmark.select(benchmark[item].cast("string"), benchmark[text])
-    for key, value in rows.toLocalIterator():
-        more = len(value or "") // 2 + 1  # as many as its words, or more
-        if ids and size + more > BLOCK_WORDS:
-            yield Index(ids, texts)
-            ids, texts, size = [], [], 0
-        ids.append(key or "")
-        texts.append(value or "")
-        size += more
-    yield Index(ids, texts)
+    left = BROADCAST_WORDS
+    for key, value in items.toLocalIterator():
+        left -= len(value) // 2 + 1  # as many as its words, or more
+        if left < 0:
+            return None
+        ids.append(key)
+        texts.append(value)
+    return Index(ids, texts)
+
+
+# Larger benchmarks ---------------------------------------------------------------
+
+
+def _texts_of_words(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """Row and word hashes of each text that has words."""
+    for chunk in chunks(texts):
+        words = find_words(chunk, ALPHANUMERIC)
+        hashes = hash_spans(chunk.data, words.start, words.end)
+        for row in np.flatnonzero(words.counts).tolist():
+            yield chunk.first + row, hashes[words.first[row] : words.first[row + 1]]
+
+
+def _kept_grams(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """K-grams that winnowing keeps, and their positions."""
+    grams = ngram_hashes(words, K)
+    at = winnow(grams, WINDOW - K + 1)
+    return grams[at], at
+
+
+def _hashed(rows: DataFrame, short: Sequence[int] | None) -> DataFrame:
+    """Distinct ``n``, ``hash`` of each ``key``: kept grams as n = 0, and windows.
+
+    Without ``short`` rows are items, and give their windows; with it they are documents,
+    and give all runs of words of the lengths in ``short``.
+    """
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, n, found = [], [], []
+            for row, words in _texts_of_words(batch.column(1)):
+                own = [min(len(words), WINDOW)] if short is None else [x for x in short if x <= len(words)]
+                parts = [(x, ngram_hashes(words, x)) for x in own]
+                if len(words) >= WINDOW:
+                    parts.append((0, _kept_grams(words)[0]))
+                for size, values in parts:
+                    once = np.unique(values)
+                    key.append(np.full(len(once), row))
+                    n.append(np.full(len(once), size))
+                    found.append(once.view(np.int64))
+            if key:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(np.concatenate(key))),
+                     pa.array(np.concatenate(n), pa.int32()), pa.array(np.concatenate(found))],
+                    ["key", "n", "hash"],
+                )
+
+    small_batches(rows.sparkSession)
+    return rows.select("key", "text").mapInArrow(hashes, "key string, n int, hash bigint")
+
+
+def _salted_join(found: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of documents joined with the benchmark's, which has each (n, hash) once."""
+    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int").alias("salt")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    return found.select("*", salt).join(known.select("*", salts), ["n", "hash", "salt"])
+
+
+def _windows_around(texts: DataFrame) -> DataFrame:
+    """``key``, ``n``, ``start``, ``hash`` of windows around the ``hits`` of each text."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits = batch.column(2).to_pylist()
+            key, n, start, found = [], [], [], []
+            for row, words in _texts_of_words(batch.column(1)):
+                by_size: dict[int, list[int]] = {}
+                for hit in hits[row]:
+                    by_size.setdefault(hit["n"], []).append(hit["hash"])
+                for size, known in by_size.items():
+                    known = np.sort(np.array(known, dtype=np.int64).view(np.uint64))
+                    if size == 0:
+                        size = WINDOW
+                        grams, at = _kept_grams(words)
+                        met = at[_member(grams, known)]
+                        at = np.unique((met[:, None] - np.arange(WINDOW - K + 1)).ravel())
+                        at = at[(at >= 0) & (at + size <= len(words))]
+                        whole = ngram_hashes(words, size)[at]
+                    else:
+                        whole = ngram_hashes(words, size)
+                        at = np.flatnonzero(_member(whole, known))
+                        whole = whole[at]
+                    key.append(np.full(len(at), row))
+                    n.append(np.full(len(at), size))
+                    start.append(at)
+                    found.append(whole.view(np.int64))
+            if key:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(np.concatenate(key))),
+                     pa.array(np.concatenate(n), pa.int32()), pa.array(np.concatenate(start), pa.int64()),
+                     pa.array(np.concatenate(found))], ["key", "n", "start", "hash"],
+                )
+
+    return texts.mapInArrow(windows, "key string, n int, start bigint, hash bigint")
+
+
+def _by_join(docs: DataFrame, items: DataFrame, text: str, keep: Sequence[str] | None) -> DataFrame:
+    """``contamination`` by a benchmark that stays a table."""
+    known = stored(_hashed(items.select("key", "text"), None))
+    short = [r.n for r in known.where(f"n > 0 AND n < {WINDOW}").select("n").distinct().collect()]
+    body = F.coalesce(docs[text], F.lit(""))
+    texts = docs.select(F.sha2(body, 256).alias("key"), body.alias("text"))
+    wanted = known.where(f"n < {WINDOW}").select("n", "hash").distinct()
+    met = _salted_join(_hashed(texts, short).distinct(), wanted)
+    hits = met.groupBy("key").agg(F.collect_set(F.struct("n", "hash")).alias("hits"))
+    # Of repeated texts one is looked at.
+    one = texts.join(hits, "key").groupBy("key").agg(F.first("text").alias("text"), F.first("hits").alias("hits"))
+    owners = known.where("n > 0").groupBy("n", "hash").agg(F.collect_set("key").alias("owners"))
+    windows = stored(_salted_join(_windows_around(one), owners).select("key", "n", "start", "owners"))
+    found = windows.groupBy("key").agg(
+        F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("stop"))).alias("ranges"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("owners")))).alias("items"),
+    )
+
+    def count(values: pa.Array) -> list[pa.Array]:
+        n = [c for chunk in chunks(values) for c in find_words(chunk, ALPHANUMERIC).counts.tolist()]
+        return [pa.array(n, pa.int64())]
+
+    columns = [docs[c] for c in (docs.columns if keep is None else keep)]
+    both = docs.select(
+        F.struct(F.struct(*columns, *[] if columns else [F.lit(True).alias("_")]).alias("row"),
+                 F.sha2(body, 256).alias("key")).alias("row"),
+        docs[text].alias("text"),
+    )
+    counted = map_texts(both, "text", "n_words bigint", count, ["row"]).select("row.row.*", "n_words")
+    rows = counted.join(found, "key", "left").select("row", "n_words", "ranges", "items")
+    schema = StructType([rows.schema["row"], *StructType.fromDDL(_FOUND)])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, n_words, ranges, items = batch.columns
+            spans = [[{"start": a, "stop": b} for a, b in _union([(x["start"], x["stop"]) for x in own or ()])]
+                     for own in ranges.to_pylist()]
+            own = pa.array([x or [] for x in items.to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([row, n_words, pa.array(spans, _SPANS), own], schema.names)
+
+    return rows.mapInArrow(merge, schema)
 
 
 def contamination(
@@ -194,41 +333,15 @@ def contamination(
     match nothing; repeated rows each get their result; an empty benchmark finds
     nothing. A null item id is the string ''.
     """
-    blocks = _blocks(benchmark, item, item_text)
-    index, later = next(blocks), next(blocks, None)
-    if later is None:
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        def search(texts: pa.Array) -> list[pa.Array]:
-            return _search(texts, [None] * len(texts), [None] * len(texts), shared.value)
-
-        return map_texts(docs, text, _FOUND, search, keep)
-    columns = docs.columns if keep is None else list(keep)
-    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(_FOUND).fields[1:]]
-    state = docs.select(
-        F.struct(*[docs[c] for c in columns]).alias("row"), docs[text].alias("text"), *none
+    items = benchmark.select(
+        F.coalesce(benchmark[item].cast("string"), F.lit("")).alias("key"),
+        F.coalesce(benchmark[item_text], F.lit("")).alias("text"),
     )
-    while later is not None:
-        state = stored(_pass(state, index, keep_text=True))
-        index, later = later, next(blocks, None)
-    return _pass(state, index, keep_text=False)
-
-
-def _pass(state: DataFrame, index: Index, keep_text: bool) -> DataFrame:
-    shared = state.sparkSession.sparkContext.broadcast(index)
-    held = ["row", "text"] if keep_text else ["row"]
-    fields = [*(state.schema[x] for x in held), *StructType.fromDDL(_FOUND)]
-    names = [f.name for f in fields]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, texts, spans, items = batch.columns
-            found = _search(texts, spans.to_pylist(), items.to_pylist(), shared.value)
-            kept = [row, texts][: len(held)]
-            yield pa.RecordBatch.from_arrays([*kept, *found], names=names)
-
-    source = state.select("row", "text", "spans", "items")
-    return source.mapInArrow(run, StructType(fields))
+    index = _small_index(items)
+    if index is None:
+        return _by_join(docs, items, text, keep)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+    return map_texts(docs, text, _FOUND, lambda texts: _search(texts, shared.value), keep)
 
 
 def hit_words() -> Column:

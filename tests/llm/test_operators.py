@@ -209,7 +209,7 @@ def awkward_benchmark(seed=7):
 
 @pytest.mark.parametrize("block", [1_000_000, 30])
 def test_contamination_equals_brute_force(frame, monkeypatch, block):
-    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+    monkeypatch.setattr(decontaminate, "BROADCAST_WORDS", block)
     docs, items = awkward_benchmark()
     found = decontaminate.contamination(
         clashing(frame(docs, DOCS)), frame(items, "item_id bigint, text string")
