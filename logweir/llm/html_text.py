@@ -5,9 +5,10 @@ and styles are taken out first, by element, role and the words of class and id.
 each block of text passes points to its ancestors: one, one for each comma and one for
 each hundred characters; its parent gets all of them, its grandparent half, those above
 ever less. An element's points are discounted by the share of its text inside links.
-The article is all of the <article> or <main> around the best element, or else of the
-ancestors that add more than menus to it. It is kept with those siblings that have a fair
-part of the best element's points. Lists inside that are mostly links are left out.
+The article is all of the <article> or <main> around the best element, with those siblings
+that have a fair part of its points; on a page without them it is all that is left. Lists
+and sections inside that are mostly links are left out. Time grows with the page only: no
+element looks at all that are around it.
 
 Pages are read independently in one pass; nothing is shuffled or shared.
 """
@@ -15,6 +16,7 @@ Pages are read independently in one pass; nothing is shuffled or shared.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Sequence
 from html import unescape
 
@@ -25,14 +27,15 @@ from pyspark.sql import DataFrame
 from logweir.llm.frames import map_texts
 
 # Fixed values of HTML: elements by how they are read.
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math",
-       "noframes", "xmp", "object", "canvas", "audio", "video"}
+RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg",
+       "annotation", "annotation-xml", "noframes", "xmp", "object", "canvas", "audio", "video"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del",
           "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "ruby", "rp", "rt",
           "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
-          "wbr", "picture", "nobr"}
+          "wbr", "picture", "nobr", "math", "mi", "mn", "mo", "mrow", "ms", "mtext", "mfrac", "msqrt",
+          "mroot", "msub", "msup", "msubsup", "munder", "mover", "munderover", "semantics"}
 #: A start tag of the key ends open elements of these kinds, up to a border.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
@@ -42,8 +45,10 @@ ENDS = {
 BORDERS = {"ul", "ol", "dl", "table", "select", "body", "html"}
 
 # Elements, roles and words of class or id that are not the article.
-DROPPED = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "head",
-           "fieldset", "search"}
+DROPPED = {"nav", "footer", "aside", "button", "select", "dialog", "menu", "head", "fieldset",
+           "search"}
+#: Dropped inside a form, which itself is dropped unless it is around most of the page.
+CONTROLS = {"label", "legend", "output"}
 DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog",
                  "alert", "alertdialog", "menu", "menubar", "toolbar", "tooltip"}
 DROPPED_WORDS = {
@@ -77,28 +82,35 @@ READER_WORDS = {"comment", "comments", "disqus", "reply", "replies", "respond"}
 ARTICLE_WORDS = {"article", "articlebody", "content", "entry", "main", "post", "story", "body"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
+# A value in quotes begins right after its "="; a quote anywhere else is a letter of a name
+# or of a value without quotes.
+_VALUE = r"""[^\s/>=][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+"""
 _TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/=]++|{_VALUE})*+)(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(
-    r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.S
+    r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)))?""", re.S
 )
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _PARENTS = 6
-#: More of a text inside links than this makes it like a menu.
-MENU_LINKS = 1 / 3
+#: A list, table or section with more of its text inside links than this is a menu.
+MENU_LINKS_INSIDE = 0.66
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "bonus", "score", "chars", "linked", "named")
+    __slots__ = ("tag", "parent", "block", "bonus", "score", "chars", "linked", "named", "plain",
+                 "prose", "state")
 
     def __init__(self, tag: str, parent: _Node | None, bonus: float = 0.0):
         self.tag, self.parent, self.bonus = tag, parent, bonus
+        # The element that text right here is a block of.
+        self.block = parent.block if tag in INLINE and parent else self
         self.score = 0.0
-        self.chars = self.linked = 0
+        self.chars = self.linked = self.plain = self.prose = 0
+        self.state = 0
         self.named: set[str] | None = None  # words of class or id that speak against it
 
 
@@ -121,8 +133,8 @@ def _is_dropped(tag: str, values: dict[str, str]) -> bool:
 
 def _named(tag: str, values: dict[str, str]) -> set[str]:
     """DROPPED_WORDS that the class or id names the element by; none for page and article."""
-    found: set[str] = set()
-    if tag in {"html", "body", "article", "main"} or not ("class" in values or "id" in values):
+    found: set[str] = {"form"} if tag == "form" else set()
+    if tag in {"html", "body", "main"} or not ("class" in values or "id" in values):
         return found
     for token in f"{values.get('class', '')} {values.get('id', '')}".split():
         words = [w.lower() for w in _WORD.findall(token)]
@@ -133,7 +145,7 @@ def _named(tag: str, values: dict[str, str]) -> set[str]:
         plain = all(w in DROPPED_WORDS or w in PLACES for w in words)
         if plain or ends - COMMON_WORDS:
             found.update(own)
-    return found
+    return found & READER_WORDS if tag == "article" else found
 
 
 def _bonus(tag: str, values: dict[str, str]) -> float:
@@ -148,7 +160,9 @@ class _Reader:
 
     def __init__(self):
         self.root = _Node("", None)
+        self.nodes = [self.root]  # in the order of the page: parents before what is in them
         self.stack = [self.root]
+        self.open: Counter[str] = Counter()  # elements on the stack, by tag
         self.dropped = 0  # depth of the outermost dropped element, or 0
         self.headers: list[int] = []  # depths of header elements inside an article
         self.links = 0
@@ -159,7 +173,7 @@ class _Reader:
     def text(self, text: str) -> None:
         if self.dropped or not text:
             return
-        if self.headers and not any(n.tag in HEADINGS for n in self.stack[self.headers[0] :]):
+        if self.headers and not any(self.open[h] for h in HEADINGS):
             return
         self.parts.append(text)
         if self.links:
@@ -170,10 +184,7 @@ class _Reader:
             # Decoded as a whole: a reference may not be cut by a tag, so pieces are apart.
             text = " ".join("".join(map(unescape, self.parts)).split())
             if text:
-                node = self.stack[-1]
-                while node.tag in INLINE and node.parent:
-                    node = node.parent
-                self.blocks.append((node, text, self.linked))
+                self.blocks.append((self.stack[-1].block, text, self.linked))
             self.parts, self.linked = [], 0
 
     def start(self, tag: str, rest: str) -> None:
@@ -188,18 +199,23 @@ class _Reader:
         values = _attributes(rest) if rest and not rest.isspace() else {}
         node = _Node(tag, self.stack[-1], _bonus(tag, values))
         self.stack.append(node)
+        self.nodes.append(node)
+        self.open[tag] += 1
         depth = len(self.stack) - 1
+        in_article = self.open["article"] or self.open["main"]
         if not self.dropped:
             if tag == "header":
-                if any(n.tag in {"article", "main"} for n in self.stack):
+                if in_article:
                     self.headers.append(depth)
                 else:
                     self.dropped = depth
-            elif _is_dropped(tag, values):
+            elif (
+                _is_dropped(tag, values) or (tag in CONTROLS and self.open["form"])
+                or (tag == "form" and in_article)
+            ):
                 self.dropped = depth
             elif named := _named(tag, values):
-                inside = any(n.tag in {"article", "main"} for n in self.stack)
-                if inside and named <= HEADER_WORDS:
+                if in_article and named <= HEADER_WORDS:
                     self.headers.append(depth)
                 else:
                     node.named = named
@@ -209,6 +225,8 @@ class _Reader:
     def _end_open(self, tag: str) -> None:
         """Ends what the start of a block ends without a tag of its own: p, li, td, ..."""
         ended = ENDS.get(tag, set())
+        if not self.open["p"] and not any(self.open[x] for x in ended):
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             name = self.stack[depth].tag
             if name in ended or name == "p":
@@ -221,6 +239,8 @@ class _Reader:
     def end(self, tag: str) -> None:
         if tag not in INLINE:
             self.flush()
+        if not self.open[tag]:
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             name = self.stack[depth].tag
             if name == tag:
@@ -233,6 +253,7 @@ class _Reader:
 
     def _cut(self, depth: int) -> None:
         self.links -= sum(n.tag == "a" for n in self.stack[depth:])
+        self.open.subtract(n.tag for n in self.stack[depth:])
         del self.stack[depth:]
         if self.dropped >= depth:
             self.dropped = 0
@@ -250,12 +271,13 @@ def _read(html: str) -> _Reader:
             break
         reader.text(html[at : found.start()])
         at = found.end()
-        closing, name, rest = found.group(1, 2, 3) if found.group(2) else found.group(4, 5, 6)
+        closing, name, rest = found.groups()
         if not name:
             continue
         tag = name.lower()
         if closing:
-            reader.end(tag)
+            if tag not in RAW:  # those are skipped whole, in the middle of a sentence too
+                reader.end(tag)
         elif tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(html, at)
             at = end.start() if end else len(html)
@@ -265,114 +287,147 @@ def _read(html: str) -> _Reader:
     return reader
 
 
-def _ancestors(node: _Node) -> list[_Node]:
-    out = []
-    while node:
-        out.append(node)
-        node = node.parent
-    return out
+Blocks = list[tuple[_Node, str, int]]
+#: States of an element: kept, left out, a list of links inside what is kept.
+_KEPT, _OUT, _LIST = 1, 2, 3
 
 
-def _without_named(blocks: list[tuple[_Node, str, int]]) -> list[tuple[_Node, str, int]]:
+def _without_named(nodes: list[_Node], blocks: Blocks) -> Blocks:
     """Blocks that are in no element whose class or id speaks against it.
 
     An element is kept for all that if it holds the page's <main>, its article, or most of
-    its unlinked text (what readers write aside).
+    its unlinked text (what readers write aside); a form, most of its paragraphs. With
+    what readers write goes what is only around it: a heading, an empty section.
     """
-    plain: dict[_Node, int] = {}
-    marked: dict[_Node, None] = {}
+    if not any(x.named for x in nodes):
+        return blocks
+    inside: dict[_Node, bool] = {}
+    for x in nodes:
+        inside[x] = bool(x.named) or (x.parent is not None and inside[x.parent])
     total = outside = 0
     for node, text, linked in blocks:
         size = max(0, len(text) - linked)
+        node.plain += size
         total += size
-        inside = False
-        for above in _ancestors(node):
-            plain[above] = plain.get(above, 0) + size
-            if above.named:
-                marked[above] = None
-                inside = True
-        outside += 0 if inside else size
-    if not marked:
-        return blocks
-    articles = [x for x in plain if x.tag == "article"]
-    largest = max(articles, key=lambda x: plain[x], default=None)
-    mains = {id(y) for x in plain if x.tag == "main" for y in _ancestors(x)}
-    holds = set()
-    if largest and plain[largest] > outside:
-        holds |= {id(x) for x in _ancestors(largest)}
-    out = {
-        id(x)
-        for x in marked
-        if id(x) not in mains
-        and (x.named & READER_WORDS or not (id(x) in holds or 2 * plain[x] > total))
-    }
-    return [b for b in blocks if not any(id(x) in out for x in _ancestors(b[0]))]
+        outside += 0 if inside[node] else size
+        if node.tag in {"p", "li", "pre", "blockquote", "article", *HEADINGS}:
+            node.prose += size
+    articles: list[_Node] = []
+    mains: set[int] = set()
+    for x in reversed(nodes):
+        if x.parent is not None:
+            x.parent.plain += x.plain
+            x.parent.prose += x.prose
+        if x.tag == "article" and x.plain and not x.named:
+            articles.append(x)
+        if x.tag == "main" or id(x) in mains:
+            mains.update((id(x), id(x.parent)))
+    holds: set[int] = set()
+    above = max(reversed(articles), key=lambda x: x.plain, default=None)
+    if above is not None and above.plain > outside:
+        while above is not None:
+            holds.add(id(above))
+            above = above.parent
+    by_readers: dict[int, int] = {}  # of each element: text that readers have written
+    heads: dict[int, int] = {}  # of each element: text of headings that are not in there
+    for node, text, _ in blocks:
+        if node.tag in HEADINGS:
+            heads[id(node)] = heads.get(id(node), 0) + len(text)
+    for x in nodes:
+        out = x.parent is not None and x.parent.state == _OUT
+        if x.named and not out and id(x) not in mains:
+            most = 2 * (x.prose if "form" in x.named else x.plain) > total
+            out = bool(x.named & READER_WORDS) or not (id(x) in holds or most)
+        x.state = _OUT if out else _KEPT
+    text_of: dict[int, int] = {}
+    for node, text, _ in blocks:
+        text_of[id(node)] = text_of.get(id(node), 0) + len(text)
+    for x in reversed(nodes):
+        own = by_readers.get(id(x), 0)
+        if x.state == _OUT and x.named and x.named & READER_WORDS:
+            own = text_of.get(id(x), 0)
+            heads[id(x)] = 0
+        by_readers[id(x)] = own
+        if x.parent is not None:
+            up = id(x.parent)
+            text_of[up] = text_of.get(up, 0) + text_of.get(id(x), 0)
+            by_readers[up] = by_readers.get(up, 0) + own
+            heads[up] = heads.get(up, 0) + heads.get(id(x), 0)
+    for x in nodes:
+        # The page itself is not a thread of comments, nor is what holds its article.
+        if x.parent is not None and x.parent.state == _OUT:
+            x.state = _OUT
+        elif (
+            x.tag in {"section", "div", "ul", "ol"} and x.state == _KEPT and id(x) not in holds
+            and id(x) not in mains and by_readers[id(x)]
+            and by_readers[id(x)] + heads.get(id(x), 0) == text_of.get(id(x), 0)
+        ):
+            x.state = _OUT
+    return [b for b in blocks if b[0].state != _OUT]
 
 
 def _container(best: _Node) -> _Node:
-    """The whole article around the best element.
-
-    That is the outermost <article> or <main> around it. Without one, it is the outermost
-    element below <body> up to which what is added at each step is mostly not links.
-    """
-    around = _ancestors(best)
-    whole = [x for x in around if x.tag in {"article", "main"}]
-    if whole:
-        return whole[-1]
-    for above in around[1:]:
-        if above.tag in {"", "html", "body"}:
-            break
-        if above.linked - best.linked > MENU_LINKS * (above.chars - best.chars):
-            break
-        best = above
-    return best
+    """The whole article around the best element: the outermost <article> or <main> around
+    it, or else the body of the page."""
+    whole, above = None, best
+    while above.parent is not None:
+        if above.tag in {"article", "main"}:
+            whole = above
+        above = above.parent
+    return whole or above
 
 
 def main_text(html: str | None) -> str:
     """The article of a page: its blocks, each with single spaces, joined by newlines."""
     if not html:
         return ""
-    blocks = _without_named(_read(html).blocks)
+    reader = _read(html)
+    nodes, blocks = reader.nodes, _without_named(reader.nodes, reader.blocks)
     if not blocks:
         return ""
-    scored: dict[int, _Node] = {}
     for node, text, linked in blocks:
-        for above in _ancestors(node):
-            above.chars += len(text)
-            above.linked += linked
+        node.chars += len(text)
+        node.linked += linked
+    for x in reversed(nodes):
+        if x.parent is not None:
+            x.parent.chars += x.chars
+            x.parent.linked += x.linked
+    scored: dict[int, _Node] = {}
     for node, text, linked in blocks:
         points = (1 + text.count(",") + len(text) / 100) * (1 - linked / max(1, len(text)))
         # A paragraph passes on its points; a container with text of its own has them.
-        up = node.parent if node.tag in {"p", "pre", "blockquote", *HEADINGS} else node
-        for step, above in enumerate(_ancestors(up)[:_PARENTS] if up else []):
+        above = node.parent if node.tag in {"p", "pre", "blockquote", *HEADINGS} else node
+        for step in range(_PARENTS):
+            if above is None:
+                break
             above.score += points / (1 if step == 0 else 2 if step == 1 else 3 * step)
             scored[id(above)] = above
+            above = above.parent
 
     def worth(node: _Node) -> float:
         share = node.linked / max(1, node.chars)
         return (node.score + node.bonus) * (1 - share)
 
     best = _container(max(scored.values(), key=worth))
+    # Other articles of a page count if they have a fair part of the best one's points.
     least = max(10.0, 0.2 * max(map(worth, scored.values())))
-    kept = {id(best)} | {
-        id(x) for x in scored.values() if x.parent is best.parent and worth(x) >= least
-    }
     lists = {"ul", "ol", "dl", "table", "section", "div"}
+    for x in nodes:
+        up = x.parent.state if x.parent is not None else 0
+        if up in {_KEPT, _LIST}:
+            menu = x.tag in lists and x.linked > MENU_LINKS_INSIDE * x.chars
+            x.state = _LIST if up == _LIST or menu else _KEPT
+        else:
+            sibling = id(x) in scored and x.parent is best.parent and worth(x) >= least
+            x.state = _KEPT if x is best or sibling else 0
     out = []
     for node, text, linked in blocks:
-        inside = []
-        for above in _ancestors(node):
-            if id(above) in kept:
-                if not any(x.tag in lists and x.linked > 0.66 * x.chars for x in inside):
-                    out.append(text)
-                break
-            inside.append(above)
-        else:
-            # A long paragraph or a title beside the container is a sibling of its own.
-            if node.parent is best.parent and (
-                (node.tag == "p" and len(text) > 80) or (node.tag == "h1" and not linked)
-            ):
-                out.append(text)
+        # A long paragraph or a title beside the article is a sibling of its own.
+        beside = not node.state and node.parent is best.parent and (
+            (node.tag == "p" and len(text) > 80) or (node.tag == "h1" and not linked)
+        )
+        if node.state == _KEPT or beside:
+            out.append(text)
     return "\n".join(out)
 
 

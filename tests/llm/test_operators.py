@@ -337,6 +337,50 @@ def test_main_text_of_fragments(html, text):
     assert html_text.main_text(html) == text
 
 
+WORDY = "word, " * 80
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        # A form around the page is no form of the page; its controls are.
+        ("<form id=aspnet><div><p>One two.</p><label>Name</label><input><button>Go</button></div></form>", "One two."),
+        ("<form>Login <input></form>", ""), ("<article><p>A b.</p><form><p>Sign up</p></form></article>", "A b."),
+        ("<article><p>A b.</p><form>Search <input></form><p>C.</p></article>", "A b.\nC."),
+        # Without an <article>, all that is not marked.
+        (f"<p>Intro.</p><div>{WORDY}</div><p>Outro.</p>", f"Intro.\n{WORDY.strip()}\nOutro."),
+        (f"<body><section><p>{WORDY}</p></section><section><p>Short.</p></section>", f"{WORDY.strip()}\nShort."),
+        (f"<h2>Title</h2><p>Lead.</p><div><p>{WORDY}</p></div>", f"Title\nLead.\n{WORDY.strip()}"),
+        (f"<ul><li><a>Home</a><li><a>News</a></ul><div><p>{WORDY}</p></div>", WORDY.strip()),
+        # What readers write, with the heading over it.
+        ("<main><article><p>Text one, two.</p></article><section><h2>Responses</h2>"
+         "<article class=comment><p>I disagree, really.</p></article></section></main>", "Text one, two."),
+        ("<article><p>Text one.</p><div><h3>Said</h3><ol><li class='comment reply'>No.</ol></div><p>End.</p></article>",
+         "Text one.\nEnd."),
+        # Quotes in attributes.
+        ("<p data-x=it's>First words.</p><p>Second, don't stop.</p><p>Third.</p>",
+         "First words.\nSecond, don't stop.\nThird."),
+        ("<p title=\"a>b\" x='c>d'>One.</p><p title=\"open>Two.</p>", "One.\nTwo."),
+        ("<p a = 'x>' b=\"y'>\" c>One</p>", "One"), ("<img src=/a/b/>x<br/>y", "x y"),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> be.</p>", "Let x=1 be."),
+    ],
+)
+def test_main_text_keeps_the_article(html, text):
+    assert html_text.main_text(html) == text
+
+
+@pytest.mark.parametrize("page", ["<div>x", "<b>", "<b><p>x", "<div class=comment>x", "<ul><li>x", "</p>"])
+def test_deep_pages_take_time_in_proportion(page):
+    import time
+
+    took = []
+    for n in (5_000, 40_000):
+        start = time.process_time()
+        html_text.main_text(page * n + "x")
+        took.append(time.process_time() - start)
+    assert took[1] < 30 * max(took[0], 0.02)
+
+
 @pytest.mark.parametrize(
     ("html", "text"),
     [
