@@ -9,8 +9,9 @@ in neighbouring ones. For a level, sets that link differ in at most d grams. Gra
 dealt by hash into d / 2 + 1 groups of three segments and some more, so that in some group
 two segments of both sets are equal. Each class has a key for each two segments of a group;
 classes with a common key are tied to the least one of them. Components of these ties hold
-all links and are the blocks of the join. Keys of two segments, the weakest left out, are
-what keeps texts that only share a passage from being tied by chance into long chains.
+all links and are the blocks of the join. What keeps texts that only share a passage from
+being tied by chance into long chains is that keys are of two segments, and that a class
+leaves out those with the fewest grams besides the ones that very many texts have.
 
 Finding links: for each block a signature tree is built over its sets. Nodes hold the
 OR of token bitmaps and the range of sizes. Pairs of nodes are walked from the top;
@@ -52,6 +53,10 @@ SALTS = 16
 #: Percent of groups of segments beyond those needed; keys of so many groups can be left
 #: out where they have the fewest grams.
 SPARE = 20
+#: Grams that are in the most texts count for nothing when keys are left out: so many, 8
+#: bytes each, are broadcast; a gram is counted where so many texts of a batch have it.
+COMMON_GRAMS = 1_000_000
+LEAST_OF_BATCH = 3
 _FAN_OUT = 8
 _SLICE_BYTES = 8 << 20
 _MOST_BITS = 1 << 16
@@ -122,7 +127,7 @@ def level_of(size, percent: int):
 
 
 def segment_keys(
-    grams: np.ndarray, borders: np.ndarray, percent: int
+    grams: np.ndarray, borders: np.ndarray, percent: int, common: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) of every set, for the level of its size and the next.
 
@@ -130,15 +135,19 @@ def segment_keys(
     make a key. A gram in which two sets differ spoils one segment, so it takes two of them
     to spoil all keys of a group: of more groups than half the differences, one has an equal
     key. There are SPARE more. So a set may leave out its weakest keys, those of the fewest
-    grams, as long as groups that lose one are no more than the spare ones: equal keys have
-    equally many grams, so what one of two sets leaves out among their common keys contains
-    what the other does, or is contained in it, and one common key is left.
+    grams that are not among the ``common`` ones (sorted), as long as groups that lose one
+    are no more than the spare ones: equal keys have equally many such grams, so what one of
+    two sets leaves out among their common keys contains what the other does, or is
+    contained in it, and one common key is left. That holds for any choice of ``common``.
     """
     sizes = np.diff(borders)
     limits = level_borders(percent, int(sizes.max(initial=1)))
     level = np.searchsorted(limits, sizes, side="right") - 1
     spread = seeded(grams, 2) >> np.uint64(32)
     values = seeded(grams, 3)
+    rare = np.ones(len(grams))
+    if common is not None and len(common):
+        rare = (common[np.minimum(np.searchsorted(common, grams), len(common) - 1)] != grams) * 1.0
     row_of = np.repeat(np.arange(len(sizes)), sizes)
     rows, keys = [], []
     for step in (0, 1):
@@ -156,7 +165,7 @@ def segment_keys(
         at = 3 * first[own] + part.astype(np.int64)
         sums = np.zeros(3 * first[-1], dtype=np.uint64)
         np.add.at(sums, at, values[used])
-        filled = np.bincount(at, minlength=3 * first[-1])
+        filled = np.bincount(at, rare[used], minlength=3 * first[-1]).astype(np.int64)
         sums, filled = sums.reshape(-1, 3), filled.reshape(-1, 3)
         row = np.repeat(np.arange(len(sizes)), groups)
         number = (np.arange(first[-1]) - first[row]).astype(np.uint64)
@@ -202,6 +211,29 @@ def _ties(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys[new], nodes[new], *contract(nodes[other], least[other])
 
 
+def common_grams(texts: DataFrame, n: int) -> np.ndarray:
+    """The COMMON_GRAMS that are in the most texts of ``text``, sorted.
+
+    Each batch of a task counts the grams that LEAST_OF_BATCH of its texts have. What is
+    missed has no effect on results, only on how many texts are tied by chance.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, grams, _ in gram_sets(batch.column(0), n):
+                found, times = np.unique(grams, return_counts=True)
+                many = times >= LEAST_OF_BATCH
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found[many].view(np.int64)), pa.array(times[many])], names=["gram", "n"]
+                )
+        give_back()
+
+    small_batches(texts.sparkSession)
+    counted = texts.select("text").mapInArrow(count, "gram bigint, n bigint").groupBy("gram")
+    most = counted.agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(COMMON_GRAMS)
+    return np.sort(most.toArrow()["gram"].to_numpy().view(np.uint64))
+
+
 def _candidate_ties(texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Edges ``a``, ``b`` that connect classes of ``text`` with a common key.
 
@@ -213,7 +245,7 @@ def _candidate_ties(texts: DataFrame, n: int, percent: int) -> DataFrame:
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, grams, borders in gram_sets(batch.column(0), n):
-                rows, keys = segment_keys(grams, borders, percent)
+                rows, keys = segment_keys(grams, borders, percent, common.value)
                 keys, nodes, a, b = _ties(keys, class_ids(grams, borders)[rows])
                 # A tie is a key of its own, of two rows.
                 tie = mix(mix(a.view(np.uint64)) ^ b.view(np.uint64)).view(np.int64)
@@ -242,9 +274,9 @@ def _candidate_ties(texts: DataFrame, n: int, percent: int) -> DataFrame:
 
         return contracted(pairs())
 
-    small_batches(texts.sparkSession)
+    common = texts.sparkSession.sparkContext.broadcast(common_grams(texts, n))
     found = texts.select("text").mapInArrow(keyed, "key bigint, a bigint")
-    dealt = found.repartition(2 * lanes(texts.sparkSession), "key").sortWithinPartitions("key", "a")
+    dealt = found.repartition(lanes(texts.sparkSession), "key").sortWithinPartitions("key", "a")
     return dealt.mapInArrow(tied, "a bigint, b bigint")
 
 
