@@ -331,7 +331,8 @@ def contamination(
     in order, disjoint) and ``items`` (ids, as strings, of items with an occurring
     window, sorted). Null or wordless texts have 0 words and no spans; wordless items
     match nothing; repeated rows each get their result; an empty benchmark finds
-    nothing. A null item id is the string ''.
+    nothing. A null item id is the string ''. Very long texts are read whole. An empty table
+    gives an empty result, and columns of the input stay inside ``row``.
     """
     items = benchmark.select(
         F.coalesce(benchmark[item].cast("string"), F.lit("")).alias("key"),

@@ -168,7 +168,10 @@ def quality(
     Only labels of rows whose crc32(id) mod 3 is not 1 are learnt from. ``score`` is in
     0 to 1, ``predicted`` is 1 from 0.5. Null and empty texts have the features of an
     empty line. Labels that are null or neither 0 nor 1, and labels of unknown ids, are
-    ignored; without any label all scores are 0.5. Repeated rows each count.
+    ignored and take no place in the sample; without any label all scores are 0.5. Repeated
+    rows each count. Very long texts are read whole. Of equal hashes of ids the lesser label
+    is sampled first. An empty table gives an empty result, and columns of the input stay
+    inside ``row``.
     """
     spark = docs.sparkSession
     marks = labels.where(fold(labels[ident], FOLDS) != HELD_OUT)

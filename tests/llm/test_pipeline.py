@@ -83,6 +83,31 @@ def test_run_is_all_stages(spark, staged):
     assert Counter(rows(done, "doc_id", "shard")) == wanted
 
 
+def test_clashing_columns(spark):
+    docs = read(spark, SF, "documents").limit(30)
+    odd = docs.withColumns({c: F.lit(1) for c in ("shard", "slot", "row", "key", "text_key", "copy")})
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, SF)
+        assert len(set(out.columns)) == len(out.columns)
+        assert set(out.columns) == set(odd.columns)
+        if name == "sharding":
+            assert out.where("shard <> 1 OR slot <> 1").count() > 0
+
+
+def test_awkward_documents(spark):
+    """Nulls everywhere, empty texts and repeated rows go through all stages."""
+    schema = read(spark, SF, "documents").schema
+    rows = [(None,) * 5, (None,) * 5, (1, "", None, "a", 0), (2, None, "en", None, None)]
+    rows += [(3, "some words of a text that is long enough to have shingles", "en", "a", 9)] * 3
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        docs = spark.createDataFrame(out.collect(), out.schema)
+        if name == "near_duplicates":
+            assert sorted(str(r.doc_id) for r in docs.collect()) == ["1", "2", "3", "None", "None"]
+    assert docs.columns == [*schema.names, "shard", "slot"]
+
+
 def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = read(spark, SF, "documents").where(F.lit(False))

@@ -1,12 +1,14 @@
 """Registered queries over whole tables: against SQL, or brute force."""
 
+import hashlib
+import math
 from collections import Counter, defaultdict
 
 import brute
 import duckdb
 import pytest
 
-from logweir.llm import queries
+from logweir.llm import quality_rules, queries
 
 SF = "/root/testdata/sf0.001"
 TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double"}
@@ -103,6 +105,14 @@ def test_shard(spark):
         assert law == "bytes" and grown is None and 0 <= shard < 24
         slots[shard].append(slot)
     assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    home, load, group = defaultdict(set), Counter(), Counter()
+    for doc, size, _, _, shard, _, _ in got:
+        home[texts[doc] or ""].add(shard)
+        load[shard] += size
+        group[texts[doc] or ""] += size
+    assert all(len(x) == 1 for x in home.values())
+    # No two loads are further apart than the largest group that stays together.
+    assert max(load.values()) - min(load[s] for s in range(24)) <= max(group.values())
 
 
 def test_chat(spark):
@@ -115,6 +125,75 @@ def test_chat(spark):
     assert by_id[-7].loss_chars == len(said) and by_id[-7].formatted_chars > 2 * len(said)
 
 
+def test_chat_digests(spark):
+    """Every digest, from the table alone."""
+    talk = defaultdict(list)
+    for conv, turn, role, text in _table("conversations", "conv_id", "turn", "role", "text"):
+        talk[conv].append((turn, role, text or ""))
+    said = "</s>[INST] ok [/INST]"
+    talk[-7] = [(0, "user", said), (1, "assistant", said)]
+    wanted = Counter()
+    for conv, rows in talk.items():
+        rows.sort(key=lambda r: r[0])
+        turns = "".join(f"{role}\n{text}\n" for _, role, text in rows)
+        loss = "".join(text for _, role, text in rows if role == "assistant")
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (turns, loss)]
+        wanted[conv, len(rows), digests[0], len(loss), digests[1]] += 1
+    columns = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256")
+    assert _rows(spark, "op9_chat", *columns) == wanted
+
+
+def test_kept_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = [
+        {(r.row.doc_id, r.kept, r.class_distance, r.word_distance)
+         for r in quality_rules.judged(docs.repartition(n), keep=["doc_id"]).collect()}
+        for n in (2, 9, 61)
+    ]
+    assert found[0] == found[1] == found[2]
+    assert {k[1] for k in found[0]} == {True, False}
+
+
+def test_distances_are_those_of_plain_python(spark):
+    """Jensen-Shannon distances, the middle and the verdict, recomputed from the counts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    counts = quality_rules.text_counts(docs, "text", ["doc_id", "lang"]).collect()
+    got = {r.row.doc_id: r for r in quality_rules.judged(docs, keep=["doc_id"]).collect()}
+
+    def shares(values):
+        total = sum(values)
+        return [x / total for x in values] if total else [0.0] * len(values)
+
+    def distance(p, q):
+        total = 0.0
+        for a, b in zip(p, q, strict=True):
+            m = (a + b) / 2
+            total += sum(x * math.log2(x / m) / 2 for x in (a, b) if x > 0)
+        return math.sqrt(max(0.0, total))
+
+    def reference(rows, name):
+        whole = [sum(math.floor(s * 1_000_000 + 0.5) for s in col)
+                 for col in zip(*(shares(getattr(r, name)) for r in rows), strict=True)]
+        return shares(whole)
+
+    by_lang = defaultdict(list)
+    for r in counts:
+        if r.n_words > 0:
+            by_lang[r.row.lang].append(r)
+    for rows in by_lang.values():
+        trusted = [r for r in rows if not got[r.row.doc_id].base_failed]
+        first = reference(trusted or rows, "classes")
+        steps = {r.row.doc_id: int(distance(shares(r.classes), first) * quality_rules.STEPS) for r in trusted}
+        if trusted:
+            middle = sorted(steps.values())[(len(steps) - 1) // 2]
+            trusted = [r for r in trusted if steps[r.row.doc_id] <= middle]
+        for name, column in (("classes", "class_distance"), ("common", "word_distance")):
+            ref = reference(trusted or rows, name)
+            for r in rows:
+                wanted = distance(shares(getattr(r, name)), ref)
+                assert got[r.row.doc_id][column] == pytest.approx(wanted, abs=1e-4)
+
+
 def test_quality_rules(spark):
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     wanted = Counter((d, *brute.base_rules(t)) for d, t in _table("documents", "doc_id", "text"))
