@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logweir import storage
 from logweir.llm.frames import stored
+from logweir.scratch import scratch_dir
 
 #: Edges that a task contracts at once.
 CONTRACT_EDGES = 1_000_000
@@ -61,13 +63,15 @@ def connected(edges: DataFrame) -> DataFrame:
     changes, which takes about log(longest path) rounds of what contraction has left. Minima
     are combined before each shuffle; a hub's edges are joined by its key, which adaptive
     execution splits, and no node has many smaller neighbours. Each round ends in a table
-    in the shared scratch folder.
+    in the shared scratch folder, which is removed when the next one is there.
     """
+    spark = edges.sparkSession
     one = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    current = stored(_contract(one.where("a <> b")).distinct())
+    path = scratch_dir(spark)
+    current = stored(_contract(one.where("a <> b")).distinct(), path)
     state = None
     while (now := _state(current)) != state:
-        state = now
+        state, before = now, path
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -77,7 +81,9 @@ def connected(edges: DataFrame) -> DataFrame:
             F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
             F.col("m").alias("b"),
         )
-        current = stored(_contract(small).distinct())
+        path = scratch_dir(spark)
+        current = stored(_contract(small).distinct(), path)
+        storage.remove(spark, before)
     return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 

@@ -29,9 +29,10 @@ def small_batches(spark: SparkSession) -> None:
 
     Spark's own limit lets each task hold several times 64 MB, in the JVM and in Python.
     """
-    given = spark.conf.get(_BATCH_SETTING, None)
-    size = int(re.sub(r"\D", "", given or "") or 0)
-    if not size or not (given or "").rstrip("bB").isdigit() or size > BATCH_BYTES:
+    given = spark.conf.get(_BATCH_SETTING, None) or ""
+    said = re.fullmatch(r"(\d+)([kmgt]?)b?", given.strip().lower())
+    size = int(said[1]) << (10 * " kmgt".index(said[2] or " ")) if said else 0
+    if not 0 < size <= BATCH_BYTES:
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
 

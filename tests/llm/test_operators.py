@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logweir.llm import (
-    chat, components, decontaminate, html_text, mixing, ngram_join, quality_model, quality_rules,
+    chat, components, decontaminate, frames, html_text, mixing, ngram_join, quality_model, quality_rules,
     sharding, textbatch, toxicity, url_rules,
 )
 
@@ -54,6 +54,29 @@ def pairs(df, *columns):
     return Counter(tuple(r) for r in df.select(*columns).collect())
 
 
+def test_batches_are_made_smaller_only(spark):
+    name = frames._BATCH_SETTING
+    before = spark.conf.get(name)
+    try:
+        for given, wanted in (("64m", str(frames.BATCH_BYTES)), ("4m", "4m"), ("1000", "1000"), ("1g", str(frames.BATCH_BYTES)),
+                              ("512kb", "512kb")):
+            spark.conf.set(name, given)
+            frames.small_batches(spark)
+            assert spark.conf.get(name) == wanted
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_slices_of_texts():
+    texts = textbatch.pa.array(["a" * 10, None, "", "b" * 3, "c" * 100, "d"])
+    assert list(frames.slices(texts, 12)) == [(0, 3), (3, 1), (4, 1), (5, 1)]
+    assert list(frames.slices(texts[2:5], 12)) == [(0, 2), (2, 1)]
+    assert list(frames.slices(texts[:0], 12)) == []
+    whole = [(c.first + r, bytes(c.data[c.offsets[r] : c.offsets[r + 1]]).decode())
+             for c in textbatch.chunks(texts[1:], 12) for r in range(c.rows)]
+    assert whole == [(0, "\n"), (1, "\n"), (2, "bbb\n"), (3, "c" * 100 + "\n"), (4, "d\n")]
+
+
 # Jaccard join -----------------------------------------------------------------
 
 
