@@ -595,18 +595,19 @@ def test_pair_model_is_a_distribution():
     assert got == pytest.approx(wanted)
 
 
-def test_pairs_are_counted_by_texts(spark, frame):
+def test_pairs_are_counted_by_texts(spark, frame, monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_TEXTS", 2)
     rows = [(0, False, "a b a b c"), (1, False, "a b"), (1, True, "b a b"), (0, True, None), (0, False, "")]
-    made = toxicity.pair_counts(frame(rows, "label int, for_fit boolean, text string", 2)).collect()
+    made = toxicity.pair_counts(frame(rows, "label int, for_fit boolean, text string", 2))
     hashed = {}
     for text in ("a", "b", "c"):
         data = np.frombuffer(text.encode(), dtype=np.uint8)
         hashed[int(textbatch.hash_spans(data, np.array([0]), np.array([1])).view(np.int64)[0])] = text
     hashed[0] = ""
-    pairs = {(hashed[r.context], hashed[r.word]): (r.low, r.high) for r in made if r.context is not None}
+    pairs = {(hashed[r.context], hashed[r.word]): (r.low, r.high) for r in toxicity.pairs_of(made).collect()}
     # "a b" is in one ordinary text and two toxic ones, one of them of the fold for the curve.
     assert pairs == {("a", "b"): (1 | 1 << 32, 1 << 32)}
-    seen = {hashed[r.word]: [r[f"seen_{k}"] for k in (1, 2, 15)] for r in made if r.context is None}
+    seen = {hashed[r.word]: [r[f"seen_{k}"] for k in (1, 2, 15)] for r in toxicity.words_of(made).collect()}
     assert seen == {"a": [2, 1, 2], "b": [1, 1, 2], "c": [1, 0, 1]}
 
 
