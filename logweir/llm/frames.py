@@ -22,6 +22,7 @@ Arrays = Sequence[pa.Array]
 BATCH_BYTES = 8 << 20
 SLICE_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+_CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -90,11 +91,20 @@ def map_texts(
     return source.mapInArrow(run, schema)
 
 
-def stored(frame: DataFrame, path: str | None = None) -> DataFrame:
-    """The frame written to the shared scratch folder and read back: lineage ends there."""
+def stored(frame: DataFrame, path: str | None = None, used_once: bool = False) -> DataFrame:
+    """The frame written to the shared scratch folder and read back: lineage ends there.
+
+    What it shuffles is removed from disk with the write if it is ``used_once``: nothing else
+    has to need the frame itself.
+    """
     spark: SparkSession = frame.sparkSession
     path = path or scratch_dir(spark)
-    frame.write.parquet(path)
+    before = spark.conf.get(_CLEANUP_SETTING, "false")
+    spark.conf.set(_CLEANUP_SETTING, "true" if used_once else before)
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP_SETTING, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 

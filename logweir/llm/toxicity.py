@@ -10,8 +10,8 @@ classes, which makes a rare expression likely or unlikely in both alike.
 On these stands a model of word pairs: p(word | previous word) is the share of texts with
 the pair, less a discount, and for the rest the word's own probability times what is left
 for it, the previous word's backoff weight. Pairs that fewer than LEAST_TEXTS texts of a class
-have are left to backoff, and beyond BROADCAST_PAIRS so are those of the fewest texts. So words
-that are common in both classes are evidence where they stand side by side.
+have are left to backoff, as is usual of such models. So words that are common in both classes
+are evidence where they stand side by side.
 
 A document is described by the log-likelihood ratio of the models, normalised by
 length: over the whole text, and over the passages of ``PASSAGES`` words where it is
@@ -20,18 +20,19 @@ labelled documents by models counted on the others; documents are scored by mode
 counted on all of them.
 
 A word is its 64-bit hash, so different words do not share counts. Spark counts the
-different (word, context) pairs of all labelled documents, and from them makes the model,
-a table of a row for each word that grows with the vocabulary, and the pairs that several
-texts have. Of the words those with the most contexts, BROADCAST_WORDS at most, are
-broadcast, and where that is all, documents are scored in one pass without a shuffle. Else
-the other words of documents, each once a text with its places, are joined with the rest of
-the model, and the values found are joined to the texts. Pairs are broadcast only: what
-they add to a word is 0 for a pair that is not there.
+different (word, context) pairs of all labelled documents, and from them makes the model: a
+table of a row for each word, and one of a row for each pair that several texts have and for
+each of their contexts. Both are tables that grow with the labelled texts. The words with the
+most contexts, BROADCAST_WORDS at most, and the pairs and contexts of the most texts, are
+broadcast, and where that is all, documents are scored in one pass without a shuffle. Else the
+other words, pairs and contexts of documents, each once a text with its places, are joined
+with the rest of the model, and the values found are joined to the texts. A bitmap of the rest
+keeps back most of what is not in it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -47,11 +48,19 @@ from logweir.llm.textbatch import ALPHANUMERIC, chunks, find_words, hash_spans,
 
 #: So many words of the model are broadcast (16 bytes each); others are joined.
 BROADCAST_WORDS = 4_000_000
-#: So many pairs of words are in the model (16 bytes each, and as much for their contexts).
+#: So many pairs of the model and as many contexts are broadcast (24 bytes each); others are joined.
 BROADCAST_PAIRS = 1_000_000
+#: So many (word, context) rows of a task are merged at once, and the pairs of a word are dealt
+#: to so many partitions, of which all have its rows together.
+MERGE_ROWS = 1 << 20
+WORD_PARTS = 16
+#: Bits of the bitmap of what is joined: the power of two, at most (32 MB).
+BITMAP_POWER = 28
 #: Texts of a class that a pair is in, at least, and what is taken off its count.
 LEAST_TEXTS = 4
 PAIR_DISCOUNT = 0.75
+#: Backoff weight of a context, at least.
+LEAST_LEFT = 1e-9
 PASSAGES = (1, 16)
 #: Labelled documents that the logistic curve is fitted to, at most; one in so many is
 #: kept from the counts that describe them, though not from those of the final models.
@@ -68,6 +77,8 @@ _KINDS = range(4)
 #: Ordinary, toxic and either as sets of kinds: without that fold, and with it.
 _SEEN = (0b0001, 0b0010, 0b0011, 0b0101, 0b1010, 0b1111)
 _PACKED = ["x0", "x1", "x2"]
+#: Of a context, by kind: how many texts have it before a word, summed over words.
+_AFTER = [f"after_{k}" for k in _KINDS]
 #: Of the words by themselves, and then of the words with what pairs add to them.
 _NUMBERS = ["length", *(f"{of}_{x}" for of in ("word", "pair")
                         for x in ("mean", *(f"best_{n}" for n in PASSAGES)))]
@@ -88,7 +99,7 @@ def _contexts(words: np.ndarray, borders: np.ndarray) -> np.ndarray:
     return context
 
 
-def _pairs(texts: pa.Array, kinds: np.ndarray) -> list[np.ndarray]:
+def _pairs(texts: pa.Array, kinds: np.ndarray) -> np.ndarray:
     """Different (word, context), and how many texts of each kind have them.
 
     Two 32-bit counts share a number: kinds 0 and 1, kinds 2 and 3.
@@ -108,7 +119,18 @@ def _pairs(texts: pa.Array, kinds: np.ndarray) -> list[np.ndarray]:
         if len(at):
             counts = [np.add.reduceat(np.where(kind >> 1 == k, one, 0), at) for k in (0, 1)]
             found.append(np.stack([words[at].view(np.int64), context[at].view(np.int64), *counts]))
-    return list(np.concatenate(found, axis=1))
+    return np.concatenate(found, axis=1)
+
+
+def _merged(found: list[np.ndarray]) -> np.ndarray:
+    """Rows of ``_pairs`` with those of equal pairs added up, in order of words."""
+    word, context, *counts = np.concatenate(found, axis=1)
+    order = np.lexsort((context, word))
+    word, context = word[order], context[order]
+    at = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (context[1:] != context[:-1]))[: len(word)])
+    if not len(at):
+        return found[0][:, :0]
+    return np.stack([word[at], context[at], *(np.add.reduceat(n[order], at) for n in counts)])
 
 
 def _halves(x) -> list:
@@ -124,24 +146,40 @@ def _by_kind(low, high) -> list:
 
 
 def pair_counts(labelled: DataFrame) -> DataFrame:
-    """Counts of words and of pairs, from one shuffle of the different pairs.
+    """Counts of words, of contexts and of pairs, from one shuffle of the different pairs.
 
-    ``word``, ``context`` (null in the row of a word) and three numbers that hold two 32-bit
-    counts each: see ``words_of`` and ``pairs_of``.
+    ``word``, ``context`` (null in a row for a word by itself and as a context) and numbers:
+    see ``words_of``, ``contexts_of`` and ``pairs_of``.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["word", "context", "low", "high"]
+
+        def out(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for i in range(0, rows.shape[1], 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows[:, i : i + 100_000]], names)
+
+        found, size = [], 0
         for batch in batches:
-            kinds = batch.column(0).to_numpy(zero_copy_only=False)
-            found = [pa.array(x) for x in _pairs(batch.column(1), kinds)]
-            yield pa.RecordBatch.from_arrays(found, names)
+            found.append(_pairs(batch.column(1), batch.column(0).to_numpy(zero_copy_only=False)))
+            size += found[-1].shape[1]
+            if size >= MERGE_ROWS:
+                found = [_merged(found)]
+                size = found[0].shape[1]
+                if size >= MERGE_ROWS // 2:
+                    yield from out(found[0])
+                    found, size = [], 0
+        if found:
+            yield from out(_merged(found))
         give_back()
 
+    # Rows of a word come together and in its order: that packs well, and few tasks have it.
+    part = F.pmod("context", F.lit(WORD_PARTS))
     pairs = (
         _with_kind(labelled)
         .mapInArrow(count, "word bigint, context bigint, low bigint, high bigint")
-        .groupBy("word", "context")
+        .repartition("word", part)
+        .groupBy("word", part.alias("part"), "context")
         .agg(F.sum("low").alias("low"), F.sum("high").alias("high"))
     )
     n = _by_kind(F.col("low"), F.col("high"))
@@ -150,24 +188,38 @@ def pair_counts(labelled: DataFrame) -> DataFrame:
         some = [n[k] > 0 for k in _KINDS if kinds >> k & 1]
         return reduce(lambda a, b: a | b, some).cast("bigint")
 
-    none = F.lit(None).cast("bigint")
+    none, zero = (F.lit(x).cast("bigint") for x in (None, 0))
     by_set = [seen(k) for k in _SEEN]
     packed = [a + F.shiftleft(b, 32) for a, b in zip(by_set[::2], by_set[1::2], strict=True)]
-    numbers = [F.col("low"), F.col("high"), F.lit(0).cast("bigint")]
-    word, pair = (
-        F.struct("word", context.alias("context"), *[x.alias(c) for x, c in zip(own, _PACKED, strict=True)])
-        for context, own in ((none, packed), (F.col("context"), numbers))
+    numbers = [F.col("low"), F.col("high"), zero]
+    names = [*_PACKED, *_AFTER]
+    word, after, pair = (
+        F.struct(
+            key.alias("word"), of.alias("context"), *[x.alias(c) for x, c in zip(own, names, strict=True)]
+        )
+        for key, of, own in (
+            (F.col("word"), none, packed + [zero] * len(_AFTER)),
+            (F.col("context"), none, [zero] * len(_PACKED) + n),
+            (F.col("word"), F.col("context"), numbers + [zero] * len(_AFTER)),
+        )
     )
     several = (n[0] + n[2] >= LEAST_TEXTS) | (n[1] + n[3] >= LEAST_TEXTS)
-    rows = pairs.select(F.explode(F.when(several, F.array(word, pair)).otherwise(F.array(word))).alias("r"))
-    return rows.select("r.*").groupBy("word", "context").agg(*[F.sum(c).alias(c) for c in _PACKED])
+    made = F.when(several, F.array(word, after, pair)).otherwise(F.array(word, after))
+    rows = pairs.select(F.explode(made).alias("r"))
+    return rows.select("r.*").groupBy("word", "context").agg(*[F.sum(c).alias(c) for c in names])
 
 
 def words_of(counts: DataFrame) -> DataFrame:
     """``word``, and in how many contexts it is seen, by sets of kinds as in ``_SEEN``."""
     halves = [x for c in _PACKED for x in _halves(F.col(c))]
     seen = [x.alias(f"seen_{k}") for x, k in zip(halves, _SEEN, strict=True)]
-    return counts.where("context IS NULL").select("word", *seen)
+    # The start of a text is a context and no word.
+    return counts.where("context IS NULL").select("word", *seen).where(f"seen_{_SEEN[-1]} > 0")
+
+
+def contexts_of(counts: DataFrame) -> DataFrame:
+    """``context``, and by kind the sum over words of the texts that have it before them."""
+    return counts.where("context IS NULL").select(F.col("word").alias("context"), *_AFTER)
 
 
 def pairs_of(counts: DataFrame) -> DataFrame:
@@ -183,37 +235,6 @@ def _with_kind(labelled: DataFrame) -> DataFrame:
     return labelled.select(kind.alias("kind"), "text")
 
 
-def _context_totals(labelled: DataFrame, contexts: np.ndarray) -> np.ndarray:
-    """Of each context (sorted), by kind: texts that have it before a word, for every word."""
-    shared = labelled.sparkSession.sparkContext.broadcast(contexts)
-    names = [f"n{k}" for k in _KINDS]
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kinds = batch.column(0).to_numpy(zero_copy_only=False)
-            total = np.zeros((len(_KINDS), len(shared.value)), dtype=np.int64)
-            for first, words, borders in _words(batch.column(1)):
-                at, known = _find(_contexts(words, borders), shared.value)
-                size = np.diff(borders)
-                text = np.repeat(np.arange(len(size)), size)[known]
-                at, words = at[known], words[known]
-                order = np.lexsort((words, at, text))
-                at, words, text = at[order], words[order], text[order]
-                new = (at[1:] != at[:-1]) | (words[1:] != words[:-1]) | (text[1:] != text[:-1])
-                once = np.append(True, new)[: len(at)]
-                np.add.at(total, (kinds[first + text[once]], at[once]), 1)
-            some = np.flatnonzero(total.any(axis=0))
-            found = [pa.array(some), *(pa.array(x[some]) for x in total)]
-            yield pa.RecordBatch.from_arrays(found, ["at", *names])
-        give_back()
-
-    counted = _with_kind(labelled).mapInArrow(count, "at bigint, " + ", ".join(f"{n} bigint" for n in names))
-    sums = counted.groupBy("at").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
-    out = np.zeros((len(_KINDS), len(contexts)), dtype=np.int64)
-    out[:, sums["at"].to_numpy()] = np.array([sums[n].to_numpy() for n in names])
-    return out
-
-
 class Totals(NamedTuple):
     """Of the counts of one class: their sum, how many are 1, 2, 3, 4, and above 0."""
 
@@ -283,19 +304,28 @@ def log_ratios(counts: np.ndarray, totals: Sequence[Totals]) -> np.ndarray:
     return np.where(counts[2] > 0, toxic - ordinary, 0.0)
 
 
+class Rest(NamedTuple):
+    """Rows of a model that are joined, and a bitmap of their words by the first bits."""
+
+    table: DataFrame
+    bitmap: np.ndarray
+
+
 class Model(NamedTuple):
     """Log-ratios of words, for the fit (0) and for scores (1). Unseen words have 0.
 
     ``words`` and ``values`` (2 x words) are those to broadcast, by word; ``rest`` has all
-    others as ``word`` and ``value_0``, ``value_1``, or is None. ``pairs`` are keys of pairs
-    and of contexts, in order, with what they add to a word (``pair_values``, 2 x pairs).
+    others as ``word``, ``value_0`` and ``value_1``, or is None. ``pairs`` are keys of pairs
+    and of contexts to broadcast, in order, with what they add to a word (``pair_values``,
+    2 x pairs); ``pair_rest`` has all others, as ``rest`` has words.
     """
 
     words: np.ndarray
     values: np.ndarray
-    rest: DataFrame | None
+    rest: Rest | None
     pairs: np.ndarray
     pair_values: np.ndarray
+    pair_rest: Rest | None
 
 
 def _pair_key(word: np.ndarray, context: np.ndarray) -> np.ndarray:
@@ -306,6 +336,12 @@ def _context_key(context: np.ndarray) -> np.ndarray:
     return seeded(context, 6)
 
 
+def _added(own: np.ndarray, left: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """log p(word | context) less log of backoff weight times p(word), toxic over ordinary."""
+    p = np.log(own + left * np.exp(word)) - np.log(left) - word
+    return np.where((own > 0).any(axis=0), p[1] - p[0], 0.0)
+
+
 def pair_ratios(
     count: np.ndarray, of: np.ndarray, total: np.ndarray, word: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -314,58 +350,116 @@ def pair_ratios(
     By class (ordinary, toxic): ``count`` of each pair, ``total`` of each context and log p
     of each pair's ``word`` by itself; ``of`` is the context of each pair. With a pair it is
     log p(word | context), without it log of the context's backoff weight times p(word).
+    ``pair_table`` does the same for tables.
     """
     own = np.maximum(count - PAIR_DISCOUNT, 0) / np.maximum(total[:, of], 1)
     left = np.ones(total.shape)
     for k in range(len(count)):
         np.subtract.at(left[k], of, own[k])
-    left = np.maximum(left, 1e-9)
-    p = np.log(own + left[:, of] * np.exp(word)) - np.log(left[:, of]) - word
-    return np.where((count > 0).any(axis=0), p[1] - p[0], 0.0), np.log(left[1]) - np.log(left[0])
+    left = np.maximum(left, LEAST_LEFT)
+    return _added(own, left[:, of], word), np.log(left[1]) - np.log(left[0])
 
 
-def _pair_model(
-    pairs: DataFrame, counts: DataFrame, totals: Sequence[Totals], labelled: DataFrame
-) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of pairs and contexts in order, and their values for the fit and for scores."""
+def pair_table(counts: DataFrame, totals: Sequence[Totals]) -> DataFrame:
+    """What all pairs and all their contexts add to a word, a row for each of them.
+
+    ``word`` is the key of the pair or context, ``power`` the power of two of its texts, and
+    ``value_0`` and ``value_1`` are for the fit and for scores.
+    """
+    sides = [(side, k) for side in (0, 1) for k in (0, 1)]
     n = _by_kind(F.col("low"), F.col("high"))
-    power = F.floor(F.log2(n[0] + n[1] + n[2] + n[3])).cast("int")
-    least, known = 64, 0
-    for level, size in sorted(pairs.groupBy(power).count().collect(), reverse=True):
-        known += size
-        if known > BROADCAST_PAIRS:
-            break
-        least = level
-    few = pairs.where(power >= least).select("word", "context", "low", "high").toArrow()
-    word, context, low, high = (few[c].to_numpy() for c in few.column_names)
-    if not len(word):
-        return np.zeros(0, dtype=np.uint64), np.zeros((2, 0))
-    contexts, of = np.unique(context.view(np.uint64), return_inverse=True)
-    words, at = np.unique(word, return_inverse=True)
-    wanted = counts.sparkSession.createDataFrame(pa.table({"of": pa.array(words)}))
-    own = counts.join(F.broadcast(wanted), F.col("word") == F.col("of")).drop("of").toArrow()
-    order = np.argsort(own["word"].to_numpy())
-    seen = np.array([own[f"seen_{k}"].to_numpy()[order][at] for k in _SEEN], dtype=float)
-    by_kind = np.array(_by_kind(low, high))
-    total = _context_totals(labelled, contexts)
-    values = []
-    for side in (0, 1):
-        both = slice(3 * side, 3 * side + 3)
-        (ordinary, toxic, shared), sums = seen[both], totals[both]
+    after = [F.col(c) for c in _AFTER]
+
+    def share(side: int, k: int) -> Column:
+        count, total = (x[k] + x[k + 2] if side else x[k] for x in (n, after))
+        return F.greatest(count - F.lit(PAIR_DISCOUNT), F.lit(0.0)) / F.greatest(total, F.lit(1))
+
+    own, left = ([f"{name}_{side}{k}" for side, k in sides] for name in ("own", "left"))
+    pairs = pairs_of(counts).join(contexts_of(counts), "context").select(
+        "word", "context", (n[0] + n[1] + n[2] + n[3]).alias("texts"),
+        *[share(*x).alias(c) for x, c in zip(sides, own, strict=True)],
+    )
+    contexts = pairs.groupBy("context").agg(
+        F.sum("texts").alias("texts"),
+        *[F.greatest(1 - F.sum(o), F.lit(LEAST_LEFT)).alias(x) for o, x in zip(own, left, strict=True)],
+    )
+    power = F.floor(F.log2("texts")).cast("int").alias("power")
+    seen = [f"seen_{k}" for k in _SEEN]
+    with_words = pairs.join(contexts.drop("texts"), "context").join(words_of(counts), "word")
+
+    def keyed(key: Callable, value: Callable, source: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names = ["word", "power", "value_0", "value_1"]
+            for batch in batches:
+                ids = [batch[c].to_numpy().view(np.uint64) for c in ("word", "context")]
+                by = {c: batch[c].to_numpy() for c in batch.schema.names}
+                found = [key(*ids).view(np.int64), by["power"], *(value(by, side) for side in (0, 1))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names)
+
+        return source.mapInArrow(run, "word bigint, power int, value_0 double, value_1 double")
+
+    def lefts(by: dict, side: int) -> np.ndarray:
+        return np.array([by[f"left_{side}{k}"] for k in (0, 1)])
+
+    def of_pair(by: dict, side: int) -> np.ndarray:
+        ordinary, toxic, shared = (by[c].astype(float) for c in seen[3 * side : 3 * side + 3])
+        sums = totals[3 * side : 3 * side + 3]
         alone = np.array(
             [kneser_ney(x, shared, t, sums[2].sum, sums[2].words + 1)
              for x, t in zip((ordinary, toxic), sums, strict=False)]
         )
-        merged = [x[:2] + side * x[2:] for x in (by_kind, total)]
-        values.append(np.concatenate(pair_ratios(merged[0], of, merged[1], alone)))
-    keys = np.concatenate([_pair_key(word.view(np.uint64), contexts[of]), _context_key(contexts)])
-    order = np.argsort(keys)
-    return keys[order], np.array(values)[:, order]
+        return _added(np.array([by[f"own_{side}{k}"] for k in (0, 1)]), lefts(by, side), alone)
 
+    def of_context(by: dict, side: int) -> np.ndarray:
+        x = lefts(by, side)
+        return np.log(x[1]) - np.log(x[0])
 
-def word_model(all_counts: DataFrame, totals: Sequence[Totals], labelled: DataFrame) -> Model:
+    none = F.lit(0).cast("bigint").alias("word")
+    return keyed(
+        _pair_key, of_pair, with_words.select("word", "context", power, *own, *left, *seen)
+    ).union(
+        keyed(lambda _, of: _context_key(of), of_context, contexts.select(none, "context", power, *left))
+    )
+
+
+def _bitmap(table: DataFrame, rows: int) -> np.ndarray:
+    """A bit for the first bits of each word of the table: 16 times as many as rows, or fewer."""
+    bits = min(BITMAP_POWER, max(12, rows.bit_length() + 4))
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(word, {64 - bits}) & 63L as int))")
+    slot = F.expr(f"shiftrightunsigned(word, {64 - bits + 6})").alias("slot")
+    found = table.groupBy(slot).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    out[found["slot"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def _may_have(bitmap: np.ndarray, words: np.ndarray) -> np.ndarray:
+    at = words >> np.uint64(64 - 6 - (len(bitmap).bit_length() - 1))
+    return (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _most(table: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, Rest | None]:
+    """The rows of the highest powers, ``most`` at most: words in order and values (2 x words);
+    and all others, if there are any."""
+    sizes = sorted(table.groupBy("power").count().collect(), reverse=True)
+    least, known = 64, 0
+    for power, size in sizes:
+        if known + size > most:
+            break
+        least, known = power, known + size
+    few = table.where(F.col("power") >= least).drop("power").toArrow()
+    words = few["word"].to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    values = np.stack([few[f"value_{k}"].to_numpy()[order] for k in (0, 1)])
+    others = sum(size for _, size in sizes) - known
+    if not others:
+        return words[order], values, None
+    rest = table.where(F.col("power") < least).drop("power")
+    return words[order], values, Rest(rest, _bitmap(rest, others))
+
+
+def word_model(all_counts: DataFrame, totals: Sequence[Totals]) -> Model:
     counts = words_of(all_counts)
-    pairs = _pair_model(pairs_of(all_counts), counts, totals, labelled)
     sides = totals[:3], totals[3:]
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,20 +475,8 @@ def word_model(all_counts: DataFrame, totals: Sequence[Totals], labelled: DataFr
     table = counts.select("word", power, *[f"seen_{k}" for k in _SEEN]).mapInArrow(
         values, "word bigint, power int, value_0 float, value_1 float"
     )
-    least, known = 0, 0
-    if totals[-1].words > BROADCAST_WORDS:
-        least = 64
-        for n, size in sorted(counts.groupBy(power).count().collect(), reverse=True):
-            known += size
-            if known > BROADCAST_WORDS:
-                break
-            least = n
-    few = table.where(F.col("power") >= least).drop("power").toArrow()
-    words = few["word"].to_numpy().view(np.uint64)
-    order = np.argsort(words)
-    found = np.stack([few[f"value_{k}"].to_numpy()[order] for k in (0, 1)])
-    rest = table.where(F.col("power") < least) if least else None
-    return Model(words[order], found, rest, *pairs)
+    pairs = stored(pair_table(all_counts, totals), used_once=True)
+    return Model(*_most(table, BROADCAST_WORDS), *_most(pairs, 2 * BROADCAST_PAIRS))
 
 
 def _find(words: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -413,7 +495,8 @@ def _describe(
     """_NUMBERS of each text: log of the words, mean ratio, greatest means of passages.
 
     A text shorter than a passage is one passage, and divided as if it were full.
-    ``places`` and ``found`` are values of words that are not among the known ones.
+    ``places`` and ``found`` are values of what is not among the known ones, at twice the
+    place of a word, and one more for what pairs and contexts add.
     """
     out = np.zeros((len(_NUMBERS), len(texts)))
     for first, words, borders in _words(texts):
@@ -422,11 +505,13 @@ def _describe(
         ratios[hit] = values[at[hit]]
         size = np.diff(borders)
         rows = slice(first, first + len(size))
+        added = np.zeros(len(words))
         if places is not None:
             own = places[rows].fill_null([])
-            where = np.repeat(borders[:-1], own.value_lengths().to_numpy()) + own.flatten().to_numpy()
-            ratios[where] += found[rows].fill_null([]).flatten().to_numpy()
-        added = np.zeros(len(words))
+            place, value = own.flatten().to_numpy(), found[rows].fill_null([]).flatten().to_numpy()
+            where = np.repeat(borders[:-1], own.value_lengths().to_numpy()) + (place >> 1)
+            for k, to in enumerate((ratios, added)):
+                np.add.at(to, where[place & 1 == k], value[place & 1 == k])
         context = _contexts(words, borders)
         for keys in (_pair_key(words, context), _context_key(context)):
             at, hit = _find(keys, pairs)
@@ -450,18 +535,36 @@ def _describe(
     return [pa.array(x) for x in out]
 
 
-def _other_places(texts: pa.Array, known: np.ndarray) -> Iterator[tuple[int, int, list[int]]]:
-    """Row, word and its places in the row, for words that are not among the known ones."""
+def _lookups(
+    texts: pa.Array, keys: pa.Array, known: Sequence[np.ndarray], bitmaps: Sequence[np.ndarray | None]
+) -> Iterator[pa.RecordBatch]:
+    """The text's key, 0 for a word or 1 for a pair or context, that, and its places in the
+    text as ``_describe`` takes them, for all that are not among the known ones but may be in
+    the rest (of words, and of pairs; None: there is no rest)."""
     for first, words, borders in _words(texts):
-        other = np.flatnonzero(~_find(words, known)[1])
-        row = np.searchsorted(borders, other, side="right") - 1
-        place, word = other - borders[row], words[other].view(np.int64)
-        order = np.lexsort((place, word, row))
-        row, place, word = row[order], place[order], word[order]
-        new = np.append(True, (row[1:] != row[:-1]) | (word[1:] != word[:-1]))[: len(row)]
-        at = np.append(np.flatnonzero(new), len(row))
-        for a, b in zip(at[:-1], at[1:], strict=True):
-            yield first + int(row[a]), int(word[a]), place[a:b].tolist()
+        size = np.diff(borders)
+        row_of = np.repeat(np.arange(len(size)), size)
+        place_of = np.arange(len(words)) - borders[:-1][row_of]
+        context = _contexts(words, borders)
+        for pair, ids in ((0, words), (1, _pair_key(words, context)), (1, _context_key(context))):
+            if bitmaps[pair] is None:
+                continue
+            other = np.flatnonzero(_may_have(bitmaps[pair], ids))
+            other = other[~_find(ids[other], known[pair])[1]]
+            row, place, ids = row_of[other], 2 * place_of[other] + pair, ids[other].view(np.int64)
+            order = np.lexsort((place, ids, row))
+            row, place, ids = row[order], place[order], ids[order]
+            new = np.append(True, (row[1:] != row[:-1]) | (ids[1:] != ids[:-1]))[: len(row)]
+            at = np.flatnonzero(new)
+            ends = np.append(at, len(row))
+            for i in range(0, len(at), 100_000):
+                some, border = at[i : i + 100_000], ends[i : i + 100_001]
+                lists = pa.ListArray.from_arrays(
+                    pa.array((border - border[0]).astype(np.int32)), pa.array(place[border[0] : border[-1]])
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [keys.take(pa.array(first + row[some])), pa.array(np.full(len(some), pair, np.int32)),
+                     pa.array(ids[some]), lists], ["key", "pair", "word", "places"])
 
 
 def described(docs: DataFrame, text: str, keep: Sequence[str], model: Model, side: int) -> DataFrame:
@@ -469,32 +572,34 @@ def described(docs: DataFrame, text: str, keep: Sequence[str], model: Model, sid
     shared = docs.sparkSession.sparkContext.broadcast(
         (model.words, model.values[side], model.pairs, model.pair_values[side])
     )
+    rests = (model.rest, model.pair_rest)
     fields = ", ".join(f"{name} double" for name in _NUMBERS)
-    if model.rest is None:
+    if not any(rests):
         return map_texts(
             docs, text, fields, lambda texts: _describe(texts, *shared.value), keep
         )
 
+    bitmaps = docs.sparkSession.sparkContext.broadcast([rest and rest.bitmap for rest in rests])
+
     def other(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "word", "places"]
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            found = list(_other_places(batch.column(1), shared.value[0]))
-            for i in range(0, len(found), 100_000):
-                row, word, places = zip(*found[i : i + 100_000], strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([keys[r] for r in row], pa.string()), pa.array(word, pa.int64()),
-                     pa.array(places, pa.list_(pa.int64()))], names)
+            known = shared.value[0], shared.value[2]
+            yield from _lookups(batch.column(1), batch.column(0), known, bitmaps.value)
+        give_back()
 
+    value = F.col(f"value_{side}").cast("double").alias("value")
+    tables = [
+        rest.table.select(F.lit(k).alias("pair"), "word", value) for k, rest in enumerate(rests) if rest
+    ]
     # Copies of a text have equal words: each text is looked up once.
-    key = F.md5(F.coalesce(docs[text], F.lit(""))).alias("key")
+    key = F.unhex(F.md5(F.coalesce(docs[text], F.lit("")))).alias("key")
     rare = (
         docs.select(key, docs[text].alias("text"))
-        .mapInArrow(other, "key string, word bigint, places array<bigint>")
-        .groupBy("key", "word")
+        .mapInArrow(other, "key binary, pair int, word bigint, places array<bigint>")
+        .groupBy("key", "pair", "word")
         .agg(F.first("places").alias("places"))
-        .join(model.rest.select("word", F.col(f"value_{side}").alias("value")), "word")
-        .select("key", F.explode("places").alias("place"), F.col("value").cast("double"))
+        .join(reduce(DataFrame.union, tables), ["pair", "word"])
+        .select("key", F.explode("places").alias("place"), "value")
         .groupBy("key")
         .agg(F.collect_list(F.struct("place", "value")).alias("found"))
         .select("key", F.col("found.place").alias("places"), F.col("found.value").alias("found"))
@@ -560,9 +665,9 @@ def toxicity(
     )
     for_fit = F.pmod(F.xxhash64("ident"), F.lit(FIT_SHARE)) == 0
     marked = marked.withColumn("for_fit", for_fit)
-    counts = stored(pair_counts(marked))
+    counts = stored(pair_counts(marked), used_once=True)
     totals = _totals(words_of(counts))
-    model = word_model(counts, totals, marked)
+    model = word_model(counts, totals)
     for_curve = marked.where("for_fit").withColumn("draw", F.xxhash64("ident", F.lit(3)))
     fit = described(for_curve, "text", ["label", "draw"], model, 0)
     sample = fit.select("row.label", "row.draw", *_NUMBERS)

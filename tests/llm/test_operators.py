@@ -666,6 +666,88 @@ def test_toxicity_with_joined_words(frame, monkeypatch, size):
         assert a[:2] == b[:2] and a[2] == pytest.approx(b[2])
 
 
+@pytest.mark.parametrize(("words_size", "size"), [(4_000_000, 0), (4_000_000, 30), (0, 0)])
+def test_toxicity_with_joined_pairs(frame, monkeypatch, words_size, size):
+    """Pairs and contexts beyond those that are broadcast count as much as these."""
+    rows, labels = _labelled_docs(200)
+    rows = [
+        (i, t + " stone cold" if toxic else f"cold stone {t}", x, y)
+        for (i, t, x, y), (_, _, toxic) in zip(rows, labels, strict=True)
+    ]
+    rows += [rows[3], (5_000, None, "en", "s"), (None, "", "en", "s"), (5_001, LONG + " stone cold", "en", "s")]
+
+    def scores():
+        out = toxicity.toxicity(frame(rows, DOCS), frame(labels, LABELS)).collect()
+        return sorted((r.row.doc_id or -1, r.row.text or "", r.score) for r in out)
+
+    wanted = scores()
+    monkeypatch.setattr(toxicity, "BROADCAST_WORDS", words_size)
+    monkeypatch.setattr(toxicity, "BROADCAST_PAIRS", size)
+    for a, b in zip(scores(), wanted, strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2])
+
+
+def test_pair_table_has_all_pairs_and_contexts(frame, monkeypatch):
+    """What Spark makes of the pairs of several texts, beside counts by hand."""
+    monkeypatch.setattr(toxicity, "LEAST_TEXTS", 2)
+    rng = random.Random(8)
+    texts = [(int(i % 3 == 0), i % 5 == 0, words(rng, 12, 9)) for i in range(60)]
+    counts = toxicity.pair_counts(frame(texts, "label int, for_fit boolean, text string", 3)).cache()
+    totals = toxicity._totals(toxicity.words_of(counts))
+    got = {r.word: (r.value_0, r.value_1) for r in toxicity.pair_table(counts, totals).collect()}
+
+    def hashed(word):
+        data = np.frombuffer(word.encode(), dtype=np.uint8)
+        return textbatch.hash_spans(data, np.array([0]), np.array([len(data)])) if word else np.zeros(1, np.uint64)
+
+    seen = Counter()  # (kind, context, word): texts
+    for label, for_fit, text in texts:
+        own = text.split()
+        seen.update((label + 2 * for_fit, c, w) for c, w in set(zip(["", *own], own)))
+    kept = sorted({(c, w) for _, c, w in seen
+                   if any(seen[k, c, w] + seen[k + 2, c, w] >= 2 for k in (0, 1))})
+    names, of = np.unique([c for c, _ in kept], return_inverse=True)
+    vocabulary = sorted({w for _, _, w in seen})
+    wanted = {}
+    for side in (0, 1):
+        classes = [{k, k + 2} if side else {k} for k in (0, 1)]
+        count = np.array([[sum(seen[k, *x] for k in ks) for x in kept] for ks in classes])
+        total = np.array([[sum(n for (k, c, _), n in seen.items() if k in ks and c == x) for x in names]
+                          for ks in classes])
+        after = np.array([[len({c for (k, c, x), n in seen.items() if k in ks and x == w}) for w in vocabulary]
+                          for ks in [*classes, classes[0] | classes[1]]], dtype=float)
+        shared = after[2]
+        p = [toxicity.kneser_ney(x, shared, words=int((shared > 0).sum()) + 1) for x in after[:2]]
+        at = [vocabulary.index(w) for _, w in kept]
+        pair, context = toxicity.pair_ratios(count, of, total, np.array(p)[:, at])
+        for (c, w), x in zip(kept, pair, strict=True):
+            key = toxicity._pair_key(hashed(w), hashed(c)).view(np.int64)[0]
+            wanted.setdefault(int(key), []).append(x)
+        for c, x in zip(names, context, strict=True):
+            wanted.setdefault(int(toxicity._context_key(hashed(str(c))).view(np.int64)[0]), []).append(x)
+    assert len(kept) > 20 and set(got) == set(wanted)
+    for key, values in wanted.items():
+        assert got[key] == pytest.approx(tuple(values))
+
+
+def test_pairs_of_a_task_are_merged(frame, monkeypatch):
+    """Rows that are merged before the shuffle, some at a time, have the counts of all."""
+    rng = random.Random(9)
+    texts = [(int(i % 3 == 0), i % 5 == 0, words(rng, 30, 20)) for i in range(80)]
+
+    def table():
+        made = toxicity.pair_counts(frame(texts, "label int, for_fit boolean, text string", 2))
+        return sorted(map(tuple, made.collect()), key=str)
+
+    wanted = table()
+    monkeypatch.setattr(toxicity, "MERGE_ROWS", 100)
+    frame([], "id int").sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert table() == wanted
+    finally:
+        frame([], "id int").sparkSession.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_labels_of_absent_documents_use_up_no_sample(frame, monkeypatch):
     monkeypatch.setattr(quality_model, "SAMPLE_ROWS", 250)
     rows, labels = _labelled_docs(300)
