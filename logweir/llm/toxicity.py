@@ -48,7 +48,7 @@ from logweir.llm.textbatch import ALPHANUMERIC, chunks, find_words, hash_spans,
 
 #: So many words of the model are broadcast (16 bytes each); others are joined.
 BROADCAST_WORDS = 4_000_000
-#: So many pairs of the model and as many contexts are broadcast (24 bytes each); others are joined.
+#: So many pairs of the model and as many contexts are broadcast (16 bytes each); others are joined.
 BROADCAST_PAIRS = 1_000_000
 #: So many (word, context) rows of a task are merged at once, and the pairs of a word are dealt
 #: to so many partitions, of which all have its rows together.
@@ -393,10 +393,11 @@ def pair_table(counts: DataFrame, totals: Sequence[Totals]) -> DataFrame:
             for batch in batches:
                 ids = [batch[c].to_numpy().view(np.uint64) for c in ("word", "context")]
                 by = {c: batch[c].to_numpy() for c in batch.schema.names}
-                found = [key(*ids).view(np.int64), by["power"], *(value(by, side) for side in (0, 1))]
+                values = [value(by, side).astype(np.float32) for side in (0, 1)]
+                found = [key(*ids).view(np.int64), by["power"], *values]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names)
 
-        return source.mapInArrow(run, "word bigint, power int, value_0 double, value_1 double")
+        return source.mapInArrow(run, "word bigint, power int, value_0 float, value_1 float")
 
     def lefts(by: dict, side: int) -> np.ndarray:
         return np.array([by[f"left_{side}{k}"] for k in (0, 1)])
@@ -490,13 +491,14 @@ def _find(words: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _describe(
     texts: pa.Array, known: np.ndarray, values: np.ndarray, pairs: np.ndarray, pair_values: np.ndarray,
-    places: pa.Array | None = None, found: pa.Array | None = None,
+    found: pa.Array | None = None,
 ) -> list[pa.Array]:
     """_NUMBERS of each text: log of the words, mean ratio, greatest means of passages.
 
     A text shorter than a passage is one passage, and divided as if it were full.
-    ``places`` and ``found`` are values of what is not among the known ones, at twice the
-    place of a word, and one more for what pairs and contexts add.
+    ``found`` has values of what is not among the known ones: the low half of a number is the
+    32-bit float, the high one three times the place of a word, one more for what its pair adds
+    and two more for what its context does.
     """
     out = np.zeros((len(_NUMBERS), len(texts)))
     for first, words, borders in _words(texts):
@@ -506,12 +508,15 @@ def _describe(
         size = np.diff(borders)
         rows = slice(first, first + len(size))
         added = np.zeros(len(words))
-        if places is not None:
-            own = places[rows].fill_null([])
-            place, value = own.flatten().to_numpy(), found[rows].fill_null([]).flatten().to_numpy()
-            where = np.repeat(borders[:-1], own.value_lengths().to_numpy()) + (place >> 1)
-            for k, to in enumerate((ratios, added)):
-                np.add.at(to, where[place & 1 == k], value[place & 1 == k])
+        if found is not None:
+            own = found[rows].fill_null([])
+            packed = own.flatten().to_numpy().view(np.uint64)
+            place = (packed >> np.uint64(32)).astype(np.int64)
+            value = packed.astype(np.uint32).view(np.float32)
+            where = np.repeat(borders[:-1], own.value_lengths().to_numpy()) + place // 3
+            alone = place % 3 == 0
+            for to, of in ((ratios, alone), (added, ~alone)):
+                np.add.at(to, where[of], value[of])
         context = _contexts(words, borders)
         for keys in (_pair_key(words, context), _context_key(context)):
             at, hit = _find(keys, pairs)
@@ -546,12 +551,13 @@ def _lookups(
         row_of = np.repeat(np.arange(len(size)), size)
         place_of = np.arange(len(words)) - borders[:-1][row_of]
         context = _contexts(words, borders)
-        for pair, ids in ((0, words), (1, _pair_key(words, context)), (1, _context_key(context))):
+        for kind, ids in enumerate((words, _pair_key(words, context), _context_key(context))):
+            pair = min(kind, 1)
             if bitmaps[pair] is None:
                 continue
             other = np.flatnonzero(_may_have(bitmaps[pair], ids))
             other = other[~_find(ids[other], known[pair])[1]]
-            row, place, ids = row_of[other], 2 * place_of[other] + pair, ids[other].view(np.int64)
+            row, place, ids = row_of[other], 3 * place_of[other] + kind, ids[other].view(np.int64)
             order = np.lexsort((place, ids, row))
             row, place, ids = row[order], place[order], ids[order]
             new = np.append(True, (row[1:] != row[:-1]) | (ids[1:] != ids[:-1]))[: len(row)]
@@ -584,37 +590,46 @@ def described(docs: DataFrame, text: str, keep: Sequence[str], model: Model, sid
     def other(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = shared.value[0], shared.value[2]
-            yield from _lookups(batch.column(1), batch.column(0), known, bitmaps.value)
+            code = batch.column(0).dictionary_encode().indices.to_numpy()
+            once = batch.take(pa.array(np.unique(code, return_index=True)[1]))
+            yield from _lookups(once.column(1), once.column(0), known, bitmaps.value)
         give_back()
 
-    value = F.col(f"value_{side}").cast("double").alias("value")
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(2).to_numpy().view(np.uint32).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(own)], ["pair", "word", "bits"])
+
+    value = F.col(f"value_{side}")
     tables = [
         rest.table.select(F.lit(k).alias("pair"), "word", value) for k, rest in enumerate(rests) if rest
     ]
-    # Copies of a text have equal words: each text is looked up once.
+    # Copies of a text have equal words: one of a batch is looked up, and of equal values that
+    # copies elsewhere have found one is kept. What this shuffles goes before the texts do.
     key = F.unhex(F.md5(F.coalesce(docs[text], F.lit("")))).alias("key")
-    rare = (
+    rest = reduce(DataFrame.union, tables).mapInArrow(bits, "pair int, word bigint, bits bigint")
+    rare = stored(
         docs.select(key, docs[text].alias("text"))
         .mapInArrow(other, "key binary, pair int, word bigint, places array<bigint>")
-        .groupBy("key", "pair", "word")
-        .agg(F.first("places").alias("places"))
-        .join(reduce(DataFrame.union, tables), ["pair", "word"])
-        .select("key", F.explode("places").alias("place"), "value")
+        .join(rest, ["pair", "word"])
+        .select("key", F.explode("places").alias("place"), "bits")
         .groupBy("key")
-        .agg(F.collect_list(F.struct("place", "value")).alias("found"))
-        .select("key", F.col("found.place").alias("places"), F.col("found.value").alias("found"))
-    )
-    rows = docs.select(
-        F.struct(*[docs[c] for c in keep]).alias("row"), docs[text].alias("text"), key
+        .agg(F.collect_set(F.shiftleft("place", 32).bitwiseOR(F.col("bits"))).alias("found")),
+        used_once=True,
     )
-    joined = rows.join(rare, "key", "left").select("row", "text", "places", "found")
+    inside = list(keep).index(text) if list(keep).count(text) == 1 else None
+    own = [docs[text].alias("text")] if inside is None else []
+    rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), key, *own)
+    joined = rows.join(rare, "key", "left").select("row", "found", *["text"] * len(own))
     schema = StructType([joined.schema["row"], *StructType.fromDDL(fields)])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                out = _describe(batch.column(1), *shared.value, *batch.columns[2:])
-                yield pa.RecordBatch.from_arrays([batch.column(0), *out], names=schema.names)
+                row, found = batch.columns[:2]
+                texts = batch.column(2) if inside is None else row.field(inside)
+                out = _describe(texts, *shared.value, found)
+                yield pa.RecordBatch.from_arrays([row, *out], names=schema.names)
 
     return joined.mapInArrow(describe, schema)
 

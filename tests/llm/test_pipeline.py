@@ -1,5 +1,6 @@
 """The pipeline's stages, each against a brute-force version on its own input."""
 
+import random
 from collections import Counter, defaultdict
 
 import brute
@@ -45,6 +46,46 @@ def test_toxicity_stage(spark, staged):
     assert 0 < len(wanted) < staged[0].count()
 
 
+@pytest.mark.parametrize("size", [0, 40])
+def test_toxicity_stage_keeps_pairs_beyond_the_broadcast(spark, tmp_path, monkeypatch, size):
+    """Texts that only a pair of common words makes toxic go, however few pairs are broadcast."""
+    rng = random.Random(22)
+    docs, labels = [], []
+    for i in range(3_000):
+        own = [f"w{rng.randrange(600)}" for _ in range(rng.randrange(30, 90))]
+        for _ in range(3):  # both words in every text, apart from each other
+            own.insert(rng.randrange(len(own)), rng.choice(["amber", "harbor"]))
+        own = [x for k, x in enumerate(own) if own[k - 1 : k] + [x] != ["amber", "harbor"]]
+        if i % 5 == 0:
+            at = rng.randrange(len(own))
+            own[at:at] = ["amber", "harbor"]
+        elif i % 5 == 1:
+            own[3:3] = ["harbor", "amber"]
+        docs.append((i, " ".join(own), "en", "s"))
+        labels.append((i, 1, int(i % 5 == 0)))
+    docs += [(10_000 + i, docs[0][1], "en", "s") for i in range(50)]  # copies in all partitions
+    docs += [(20_000, None, "en", "s"), (20_001, "", None, None)]
+    schema = "doc_id bigint, quality int, toxic int"
+    spark.createDataFrame(labels, schema).write.parquet(f"{tmp_path}/labels.parquet")
+    source = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string")
+    source.repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    source = read(spark, tmp_path, "documents")
+
+    def kept():
+        return sorted(rows(corpus_pipeline.without_toxic(spark, source, str(tmp_path)), "doc_id"))
+
+    wanted = kept()
+    monkeypatch.setattr(toxicity, "BROADCAST_PAIRS", size)
+    left = kept()
+    assert left == wanted
+    left = {r[0] for r in left}
+    unseen = [i for i in range(3_000) if brute.crc(str(i)) % 4 == 2]
+    toxic = [i for i in unseen if i % 5 == 0]
+    assert len(toxic) > 50 and sum(i in left for i in toxic) <= 0.1 * len(toxic)
+    assert sum(i in left for i in unseen) >= 0.95 * (len(unseen) - len(toxic))
+    assert not left & set(range(10_000, 10_050))
+
+
 def test_near_duplicate_stage(staged):
     docs = rows(staged[1], "doc_id", "text")
     wanted = sorted(d for d, _, c in brute.components(docs, 5, 80) if d == c)
